@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loglake.functions.documents import parse_whole
 from loglake.functions.text import trim_space
 from loglake.functions.times import TimeFormat
 from loglake.operators.lines import filter_lines, strip_prefix
@@ -25,7 +26,7 @@ def mysql_audit_events(
     trimmed = lines.withColumn("value", trim_space(F.col("value")))
     if filter_regex:
         trimmed = filter_lines(trimmed, filter_regex, invert_filter)
-    cut = strip_prefix(trimmed, prefix).withColumn("_doc", F.try_parse_json("value"))
+    cut = strip_prefix(trimmed, prefix).withColumn("_doc", parse_whole(F.col("value")))
     record = F.try_variant_get(F.col("_doc"), "$.audit_record", "map<string,variant>")
     texts = F.transform_values(
         F.map_filter("_record", lambda k, v: v.isNotNull() & ~F.is_variant_null(v)),

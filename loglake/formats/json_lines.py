@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loglake.functions.documents import parse_whole
 from loglake.functions.text import trim_space
 from loglake.functions.times import TIME_FIELDS, parse_time
 from loglake.operators.lines import over, strip_prefix
@@ -14,9 +15,7 @@ _FIELDS = "map<string,variant>"
 
 def object_fields(text: Column) -> Column:
     """Fields of a JSON object; NULL for bad JSON and for anything but an object."""
-    parsed = F.try_parse_json(text)
-    is_object = F.schema_of_variant(parsed).startswith("OBJECT")
-    return F.when(is_object, parsed.try_cast(_FIELDS))
+    return parse_whole(text).try_cast(_FIELDS)
 
 
 def text_of(field: Column) -> Column:

@@ -17,9 +17,26 @@ _UNWRAP = (
     (r"\bTimestamp(?: |\()([0-9]+)(?:\||, )([0-9]+)\)?", '"$1|$2"'),
     (r"\b(?:undefined|MinKey|MaxKey)\b", "null"),
 )
+# Fixed value: closes the wrapped text, so that nothing can trail after the value.
+_END = r'"\u0001end\u0001"'
 _KEY = r"(?<=[{,])(\s*)([A-Za-z_$][\w$.\-]*)\s*:"
 
 
+def parse_whole(text: Column) -> Column:
+    """JSON text as a variant; NULL also where anything follows the value.
+
+    The parser stops after the first value, so the value is read as the first of two
+    elements of an array: text after it breaks the array or moves the end mark.
+    """
+    pair = F.array(F.try_parse_json(F.concat(F.lit("["), text, F.lit(f",{_END}]"))))
+
+    def first(both: Column) -> Column:
+        whole = F.try_variant_get(both, "$[1]", "string") == "\u0001end\u0001"
+        return F.when(whole, F.try_variant_get(both, "$[0]", "variant"))
+
+    return F.get(F.transform(pair, first), F.lit(0))
+
+
 def balanced(text: Column) -> Column:
     """The leading ``{...}`` of a text with its braces balanced; NULL if it never closes."""
     tokens = F.regexp_extract_all(text, F.lit(_BRACES), F.lit(0))

@@ -65,7 +65,7 @@ def ingest_quality(lines: DataFrame, parsed: DataFrame) -> DataFrame:
     Lines carry no day, so their count stands on the row of the file with day NULL;
     rejects without a time stand there too.
     """
-    read = lines.groupBy("file").agg(F.count("*").alias("lines")).withColumn("_date", F.lit(None).cast("date"))
+    read = lines.groupBy(F.col("file").alias("_read_file")).agg(F.count("*").alias("lines"))
     made = parsed.groupBy("file", F.to_date("_time").alias("_date"), "reject_reason").agg(F.count("*").alias("_n"))
     outcome = made.groupBy("file", "_date").agg(
         F.coalesce(F.sum(F.when(F.col("reject_reason").isNull(), F.col("_n"))), F.lit(0)).alias("events"),
@@ -74,10 +74,10 @@ def ingest_quality(lines: DataFrame, parsed: DataFrame) -> DataFrame:
             F.col("reject_reason").isNotNull(), F.struct("reject_reason", "_n")
         ))).alias("reasons"),
     )
-    same = outcome["file"].eqNullSafe(read["file"]) & outcome["_date"].eqNullSafe(read["_date"])
+    same = (F.col("file") == F.col("_read_file")) & F.col("_date").isNull()
     return outcome.join(read, same, "full").select(
-        F.coalesce(outcome["file"], read["file"]).alias("file"),
-        outcome["_date"],
+        F.coalesce("file", "_read_file").alias("file"),
+        "_date",
         F.coalesce("lines", F.lit(0)).alias("lines"),
         F.coalesce("events", F.lit(0)).alias("events"),
         F.coalesce("rejects", F.lit(0)).alias("rejects"),

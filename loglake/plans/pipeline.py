@@ -1,0 +1,77 @@
+"""One ingest job from options: lines to events to a table."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loglake.config import IngestConfig
+from loglake.formats.registry import TABLE_OF, TAKES_INGEST_TIME, TAKES_TZ, get_format
+from loglake.functions.times import time_columns
+from loglake.functions.urls import request_shape
+from loglake.operators.lines import split_rejects
+from loglake.operators.sampling import dynamic_sample, sample_lines
+from loglake.operators.transforms import add_fields, drop_fields, scrub_fields
+from loglake.sources.files import backfill
+from loglake.sources.tables import conform, write_table
+
+
+def parse(lines: DataFrame, cfg: IngestConfig, ingest_time: Column | None = None) -> DataFrame:
+    """Sample on the scan where the format allows it, then read the lines."""
+    options = dict(cfg.format_options)
+    if cfg.log_prefix:
+        options["prefix"] = cfg.log_prefix
+    if cfg.format in TAKES_TZ:
+        options.setdefault("tz", cfg.timezone)
+    if cfg.format in TAKES_INGEST_TIME and ingest_time is not None:
+        options.setdefault("ingest_time", ingest_time)
+    if cfg.format == "mysql_slow" and cfg.entry_rate > 1:
+        options |= {"rate": cfg.entry_rate, "seed": cfg.sample_seed}
+    sampled = sample_lines(lines, cfg.line_rate, cfg.sample_seed)
+    parsed = get_format(cfg.format)(sampled, **options)
+    if cfg.format == "postgres" and cfg.entry_rate > 1:
+        parsed = sample_lines(parsed, cfg.entry_rate, cfg.sample_seed)
+    if "sample_rate" not in parsed.columns:
+        parsed = parsed.withColumn("sample_rate", F.lit(1 if cfg.dynamic else cfg.sample_rate))
+    return parsed
+
+
+def reshape(events: DataFrame, cfg: IngestConfig) -> DataFrame:
+    """Drop, scrub, add, shape, sample: always in this order."""
+    out = drop_fields(events, cfg.drop_fields)
+    out = scrub_fields(out, cfg.scrub_fields)
+    out = add_fields(out, cfg.add_fields)
+    for field in cfg.request_shape:
+        if field not in out.columns and "data" in out.columns:
+            out = out.withColumn(field, F.element_at("data", F.lit(field)).cast("string"))
+        if field in out.columns:
+            out = request_shape(out, field, cfg.request_patterns, cfg.shape_prefix, cfg.query_mode, cfg.query_keys)
+    if cfg.dynamic:
+        for key in cfg.dynamic_keys:
+            if key not in out.columns:
+                have = F.element_at("data", F.lit(key)).cast("string") if "data" in out.columns else F.lit("")
+                out = out.withColumn(key, have)
+        out = dynamic_sample(
+            out, cfg.dynamic_keys, cfg.sample_rate, cfg.dynamic_window_seconds, cfg.dynamic_min_per_second
+        )
+    return out
+
+
+def to_table(events: DataFrame, cfg: IngestConfig) -> tuple[DataFrame, tuple[str, ...]]:
+    """Fit events to the table of their format, or add the stored time columns."""
+    spec = TABLE_OF.get(cfg.format)
+    second, day, millis = time_columns(F.col("_stamp"))
+    stored = events.withColumn("_stamp", F.col("_time"))
+    stored = stored.withColumn("_time", second).withColumn("_date", day).withColumn("_ms", millis).drop("_stamp")
+    if spec is None:
+        return stored.drop("value", "block", "prefix"), ("_time",)
+    return conform(stored, spec), spec.sort_by
+
+
+def run_batch(spark: SparkSession, cfg: IngestConfig, ingest_time: Column | None = None) -> DataFrame:
+    """Read everything once and append it to the dataset. Returns the rejects (lazy)."""
+    lines = backfill(spark, cfg.paths)
+    events, rejects = split_rejects(parse(lines, cfg, ingest_time))
+    table, sort_by = to_table(reshape(events, cfg), cfg)
+    write_table(table, cfg.dataset, sort_by)
+    return rejects

@@ -29,7 +29,7 @@ class TableSpec:
 
 
 def _columns(text: str) -> tuple[tuple[str, str], ...]:
-    typed = [tuple(part.split()) for part in text.replace("\n", ",").split(",") if part.strip()]
+    typed = [tuple(part.split()) for part in text.replace("\n", ", ").split(", ") if part.strip()]
     return tuple(_TIME + typed)
 
 

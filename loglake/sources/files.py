@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Side files a tailing agent leaves next to its logs.
-SIDE_FILE_GLOB = ".*|_.*|.*\\.(?:state|offset|pos|leash\\.state)"
+SIDE_FILES = r"\..*|_.*|.*\.(?:state|offset|pos)"
 
 
 def read_lines(
     spark: SparkSession,
     paths: str | Sequence[str],
-    exclude: str | None = SIDE_FILE_GLOB,
+    exclude: str | None = SIDE_FILES,
     require_input: bool = True,
 ) -> DataFrame:
     """All lines of all files under the paths or globs, one row each, without order.
@@ -60,7 +60,7 @@ def order_lines(lines: DataFrame) -> DataFrame:
     return lines.withColumn("pos", F.monotonically_increasing_id()).select("file", "block", "pos", "value")
 
 
-def backfill(spark: SparkSession, paths: str | Sequence[str], exclude: str | None = SIDE_FILE_GLOB) -> DataFrame:
+def backfill(spark: SparkSession, paths: str | Sequence[str], exclude: str | None = SIDE_FILES) -> DataFrame:
     """Everything that is there now, once, in file order."""
     return order_lines(read_lines(spark, paths, exclude))
 
