@@ -244,8 +244,11 @@ def _group_slow_log(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("block_prefix_scan", ENTRY_LINES_SQL)
 def _block_prefix_scan(spark: SparkSession, sf: str) -> DataFrame:
-    # Small chunks and segments: most entries cross an edge and take the upper levels.
-    entries = group_slow_log(backfill(spark, R.slow_log_path(spark, sf)), chunk_bits=4, segment_bytes=1 << 20)
+    # Cut by hand into splits of eight lines and segments of four splits: most
+    # entries cross an edge and take the upper levels.
+    lines = backfill(spark, R.slow_log_path(spark, sf))
+    small = lines.withColumn("block", F.shiftright("pos", 3))
+    entries = group_slow_log(small, segment_bytes=4)
     return entries.select(_entry_order().alias("o_orderkey"), F.size("lines").alias("n_lines"))
 
 

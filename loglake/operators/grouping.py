@@ -1,20 +1,28 @@
 """Statements out of lines: multi-line assembly in file order.
 
-A line opens a statement depending only on itself and the line before it. Runs of
-lines are therefore merged on three levels, each a small window:
+A line opens a statement depending only on itself and the line before it, so runs
+of lines can be merged in steps:
 
-1. inside a chunk: a bounded run of lines of one file split;
-2. inside a segment: the first and last run of every chunk, which may continue
-   over its edges, for a bounded stretch of one file;
-3. inside a file: the first and last run of every segment.
+1. inside a split, as the scan reads it: no shuffle, the lines of a run are cut out
+   of the Arrow batches by offsets;
+2. inside a segment, a bounded stretch of one file: the first and the last run of
+   every split, which may go on beyond its edges;
+3. inside a file: the first and the last run of every segment.
 
-Nearly all statements are complete after level 1, whose window and grouping share
-one shuffle on the chunk. Only runs at edges go on, so a single file that holds
-most of the data is spread over as many tasks as it has chunks.
+Nearly all statements are complete after step 1. Only two runs per split are ever
+shuffled, so one file that holds most of the data is no burden for any task.
+
+Step 1 relies on the order of the scan: rows of a partition must be in file order,
+as ``order_lines`` delivers them. For other line tables use ``in_file_order`` first.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +38,7 @@ BANNERS = (
 COMMENT_MARK = "# "
 CONTINUATION_MARK = "\t"
 
-CHUNK_BITS = 18
+CHUNK_BITS = 16
 SEGMENT_BYTES = 16 * 1024**3
 
 _ORDER = ("block", "pos")
@@ -69,43 +77,100 @@ def group_continuations(lines: DataFrame, prefix: str | None = None, **sizes: in
     return assemble(opens, after_body_only=False, **sizes).drop("tail_opens")
 
 
-def assemble(
-    lines: DataFrame,
-    after_body_only: bool,
-    chunk_bits: int = CHUNK_BITS,
-    segment_bytes: int = SEGMENT_BYTES,
-) -> DataFrame:
+def in_file_order(lines: DataFrame) -> DataFrame:
+    """Bring a shuffled line table back into file order, balanced over its partitions."""
+    order = ("file", "block", "pos")
+    return lines.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+_RUNS = (
+    "file string, block bigint, pos bigint, lines array<string>, opens boolean, tail_opens boolean, at_edge boolean"
+)
+
+
+def assemble(lines: DataFrame, after_body_only: bool, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
     """Merge lines to ``entries(file, block, pos, lines, tail_opens)``.
 
     ``opens`` on a line says it may start an entry; with ``after_body_only`` it does
     so only after a line that may not. ``(block, pos)`` is the place of the first line.
     """
-    runs = lines.select(
-        "file",
-        F.floor(F.col("block") / segment_bytes).alias("segment"),
-        F.struct("block", F.shiftright("pos", chunk_bits).alias("part")).alias("chunk"),
-        *_ORDER,
-        "value",
-        "opens",
-        F.col("opens").alias("tail_opens"),
-    )
-    in_chunk = _merge(runs, ["file", "segment", "chunk"], after_body_only)
-    in_segment = _merge(_open(in_chunk), ["file", "segment"], after_body_only)
-    in_file = _merge(_open(in_segment), ["file"], after_body_only)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _cut_runs(batches, after_body_only)
+
+    in_split = lines.select("file", *_ORDER, "value", "opens").mapInArrow(cut, _RUNS)
+    edges = in_split.filter("at_edge").withColumn("segment", F.floor(F.col("block") / segment_bytes)).drop("at_edge")
+    in_segment = _merge(edges, ["file", "segment"], after_body_only)
+    in_file = _merge(in_segment.filter("at_edge").drop("run", "at_edge"), ["file"], after_body_only)
     out = ["file", *_ORDER, "lines", "tail_opens"]
     return (
-        in_chunk.filter(~F.col("at_edge")).select(out)
+        in_split.filter(~F.col("at_edge")).select(out)
         .unionByName(in_segment.filter(~F.col("at_edge")).select(out))
         .unionByName(in_file.select(out))
     )
 
 
-def _open(runs: DataFrame) -> DataFrame:
-    return runs.filter("at_edge").drop("run", "at_edge")
+def _cut_runs(batches: Iterator[pa.RecordBatch], after_body_only: bool) -> Iterator[pa.RecordBatch]:
+    """Runs of the lines of one partition; the open run waits for the next batch."""
+    waiting: list[pa.RecordBatch] = []
+    at_split_start = True
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        rows = pa.Table.from_batches([*waiting[-1:], batch]) if waiting else pa.Table.from_batches([batch])
+        skip = waiting[-1].num_rows if waiting else 0
+        starts, new_split = _run_starts(rows, after_body_only)
+        fresh = starts[starts >= skip] if waiting else starts[starts > 0]
+        if fresh.size == 0:
+            waiting.append(batch)
+            continue
+        table = pa.Table.from_batches([*waiting, batch]).combine_chunks()
+        shift = table.num_rows - rows.num_rows
+        first = np.concatenate([[0], fresh + shift])
+        is_first = np.concatenate([[at_split_start], new_split[fresh]])
+        yield _as_runs(table, first, is_first[:-1], is_first[1:])
+        waiting = table.slice(int(first[-1])).to_batches()
+        waiting = [pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]]
+        at_split_start = bool(is_first[-1])
+    if waiting:
+        table = pa.Table.from_batches(waiting).combine_chunks()
+        yield _as_runs(table, np.array([0, table.num_rows]), np.array([at_split_start]), np.array([True]))
+
+
+def _run_starts(rows: pa.Table, after_body_only: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of rows that start a run, and for every row whether its split is new."""
+    opens = rows.column("opens").to_numpy()
+    file, block = rows.column("file").combine_chunks(), rows.column("block").to_numpy()
+    new_split = np.zeros(len(opens), dtype=bool)
+    if len(opens) > 1:
+        other_file = pc.not_equal(file.slice(1), file.slice(0, len(file) - 1)).to_numpy(zero_copy_only=False)
+        new_split[1:] = other_file | (block[1:] != block[:-1])
+    starts = opens.copy()
+    if after_body_only:
+        starts[1:] &= ~opens[:-1]
+    starts[0] = False
+    return np.flatnonzero(starts | new_split), new_split
+
+
+def _as_runs(table: pa.Table, first: np.ndarray, is_first: np.ndarray, is_last: np.ndarray) -> pa.RecordBatch:
+    """Runs ``first[i]:first[i + 1]`` as one row each; their lines stay one Arrow buffer."""
+    heads, tails = pa.array(first[:-1]), pa.array(first[1:] - 1)
+    values = table.column("value").combine_chunks().slice(0, int(first[-1]))
+    if isinstance(values, pa.ChunkedArray):
+        values = pa.concat_arrays(values.chunks)
+    lines = pa.ListArray.from_arrays(pa.array(first, pa.int32()), values)
+    columns = {
+        **{c: pc.take(table.column(c), heads).combine_chunks() for c in ("file", "block", "pos")},
+        "lines": lines,
+        "opens": pc.take(table.column("opens"), heads).combine_chunks(),
+        "tail_opens": pc.take(table.column("opens"), tails).combine_chunks(),
+        "at_edge": pa.array(is_first | is_last),
+    }
+    arrays = [pa.concat_arrays(a.chunks) if isinstance(a, pa.ChunkedArray) else a for a in columns.values()]
+    return pa.RecordBatch.from_arrays(arrays, names=list(columns))
 
 
 def _merge(runs: DataFrame, by: list[str], after_body_only: bool) -> DataFrame:
-    """One level: number the runs of each group, join their lines, mark first and last run."""
+    """Number the runs of each group, join their lines, mark first and last run."""
     in_order = Window.partitionBy(*by).orderBy(*_ORDER)
     before = F.lag("tail_opens").over(in_order)
     starts = F.col("opens") & (~before if after_body_only else before.isNotNull())
@@ -113,21 +178,18 @@ def _merge(runs: DataFrame, by: list[str], after_body_only: bool) -> DataFrame:
         "run", F.sum("_start").over(in_order)
     )
     place = F.struct(*_ORDER)
-    whole_runs = "lines" in runs.columns
-    piece = "lines" if whole_runs else "value"
     joined = numbered.groupBy(*by, "run").agg(
         F.min(place).alias("_place"),
-        F.array_sort(F.collect_list(F.struct(*_ORDER, piece))).alias("_parts"),
+        F.array_sort(F.collect_list(F.struct(*_ORDER, "lines"))).alias("_parts"),
         F.min_by("opens", place).alias("opens"),
         F.max_by("tail_opens", place).alias("tail_opens"),
     )
     last = F.max("run").over(Window.partitionBy(*by))
-    pieces = F.transform("_parts", lambda p: p[piece])
     return joined.select(
         *by,
         F.col("_place.block").alias("block"),
         F.col("_place.pos").alias("pos"),
-        (F.flatten(pieces) if whole_runs else pieces).alias("lines"),
+        F.flatten(F.transform("_parts", lambda p: p["lines"])).alias("lines"),
         "opens",
         "tail_opens",
         "run",
