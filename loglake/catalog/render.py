@@ -12,14 +12,13 @@ L = F.lit
 
 
 def order_time() -> Column:
-    """A moment within the day of an order, to the microsecond."""
-    day = F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
-    second = day + F.col("o_orderkey") % 86400
+    """A moment of January 2024 for each order, to the microsecond."""
+    second = L(1_704_067_200) + (F.col("o_orderkey") * 37) % 2_592_000
     return F.timestamp_micros(second * 1_000_000 + (F.col("o_orderkey") * 7919) % 1_000_000)
 
 
 ORDER_TIME_SQL = (
-    "(CAST(o_orderdate AS TIMESTAMP) + to_seconds(o_orderkey % 86400)"
+    "(TIMESTAMP '2024-01-01 00:00:00' + to_seconds((o_orderkey * 37) % 2592000)"
     " + to_microseconds((o_orderkey * 7919) % 1000000))"
 )
 

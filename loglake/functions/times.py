@@ -61,7 +61,7 @@ class TimeFormat:
         return "xx" in self.pattern or "XX" in self.pattern
 
     def parse(self, col: Column, tz: str = "UTC") -> Column:
-        text = F.regexp_replace(col, r"\s+", " ")
+        text = F.replace(col, F.lit("  "), F.lit(" "))
         if self.weekday:
             text = F.regexp_replace(text, _WEEKDAY, "")
         named = text
@@ -184,7 +184,7 @@ ISO_OFFSET = TimeFormat("yyyy-M-d'T'H:m:s[.SSSSSSSSS]xx")
 
 def unix_time(col: Column) -> Column:
     """Epoch seconds, or ``seconds.mmm`` with exactly three digits."""
-    text = F.regexp_replace(col, ",", ".")
+    text = F.translate(col, ",", ".")
     whole = F.timestamp_seconds(F.when(text.rlike(r"\A[+-]?\d+\z"), text.try_cast("bigint")))
     split = text.rlike(r"\A\d+\.\d{3}\z")
     millis = F.timestamp_millis(F.when(split, F.regexp_replace(text, r"\.", "").try_cast("bigint")))
@@ -197,7 +197,7 @@ def unix_millis(col: Column) -> Column:
 
 def parse_time(col: Column, fmt: str | None = None, tz: str = "UTC") -> Column:
     """The given format first, then the default layouts; NULL if none fits."""
-    text = F.regexp_replace(col, ",", ".")
+    text = F.translate(col, ",", ".")
     tries: list[Column] = []
     if fmt == UNIX_FORMAT:
         tries.append(unix_time(text))
