@@ -105,9 +105,9 @@ def _parse_time_chain(spark: SparkSession, sf: str) -> DataFrame:
   CASE WHEN event_id % 6 = 5 THEN 'ingest' WHEN event_id % 2 = 0 THEN 'Timestamp' ELSE 'date' END AS source, 1 AS n_left FROM events""")
 def _resolve_time(spark: SparkSession, sf: str) -> DataFrame:
     name = F.when(F.col("event_id") % 2 == 0, "Timestamp").otherwise("date")
-    fields = events_table(spark, sf).select("event_id", F.create_map(name, _five_layouts(), L("x"), L("1")).alias("m"))
-    stamp, source, rest = times.resolve_time(F.col("m"), L("2030-01-01").cast("timestamp"))
-    return fields.select("event_id", stamp_text(stamp).alias("at"), source.alias("source"), F.size(rest).alias("n_left"))
+    fields = events_table(spark, sf).select("event_id", F.create_map(name, _five_layouts(), L("x"), L("1")).alias("_fields"))
+    timed = times.resolve_time(fields, L("2030-01-01").cast("timestamp"))
+    return timed.select("event_id", stamp_text(F.col("_time")).alias("at"), F.col("time_source").alias("source"), F.size("data").alias("n_left"))
 
 
 @query("to_spark_format", "SELECT event_id, strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S.%f') AS at FROM events")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loglake.functions.regexes import PatternError, is_match, line_pattern
-from loglake.functions.text import trim_space
+from loglake.functions.text import settled, trim_space
 from loglake.functions.times import parse_time
 from loglake.functions.typing import as_double, as_long, present
 from loglake.operators.lines import strip_prefix
@@ -66,7 +66,7 @@ def access_log_events(
         "file", "block", "pos", "value",
         F.when(is_match(F.col("_cap")), stamp).alias("_time"),
         *fields,
-        F.when(~is_match(F.col("_cap")), "format").alias("reject_reason"),
+        settled(F.when(~is_match(F.col("_cap")), "format")).alias("reject_reason"),
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loglake.functions.text import trim_space, unbracket, unquote
+from loglake.functions.text import settled, trim_space, unbracket, unquote
 from loglake.functions.times import ISO_LOCAL, TimeFormat, first_time
 from loglake.functions.typing import as_double, as_long
 from loglake.operators.lines import strip_prefix
@@ -61,7 +61,7 @@ def arango_requests(
         F.when(end, as_long(F.get("_f", F.lit(6)))).alias("reqBodyLen"),
         F.when(end, as_long(F.get("_f", F.lit(7)))).alias("resBodyLen"),
         F.when(end, as_double(F.get("_f", F.lit(9)))).alias("totalTime"),
-        reason.alias("reject_reason"),
+        settled(reason).alias("reject_reason"),
     )
 
 

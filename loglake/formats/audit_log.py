@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loglake.functions.documents import parse_whole
-from loglake.functions.text import trim_space
+from loglake.functions.text import settled, trim_space
 from loglake.functions.times import TimeFormat
 from loglake.operators.lines import filter_lines, strip_prefix
 from loglake.schemas import MYSQL_AUDIT
@@ -50,5 +50,5 @@ def mysql_audit_events(
         "file", "block", "pos", "value",
         stamp.alias("_time"), *fields,
         F.map_filter("_texts", lambda k, v: ~k.isin(*known)).alias("extra"),
-        reason.alias("reject_reason"),
+        settled(reason).alias("reject_reason"),
     )

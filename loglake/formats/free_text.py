@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loglake.functions.regexes import PatternError, require_named
+from loglake.functions.text import settled
 from loglake.functions.times import resolve_time
 from loglake.operators.lines import empty_fields, over, strip_prefix
 
@@ -46,9 +47,6 @@ def regex_events(
         here = F.get("_cap", F.lit(0)) == str(i)
         fields = F.when(here, F.create_map(*pairs)) if fields is None else fields.when(here, F.create_map(*pairs))
     found = chosen.withColumn("_fields", over(F.coalesce(fields, empty_fields()), F.col("prefix")))
-    stamp, source, rest = resolve_time(F.col("_fields"), late, time_field, time_format, tz)
-    return found.select(
-        "file", "block", "pos", "value",
-        stamp.alias("_time"), source.alias("time_source"), rest.alias("data"),
-        F.when(F.size("_fields") == 0, "no match").alias("reject_reason"),
-    )
+    judged = found.withColumn("reject_reason", settled(F.when(F.size("_fields") == 0, "no match")))
+    timed = resolve_time(judged, late, time_field, time_format, tz)
+    return timed.select("file", "block", "pos", "value", "_time", "time_source", "data", "reject_reason")

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loglake.functions.documents import parse_whole
-from loglake.functions.text import trim_space
-from loglake.functions.times import TIME_FIELDS, parse_time
+from loglake.functions.text import settled, trim_space
+from loglake.functions.times import TIME_FIELDS, time_hits
 from loglake.operators.lines import over, strip_prefix
 
 _FIELDS = "map<string,variant>"
@@ -39,25 +39,19 @@ def json_events(
     cut = strip_prefix(lines.withColumn("value", trim_space(F.col("value"))), prefix)
     parsed = cut.withColumn("_fields", object_fields(F.col("value")))
     names = (time_field,) if time_field else TIME_FIELDS
-    texts = F.map_from_arrays(
-        F.array(*[F.lit(n) for n in names]),
-        F.array(*[text_of(F.element_at("_fields", F.lit(n))) for n in names]),
-    )
-    timed = parsed.withColumn("_texts", texts)
-    stamps = F.array(*[
-        F.struct(parse_time(F.element_at("_texts", F.lit(n)), time_format, tz).alias("t"), F.lit(n).alias("n"))
-        for n in names
-    ])
-    timed = timed.withColumn("_hit", F.get(F.filter(stamps, lambda s: s["t"].isNotNull()), F.lit(0)))
-    used = F.coalesce(F.col("_hit.n"), F.lit(time_field) if time_field else F.lit(None).cast("string"))
-    rest = F.map_filter("_fields", lambda k, v: ~k.eqNullSafe(used))
+    hits = time_hits(names, lambda n: text_of(F.element_at("_fields", n)), time_format, tz)
+    timed = parsed.withColumn("_hits", hits)
+    timed = timed.withColumn("_hit", F.get(F.filter("_hits", lambda h: h["t"].isNotNull()), F.lit(0)))
+    used = F.coalesce(F.col("_hit.n"), F.lit(time_field) if time_field else F.try_element_at("_hits", F.lit(-1))["n"])
+    timed = timed.withColumn("_used", used)
+    rest = F.map_filter("_fields", lambda k, v: ~k.eqNullSafe(F.col("_used")))
     above = F.transform_values("prefix", lambda k, v: v.cast("variant"))
     return timed.select(
         "file", "block", "pos", "value",
         F.when(F.col("_fields").isNotNull(), F.coalesce(F.col("_hit.t"), late)).alias("_time"),
         F.when(F.col("_fields").isNotNull(), F.coalesce(F.col("_hit.n"), F.lit("ingest"))).alias("time_source"),
         over(rest, above).alias("data"),
-        F.when(F.col("_fields").isNull(), "json").alias("reject_reason"),
+        settled(F.when(F.col("_fields").isNull(), "json")).alias("reject_reason"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loglake.functions.text import trim_space
+from loglake.functions.text import settled, trim_space
 from loglake.functions.times import resolve_time
 from loglake.operators.lines import filter_lines, has_content, over, strip_prefix
 
@@ -53,9 +53,6 @@ def keyval_events(
         .when(F.size("_fields") == 0, "no fields")
         .when(~has_content(F.col("_fields")), "empty")
     )
-    judged = fields.withColumn("reject_reason", reason).withColumn("_merged", over(F.col("_fields"), F.col("prefix")))
-    stamp, source, rest = resolve_time(F.col("_merged"), late, time_field, time_format, tz)
-    return judged.select(
-        "file", "block", "pos", "value",
-        stamp.alias("_time"), source.alias("time_source"), rest.alias("data"), "reject_reason",
-    )
+    judged = fields.withColumn("reject_reason", settled(reason)).withColumn("_fields", over(F.col("_fields"), F.col("prefix")))
+    timed = resolve_time(judged, late, time_field, time_format, tz)
+    return timed.select("file", "block", "pos", "value", "_time", "time_source", "data", "reject_reason")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loglake.functions.documents import balanced, document_shape, parse_doc
 from loglake.functions.regexes import is_match, line_pattern
-from loglake.functions.text import trim_space
+from loglake.functions.text import settled, trim_space
 from loglake.functions.times import ISO_LOCAL, ISO_OFFSET, TimeFormat, infer_year
 from loglake.functions.typing import as_double
 from loglake.operators.grouping import carry_forward
@@ -120,7 +120,7 @@ def mongo_events(
         "prefix",
     )
     shaped = with_document_shape(command_query(split_namespace(flatten_changelog(out))))
-    return shaped.withColumn("reject_reason", reason).drop("_header")
+    return shaped.withColumn("reject_reason", settled(reason)).drop("_header")
 
 
 def flatten_changelog(df: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loglake.functions.regexes import is_match, line_pattern, matched_text
 from loglake.functions.sqltext import sql_fingerprint
+from loglake.functions.text import settled
 from loglake.functions.times import TimeFormat, unix_millis
 from loglake.functions.typing import as_double, type_pg_meta
 from loglake.operators.grouping import group_continuations
@@ -95,7 +96,7 @@ def postgres_slow_events(
         as_double(field("duration")).alias("duration"),
         *[(type_pg_meta(field(n)) if n in _NUMBERS else field(n)).alias(n) for n in plain],
         F.when(is_match(F.col("_cap")), query).alias("query"),
-        F.when(~is_match(F.col("_cap")), "not a statement").alias("reject_reason"),
+        settled(F.when(~is_match(F.col("_cap")), "not a statement")).alias("reject_reason"),
     )
     # The log keeps the closing semicolon, and so does the fingerprint.
     return sql_fingerprint(read)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loglake.functions.regexes import LinePattern, line_pattern
 from loglake.functions.sqltext import comments, normalize, statement, tables_in
-from loglake.functions.text import trim_space
+from loglake.functions.text import settled, trim_space
 from loglake.functions.times import ISO_LOCAL, TimeFormat, combine_time
 from loglake.functions.typing import as_double, as_long
 from loglake.operators.grouping import group_slow_log, is_banner
@@ -182,7 +182,7 @@ def fold_entry(entries: DataFrame, ingest_time: Column | None = None) -> DataFra
         F.when(F.col("_real"), tables_in(F.col("normalized_query"))).alias("tables"),
         F.when(F.col("_real"), statement(F.col("normalized_query"))).alias("statement"),
         F.when(F.col("_real"), comments(F.col("query"))).alias("comments"),
-        reason.alias("reject_reason"),
+        settled(reason).alias("reject_reason"),
         F.when(reason.isNotNull(), F.array_join("lines", "\n")).alias("value"),
     )
 

@@ -27,3 +27,13 @@ def unbracket(col: Column) -> Column:
     """Remove one matching pair of (), [] or {} around the text."""
     wrapped = col.rlike(r"(?s)\A(?:\(.*\)|\[.*\]|\{.*\})\z")
     return F.when(wrapped, F.substring(col, F.lit(2), F.length(col) - 2)).otherwise(col)
+
+
+def settled(col: Column) -> Column:
+    """A costly result that is filtered on later, computed once where it stands.
+
+    A filter is normally pushed below the projection that makes its column, with the
+    whole expression copied into it, so every line would be parsed twice. The test on a
+    random number always holds; it only keeps the optimizer from copying.
+    """
+    return F.when(F.rand(0) != 2.0, col)

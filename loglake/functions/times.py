@@ -13,7 +13,7 @@ from datetime import datetime
 from functools import reduce
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fields that usually hold the time of an event, in probing order.
@@ -207,32 +207,41 @@ def parse_time(col: Column, fmt: str | None = None, tz: str = "UTC") -> Column:
     return F.coalesce(*tries)
 
 
+def time_hits(names: Sequence[str], text_of, fmt: str | None, tz: str) -> Column:
+    """The named fields that are there, in order, as ``array<struct<n, t>>``.
+
+    One expression inside a lambda, so the layouts are tried for present fields only.
+    """
+    every = F.array(*[F.lit(n) for n in names])
+    present = F.filter(every, lambda n: text_of(n).isNotNull())
+    return F.transform(present, lambda n: F.struct(n.alias("n"), parse_time(text_of(n), fmt, tz).alias("t")))
+
+
 def resolve_time(
-    fields: Column,
+    df: DataFrame,
     ingest_time: Column,
     field: str | None = None,
     fmt: str | None = None,
     tz: str = "UTC",
-) -> tuple[Column, Column, Column]:
-    """Event time out of a string map: ``(time, source field or 'ingest', map without the field)``.
+    fields: str = "_fields",
+) -> DataFrame:
+    """Take the event time out of a string map: adds ``_time``, ``time_source``, ``data``.
 
     With ``field`` only that field counts; otherwise the well-known names are tried
-    in order. What cannot be parsed falls back to ``ingest_time``, a column of the
-    caller, so that a second run gives the same answer.
+    in order, and the one that was used (or tried last) leaves the map. What cannot be
+    parsed falls back to ``ingest_time``, a column of the caller, so that a second run
+    gives the same answer.
     """
     names: Sequence[str] = (field,) if field else TIME_FIELDS
-    source = F.lit(None).cast("string")
-    stamp = F.lit(None).cast("timestamp")
-    last_seen = F.lit(None).cast("string")
-    for name in reversed(names):
-        here = parse_time(F.element_at(fields, F.lit(name)), fmt, tz)
-        has = F.map_contains_key(fields, F.lit(name))
-        stamp = F.coalesce(here, stamp)
-        source = F.when(here.isNotNull(), F.lit(name)).otherwise(source)
-        last_seen = F.coalesce(last_seen, F.when(has, F.lit(name)))
-    used = F.coalesce(source, last_seen)
-    rest = F.map_filter(fields, lambda k, v: ~k.eqNullSafe(used))
-    return F.coalesce(stamp, ingest_time), F.coalesce(source, F.lit("ingest")), rest
+    hits = df.withColumn("_hits", time_hits(names, lambda n: F.element_at(fields, n), fmt, tz))
+    hit = hits.withColumn("_hit", F.get(F.filter("_hits", lambda h: h["t"].isNotNull()), F.lit(0)))
+    used = F.coalesce(F.col("_hit.n"), F.try_element_at("_hits", F.lit(-1))["n"])
+    return hit.withColumn("_used", used).select(
+        *df.columns,
+        F.coalesce(F.col("_hit.t"), ingest_time).alias("_time"),
+        F.coalesce(F.col("_hit.n"), F.lit("ingest")).alias("time_source"),
+        F.map_filter(fields, lambda k, v: ~k.eqNullSafe(F.col("_used"))).alias("data"),
+    )
 
 
 def infer_year(month_day_time: Column, reference: Column, fmt: TimeFormat, tz: str = "UTC") -> Column:
