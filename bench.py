@@ -48,6 +48,7 @@ def main() -> None:
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -8,6 +8,7 @@ the driver; the work itself stays in built-in string functions.
 from __future__ import annotations
 
 import re
+import warnings
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -171,7 +172,9 @@ def _check(source: str) -> None:
     probe = re.sub(r"\(\?<([A-Za-z_]\w*)>", r"(?P<\1>", probe).replace("\\z", "\\Z")
     probe = re.sub(r"(?<!^)\(\?([ims]+)\)", "", probe)
     try:
-        re.compile(probe)
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore", FutureWarning)
+            re.compile(probe)
     except re.error as err:
         raise PatternError(f"bad pattern {source!r}: {err}") from err
 

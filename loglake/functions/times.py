@@ -73,10 +73,10 @@ class TimeFormat:
         if not self.zone_word:
             return in_zone(stamp, tz)
         # A zone word is only known where the chosen zone uses it; else it means UTC.
-        shift = F.lit(0)
+        shift = F.lit(0).cast("bigint")
         for word, seconds in _zone_words(tz).items():
-            shift = F.when(named.rlike(rf"\b{word}\b"), F.lit(seconds)).otherwise(shift)
-        return F.timestamp_micros(F.unix_micros(stamp) - shift * 1_000_000)
+            shift = F.when(named.rlike(rf"\b{word}\b"), F.lit(seconds * 1_000_000).cast("bigint")).otherwise(shift)
+        return F.timestamp_micros(F.unix_micros(stamp) - shift)
 
 
 def _zone_words(tz: str) -> dict[str, int]:

@@ -16,18 +16,21 @@ def bucket_floor(value: Column, bits: int = 10) -> Column:
     return value - F.pmod(value, unit)
 
 
-def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, permille: int, out: str) -> DataFrame:
+def value_counts(df: DataFrame, keys: Sequence[str], value: str, count: Column | None = None) -> DataFrame:
+    """Rows per key and distinct value as ``(keys, value, n)``, combined before the shuffle."""
+    n = F.count("*") if count is None else F.sum(count)
+    return df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(n.alias("n"))
+
+
+def exact_quantile(counts: DataFrame, keys: Sequence[str], value: str, permille: int, out: str) -> DataFrame:
     """The smallest value with at least ``permille``/1000 of a group's rows at or below it.
 
-    ``value`` is a non-negative BIGINT. Rows are first counted per distinct value, then
-    per bucket of near values; the histogram of a group is bounded, and only the values
-    of the one bucket that holds the rank are looked at singly.
+    ``counts`` is the result of ``value_counts`` with a non-negative BIGINT value. It is
+    first summed per bucket of near values; the histogram of a group is bounded, and
+    only the values of the one bucket that holds the rank are looked at singly.
     """
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).alias("_v"))
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_bucket", bucket_floor(F.col("_v")))
+    counts = counts.select(*keys, F.col(value).alias("_v"), F.col("n").alias("_n")).withColumn(
+        "_bucket", bucket_floor(F.col("_v"))
     )
     histogram = counts.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_bn"))
     by_key = Window.partitionBy(*keys)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loglake.operators.quantiles import exact_quantile
+from loglake.session import staged
 
 MICROS = 1_000_000
 
@@ -18,18 +19,27 @@ def _micros(seconds: Column) -> Column:
 def slow_query_digest(events: DataFrame, top: int | None = None) -> DataFrame:
     """Per fingerprint: calls, time (total, average, p95, maximum), rows, share of all time.
 
-    The share needs one total over all fingerprints, which is summed from the digest.
+    Runs one job at once: events are counted per fingerprint and time and staged, so
+    they are read once though the digest needs them for several figures.
     """
-    timed = events.withColumn("_us", _micros(F.col("query_time")))
     weight = F.coalesce(F.col("sample_rate"), F.lit(1)) if "sample_rate" in events.columns else F.lit(1)
+    # One pass over the events; the totals, the quantile and the share read its result.
+    timed = staged(
+        events.groupBy("normalized_query", _micros(F.col("query_time")).alias("us")).agg(
+            F.sum(weight).cast("bigint").alias("n"),
+            F.sum(F.col("rows_examined") * weight).alias("rows_examined"),
+            F.sum(F.col("rows_sent") * weight).alias("rows_sent"),
+        ),
+        "query-times",
+    )
     base = timed.groupBy("normalized_query").agg(
-        F.sum(weight).cast("bigint").alias("calls"),
-        F.sum(F.col("_us") * weight).alias("total_us"),
-        F.max("_us").alias("max_us"),
-        F.sum(F.col("rows_examined") * weight).alias("rows_examined"),
-        F.sum(F.col("rows_sent") * weight).alias("rows_sent"),
+        F.sum("n").alias("calls"),
+        F.sum(F.col("us") * F.col("n")).alias("total_us"),
+        F.max("us").alias("max_us"),
+        F.sum("rows_examined").alias("rows_examined"),
+        F.sum("rows_sent").alias("rows_sent"),
     )
-    p95 = exact_quantile(timed, ["normalized_query"], "_us", 950, "p95_us")
+    p95 = exact_quantile(timed.filter(F.col("us").isNotNull()), ["normalized_query"], "us", 950, "p95_us")
     all_time = base.agg(F.sum("total_us")).scalar()
     digest = base.join(p95, "normalized_query", "left").select(
         "normalized_query",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results: fixed for every session.
 SEMANTICS = {
@@ -20,6 +20,8 @@ PLANNING = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # The JVM does not compile longer methods; wide parse projections go over the limit.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 SHARED_DIR_KEY = "spark.checkpoint.dir"
@@ -64,6 +66,17 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dirs[app]
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The table written to the shared folder and read back.
+
+    For a small result that several branches of a plan need: they read it instead of
+    each computing it from the start, and lost executors do not bring that work back.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing has written to."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
