@@ -21,7 +21,7 @@ from loglake.operators.lines import split_rejects
 from loglake.plans.pipeline import run_batch
 from loglake.session import fresh_path
 from loglake.sources.files import backfill
-from loglake.sources.tables import read_table
+from loglake.sources.tables import read_events
 from loglake.streaming.ingest import pace
 from loglake.streaming.windows import late_events, rate_window, status_window
 
@@ -504,5 +504,5 @@ def _ingest_config(spark: SparkSession, sf: str) -> DataFrame:
     cfg = IngestConfig("mysql_slow", [R.slow_log_path(spark, sf)], out, drop_fields=["client"], scrub_fields=["user"],
                        add_fields={"role": "r1"}, backfill=True)
     run_batch(spark, cfg)
-    stored = read_table(spark, out)
+    stored = read_events(spark, out)
     return stored.select(F.col("rows_examined").alias("o_orderkey"), stamp_text(F.col("_time")).alias("at"), "user", "client", "role", "query_time")

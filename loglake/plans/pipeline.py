@@ -13,7 +13,7 @@ from loglake.operators.lines import split_rejects
 from loglake.operators.sampling import dynamic_sample, sample_lines
 from loglake.operators.transforms import add_fields, drop_fields, scrub_fields
 from loglake.sources.files import backfill
-from loglake.sources.tables import conform, write_table
+from loglake.sources.tables import conform, with_outcome, write_table
 
 
 def parse(lines: DataFrame, cfg: IngestConfig, ingest_time: Column | None = None) -> DataFrame:
@@ -37,7 +37,7 @@ def parse(lines: DataFrame, cfg: IngestConfig, ingest_time: Column | None = None
 
 
 def reshape(events: DataFrame, cfg: IngestConfig) -> DataFrame:
-    """Drop, scrub, add, shape, sample: always in this order."""
+    """Drop, scrub, add, shape: always in this order."""
     out = drop_fields(events, cfg.drop_fields)
     out = scrub_fields(out, cfg.scrub_fields)
     out = add_fields(out, cfg.add_fields)
@@ -46,17 +46,21 @@ def reshape(events: DataFrame, cfg: IngestConfig) -> DataFrame:
             out = out.withColumn(field, F.element_at("data", F.lit(field)).cast("string"))
         if field in out.columns:
             out = request_shape(out, field, cfg.request_patterns, cfg.shape_prefix, cfg.query_mode, cfg.query_keys)
-    if cfg.dynamic:
-        for key in cfg.dynamic_keys:
-            if key not in out.columns:
-                have = F.element_at("data", F.lit(key)).cast("string") if "data" in out.columns else F.lit("")
-                out = out.withColumn(key, have)
-        out = dynamic_sample(
-            out, cfg.dynamic_keys, cfg.sample_rate, cfg.dynamic_window_seconds, cfg.dynamic_min_per_second
-        )
     return out
 
 
+def sample(events: DataFrame, cfg: IngestConfig) -> DataFrame:
+    """Dynamic sampling, last, so that its keys may be shaped fields."""
+    out = events
+    for key in cfg.dynamic_keys:
+        if key not in out.columns:
+            have = F.element_at("data", F.lit(key)).cast("string") if "data" in out.columns else F.lit("")
+            out = out.withColumn(key, have)
+    return dynamic_sample(
+        out, cfg.dynamic_keys, cfg.sample_rate, cfg.dynamic_window_seconds, cfg.dynamic_min_per_second
+    )
+
+
 def to_table(events: DataFrame, cfg: IngestConfig) -> tuple[DataFrame, tuple[str, ...]]:
     """Fit events to the table of their format, or add the stored time columns."""
     spec = TABLE_OF.get(cfg.format)
@@ -64,14 +68,29 @@ def to_table(events: DataFrame, cfg: IngestConfig) -> tuple[DataFrame, tuple[str
     stored = events.withColumn("_stamp", F.col("_time"))
     stored = stored.withColumn("_time", second).withColumn("_date", day).withColumn("_ms", millis).drop("_stamp")
     if spec is None:
-        return stored.drop("value", "block", "prefix"), ("_time",)
+        return stored.drop("block", "prefix"), ("_time",)
     return conform(stored, spec), spec.sort_by
 
 
-def run_batch(spark: SparkSession, cfg: IngestConfig, ingest_time: Column | None = None) -> DataFrame:
-    """Read everything once and append it to the dataset. Returns the rejects (lazy)."""
-    lines = backfill(spark, cfg.paths)
-    events, rejects = split_rejects(parse(lines, cfg, ingest_time))
-    table, sort_by = to_table(reshape(events, cfg), cfg)
-    write_table(table, cfg.dataset, sort_by)
-    return rejects
+def ingested(lines: DataFrame, cfg: IngestConfig, ingest_time: Column | None = None) -> tuple[DataFrame, tuple[str, ...]]:
+    """Stored rows of a job, events and rejects marked by ``_outcome``, and their sort order.
+
+    One pass over the lines; dynamic sampling needs its counts first and takes two.
+    """
+    parsed = parse(lines, cfg, ingest_time)
+    if not cfg.dynamic:
+        table, sort_by = to_table(reshape(parsed, cfg), cfg)
+        return with_outcome(table), sort_by
+    events, _ = split_rejects(parsed)
+    table, sort_by = to_table(sample(reshape(events, cfg), cfg), cfg)
+    rejects, _ = to_table(parsed.filter(F.col("reject_reason").isNotNull()), cfg)
+    return with_outcome(table.unionByName(rejects, allowMissingColumns=True)), sort_by
+
+
+def run_batch(spark: SparkSession, cfg: IngestConfig, ingest_time: Column | None = None) -> None:
+    """Read everything once and append it to the dataset, rejects in folders of their own.
+
+    Read it back with ``read_events`` and ``read_rejects``.
+    """
+    table, sort_by = ingested(backfill(spark, cfg.paths), cfg, ingest_time)
+    write_table(table, cfg.dataset, sort_by, extra_partitions=["_outcome"])

@@ -48,7 +48,7 @@ def conform(events: DataFrame, table: TableSpec, renames: dict[str, str] | None
     if "extra" in events.columns:
         parts.insert(0, F.coalesce(F.col("extra"), F.create_map().cast("map<string,string>")))
     merged = F.map_concat(*parts) if len(parts) > 1 else (parts[0] if parts else F.create_map().cast("map<string,string>"))
-    keep = [c for c in ("file", "pos", "sample_rate") if c in events.columns]
+    keep = [c for c in ("file", "pos", "sample_rate", "reject_reason", "value") if c in events.columns]
     return events.select(*out, *keep, merged.alias("extra"))
 
 
@@ -78,10 +78,16 @@ def write_table(
     laid_out.write.mode(mode).partitionBy(*by).parquet(path)
 
 
+def with_outcome(parsed: DataFrame) -> DataFrame:
+    """Mark rows ``ok`` or ``rejected``; the raw text stays with rejected rows only."""
+    bad = F.col("reject_reason").isNotNull()
+    marked = parsed.withColumn("_outcome", F.when(bad, "rejected").otherwise("ok"))
+    return marked.withColumn("value", F.when(bad, F.col("value"))) if "value" in parsed.columns else marked
+
+
 def write_outcome(parsed: DataFrame, path: str, sort_by: Sequence[str] = ("_time",), mode: str = "append") -> None:
     """Events and rejects in one pass over the parse: ``_outcome=ok|rejected`` folders."""
-    outcome = F.when(F.col("reject_reason").isNull(), "ok").otherwise("rejected")
-    write_table(parsed.withColumn("_outcome", outcome), path, sort_by, mode, ["_outcome"])
+    write_table(with_outcome(parsed), path, sort_by, mode, ["_outcome"])
 
 
 def read_table(
@@ -97,3 +103,17 @@ def read_table(
     if date_to is not None:
         table = table.filter(F.col("_date") <= F.lit(str(date_to)).cast("date"))
     return table
+
+
+def read_events(
+    spark: SparkSession, path: str, date_from: date | str | None = None, date_to: date | str | None = None
+) -> DataFrame:
+    """The events of a table written with ``write_outcome``."""
+    table = read_table(spark, path, date_from, date_to).filter(F.col("_outcome") == "ok")
+    return table.drop("_outcome", "reject_reason", "value")
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """What did not parse, with the reason; only its folders are read."""
+    rejected = spark.read.parquet(path).filter(F.col("_outcome") == "rejected")
+    return rejected.select("file", "pos", "value", "reject_reason")

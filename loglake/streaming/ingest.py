@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loglake.config import IngestConfig
-from loglake.operators.lines import split_rejects
-from loglake.plans.pipeline import parse, reshape, to_table
+from loglake.plans.pipeline import ingested
 from loglake.sources.files import SIDE_FILES, order_lines
 from loglake.sources.tables import write_table
 
@@ -82,7 +81,8 @@ def write_batches(
     """
     def one_batch(batch: DataFrame, number: int) -> None:
         done = parse_batch(order_lines(batch))
-        write_table(done, f"{path}/_batch={number}", mode="overwrite")
+        parts = ["_outcome"] if "_outcome" in done.columns else []
+        write_table(done, f"{path}/_batch={number}", mode="overwrite", extra_partitions=parts)
 
     writer = lines.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
     return pace(writer, seconds, once).start()
@@ -108,8 +108,7 @@ def run_stream(spark: SparkSession, cfg: IngestConfig) -> StreamingQuery:
     lines = ingest_stream(spark, cfg.paths[0], cfg.read_from, max_files=cfg.max_files_per_trigger)
 
     def batch(ordered: DataFrame) -> DataFrame:
-        events, _ = split_rejects(parse(ordered, cfg))
-        return to_table(reshape(events, cfg), cfg)[0]
+        return ingested(ordered, cfg)[0]
 
     return write_batches(
         lines, batch, cfg.dataset, resume_point(cfg.checkpoint, cfg.read_from), cfg.stop, cfg.flush_seconds

@@ -7,7 +7,7 @@ from loglake.config import ConfigError, IngestConfig
 from loglake.plans.pipeline import run_batch
 from loglake.schemas import ACCESS_LOG, MYSQL_SLOW
 from loglake.sources.files import file_guard, read_lines
-from loglake.sources.tables import conform, read_table, write_table
+from loglake.sources.tables import conform, read_events, read_rejects, read_table, write_table
 from loglake.streaming.ingest import ingest_stream, read_batches, resume_point, run_stream, write_batches
 from loglake.streaming.windows import status_window
 
@@ -75,19 +75,21 @@ def test_batch_job(spark, tmp_path):
     cfg = IngestConfig(
         "keyval", [str(tmp_path / "in.log")], str(tmp_path / "out"), drop_fields=["id"], scrub_fields=["host"], add_fields={"env": "t"},
         request_shape=["msg"], request_patterns=["/help/:lang"], query_keys=["k"], timezone="UTC")
-    rejects = run_batch(spark, cfg)
-    assert sorted(r.reject_reason for r in rejects.collect()) == ["empty", "quote"]
-    rows = read_table(spark, str(tmp_path / "out")).collect()
+    run_batch(spark, cfg)
+    rejects = read_rejects(spark, str(tmp_path / "out")).collect()
+    assert sorted((r.reject_reason, r.value) for r in rejects) == [("empty", "a="), ("quote", 'b="')]
+    rows = read_events(spark, str(tmp_path / "out")).collect()
     assert len(rows) == 30
     assert all(r.msg_shape == "/help/:lang?k=?" and r.msg_path_lang == "en" and r.data["env"] == "t" for r in rows)
     assert all("id" not in r.data and len(r.data["host"]) == 64 and r.sample_rate == 1 for r in rows)
 
 
 def test_dynamic_batch_job(spark, tmp_path):
-    (tmp_path / "in.log").write_text("\n".join(LOG))
+    (tmp_path / "in.log").write_text("\n".join(LOG + ["a="]))
     cfg = IngestConfig("keyval", [str(tmp_path / "in.log")], str(tmp_path / "out"), sample_rate=2, dynamic_keys=["host"])
     run_batch(spark, cfg)
-    rows = read_table(spark, str(tmp_path / "out")).collect()
+    assert read_rejects(spark, str(tmp_path / "out")).count() == 1
+    rows = read_events(spark, str(tmp_path / "out")).collect()
     assert 0 < len(rows) <= 30 and {r.sample_key for r in rows} <= {"h0", "h1"}
 
 
