@@ -30,10 +30,22 @@ LOCK_MODES = {"r": "read", "w": "write", "R": "shared", "W": "exclusive"}
 LOCK_METRICS = {"acquireCount": "lock", "acquireWaitCount": "lock_wait", "timeAcquiringMicros": "lock_wait_us"}
 
 
-def _doc_after(body: Column, marker: str) -> Column:
-    """The balanced document that follows the first ``marker`` (a regex)."""
-    rest = F.regexp_extract(body, rf"(?s)(?:^|\s){marker}(\{{.*)$", 1)
-    return F.when(rest != "", balanced(rest))
+# What stands before each document of a line, as plain text to look for
+# first and as a pattern.
+DOCUMENTS = {
+    "command": ("command: ", r"command: \w+ "),
+    "query": ("query: ", "query: "),
+    "update": ("update: ", "update: "),
+    "locks": ("locks:{", "locks:"),
+    "changelog": ("changelog: ", "into changelog: "),
+}
+
+
+def _from_doc(body: Column, name: str) -> Column:
+    """The text from the first brace after a marker on; NULL if there is none."""
+    mark, pattern = DOCUMENTS[name]
+    rest = F.when(body.contains(mark), F.regexp_extract(body, rf"(?s)(?:^|\s){pattern}(\{{.*)$", 1))
+    return F.when(rest != "", rest)
 
 
 def mongo_events(
@@ -58,15 +70,8 @@ def mongo_events(
         return header.field(F.col("_cap"), name)
 
     read = read.withColumn("_body", head("body")).withColumn("_op", operation.captures(F.col("_body")))
-    read = read.withColumns({
-        "_command": _doc_after(F.col("_body"), r"command: \w+ "),
-        "_query": _doc_after(F.col("_body"), "query: "),
-        "_update": _doc_after(F.col("_body"), "update: "),
-        "_locks": _doc_after(F.col("_body"), "locks:"),
-        "_changelog": _doc_after(F.col("_body"), "into changelog: "),
-    })
-    docs = ("command", "query", "update", "locks", "changelog")
-    read = read.withColumns({f"_{d}_v": parse_doc(F.col(f"_{d}")) for d in docs})
+    read = read.withColumns({f"_{d}": _from_doc(F.col("_body"), d) for d in DOCUMENTS})
+    read = read.withColumns({f"_{d}_v": parse_doc(balanced(F.col(f"_{d}"))) for d in DOCUMENTS})
     # Counters stand outside of documents and strings: name, colon, digits, without a space.
     plain = F.regexp_replace(F.regexp_replace("_body", _STRING, '""'), r"locks\(micros\)(?: [rRwW]:\d+)+", "")
     names = F.regexp_extract_all(plain, F.lit(r"(?:^|\s)([A-Za-z_]\w*):(\d+)(?=\s|$)"), F.lit(1))
@@ -77,8 +82,8 @@ def mongo_events(
         F.transform(F.regexp_extract_all(micros, F.lit(r"([rRwW]):(\d+)"), F.lit(2)), lambda v: v.try_cast("bigint")),
     )
     broken = F.lit(False)
-    for d, marker in zip(docs, (r"command: \w+ \{", r"query: \{", r"update: \{", r"locks:\{", r"into changelog: \{")):
-        broken = broken | (F.col("_body").rlike(rf"(?:^|\s){marker}") & F.col(f"_{d}_v").isNull())
+    for d in DOCUMENTS:
+        broken = broken | (F.col(f"_{d}").isNotNull() & F.col(f"_{d}_v").isNull())
     now = reference_time if reference_time is not None else F.lit(None).cast("timestamp")
     stamp = F.when(
         head("stamp").rlike(r"^\d{4}"),

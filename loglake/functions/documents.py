@@ -40,19 +40,22 @@ def parse_whole(text: Column) -> Column:
 def balanced(text: Column) -> Column:
     """The leading ``{...}`` of a text with its braces balanced; NULL if it never closes."""
     tokens = F.regexp_extract_all(text, F.lit(_BRACES), F.lit(0))
-    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("doc"), F.lit(False).alias("done"))
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("size"), F.lit(False).alias("done"))
 
     def step(state: Column, token: Column) -> Column:
         depth = state["depth"] + F.when(token == "{", 1).when(token == "}", -1).otherwise(0)
         stepped = F.struct(
             depth.cast("int").alias("depth"),
-            F.concat(state["doc"], token).alias("doc"),
+            (state["size"] + F.length(token)).alias("size"),
             (depth == 0).alias("done"),
         )
         return F.when(state["done"], state).otherwise(stepped)
 
-    end = F.aggregate(tokens, start, step)
-    return F.when(text.startswith("{") & end["done"], end["doc"])
+    def cut(end: Column) -> Column:
+        return F.when(end["done"], F.substring(text, F.lit(1), end["size"]))
+
+    end = F.transform(F.array(F.aggregate(tokens, start, step)), cut)
+    return F.when(text.startswith("{"), F.get(end, F.lit(0)))
 
 
 def to_json_text(doc: Column) -> Column:

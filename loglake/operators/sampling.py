@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loglake.operators.transforms import sample_key
+from loglake.session import staged
 
 _HASH_SPAN = 16**8
 
@@ -81,20 +82,28 @@ def dynamic_sample(
     """Thin frequent keys by the counts of the window before; keep rare ones.
 
     A key not seen in that window has rate 1; where that window has no rows at all,
-    the rate is ``goal``. The joins are on window and key: the rate table holds one
-    row per pair, and AQE splits a pair with many events.
+    the rate is ``goal``. The join is on window and key: the rate table holds one row
+    per pair, and AQE splits a pair with many events. The counts are taken by a job of
+    their own and staged, so the events are read twice in all.
     """
     if goal < 2:
         raise ValueError("dynamic sampling needs a goal rate of at least 2")
     start = (F.floor(F.unix_seconds(time) / seconds) * seconds).cast("bigint")
-    keyed = events.withColumn("sample_key", sample_key([F.col(k) for k in keys])).withColumn("window_start", start)
-    counts = window_counts(events, sample_key([F.col(k) for k in keys]), seconds, time)
-    rates = window_rates(counts, goal, seconds, min_per_second)
+    key = sample_key([F.col(k) for k in keys])
+    counts = staged(window_counts(events, key, seconds, time), "window-counts")
+    before = window_rates(counts, goal, seconds, min_per_second)
     counted = counts.select((F.col("window_start") + seconds).alias("window_start")).distinct().withColumn("_counted", F.lit(True))
-    rated = keyed.join(rates, ["window_start", "sample_key"], "left").join(counted, "window_start", "left")
+    # Settled on the counts, which hold every pair the events have: one join of the events.
     rate = F.coalesce("rate", F.when(F.col("_counted"), F.lit(1)).otherwise(F.lit(goal))).cast("int")
+    rates = (
+        counts.select("window_start", "sample_key")
+        .join(before, ["window_start", "sample_key"], "left").join(counted, "window_start", "left")
+        .select("window_start", "sample_key", rate.alias("sample_rate"))
+    )
+    keyed = events.drop("sample_rate").withColumn("sample_key", key).withColumn("window_start", start)
+    rated = keyed.join(rates, ["window_start", "sample_key"])
     spot = hash_position(F.concat_ws("|", *[F.col(k).cast("string") for k in row_key]))
-    kept = rated.withColumn("sample_rate", rate).filter(spot * F.col("sample_rate") < _HASH_SPAN)
+    kept = rated.filter(spot * F.col("sample_rate") < _HASH_SPAN)
     return kept.select(*[c for c in events.columns if c != "sample_rate"], "sample_key", "sample_rate")
 
 

@@ -24,6 +24,7 @@ PLANNING = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+SPLIT_KEY = "spark.sql.files.minPartitionNum"
 SHARED_DIR_KEY = "spark.checkpoint.dir"
 PARTITION_BYTES = 256 * 1024 * 1024
 
@@ -34,6 +35,9 @@ def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     """Apply the settings above; with ``input_bytes``, size the shuffles for that input."""
     for key, value in {**SEMANTICS, **PLANNING}.items():
         spark.conf.set(key, value)
+    # Two scans of the same files must cut them alike, whatever executors come and go.
+    if spark.conf.get(SPLIT_KEY, None) is None:
+        spark.conf.set(SPLIT_KEY, str(spark.sparkContext.defaultParallelism))
     if input_bytes:
         slots = spark.sparkContext.defaultParallelism
         wanted = max(slots, -(-input_bytes // PARTITION_BYTES))

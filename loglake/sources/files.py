@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Side files a tailing agent leaves next to its logs.
@@ -25,30 +26,28 @@ def read_lines(
     raw = spark.read.option("lineSep", "\n").text(wanted)
     if require_input:
         file_guard(raw, exclude)
-    lines = raw.select(
+    return raw.filter(_wanted(exclude)).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         "value",
-        F.col("_metadata.file_name").alias("_name"),
     )
-    if exclude:
-        lines = lines.filter(~F.col("_name").rlike(f"^(?:{exclude})$"))
-    return lines.drop("_name")
 
 
-def file_guard(raw: DataFrame, exclude: str | None) -> list[str]:
-    """The input files without side files; an error if none is left.
+def _wanted(exclude: str | None) -> Column:
+    """Spark applies a filter on the file name to the listing, before it reads."""
+    return ~F.col("_metadata.file_name").rlike(f"^(?:{exclude})$") if exclude else F.lit(True)
 
-    Reads the file listing only, not the data.
-    """
-    import re
 
-    names = raw.inputFiles()
-    skip = re.compile(f"(?:{exclude})") if exclude else None
-    kept = [n for n in names if not (skip and skip.fullmatch(n.rsplit("/", 1)[-1]))]
-    if not kept:
+def file_guard(raw: DataFrame, exclude: str | None) -> None:
+    """An error if no input file is left besides side files.
+
+    One line is enough to know; only where there is none are the file names looked at.
+    """
+    if not raw.filter(_wanted(exclude)).select("value").limit(1).isEmpty():
+        return
+    skip = re.compile(exclude) if exclude else None
+    if not any(not (skip and skip.fullmatch(name.rsplit("/", 1)[-1])) for name in raw.inputFiles()):
         raise FileNotFoundError("no log file is left to read")
-    return kept
 
 
 def order_lines(lines: DataFrame) -> DataFrame:
