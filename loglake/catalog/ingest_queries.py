@@ -51,6 +51,15 @@ def _read_lines(spark: SparkSession, sf: str) -> DataFrame:
     return read_lines(spark, _event_lines_path(spark, sf)).select("value")
 
 
+@query("file_guard", f"SELECT {EVENT_LINE_SQL} AS value FROM events")
+def _file_guard(spark: SparkSession, sf: str) -> DataFrame:
+    # Side files of another kind lie between the logs and must not be read.
+    path = fresh_path(spark, "mixed")
+    spark.read.text(_event_lines_path(spark, sf)).write.option("lineSep", "\n").text(path)
+    events_table(spark, sf).select("event_id", "props").write.mode("append").json(path)
+    return read_lines(spark, path, exclude=r".*\.json").select("value")
+
+
 def _id_in_line(col: str = "value") -> Column:
     return F.regexp_extract(col, r"id=(\d+)", 1).cast("bigint")
 

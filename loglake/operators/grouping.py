@@ -18,17 +18,22 @@ as ``order_lines`` delivers them. For other line tables use ``in_file_order`` fi
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loglake.functions.regexes import line_pattern
 from loglake.functions.text import trim_space
 
+# The cutting functions travel with the job, so workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Lines a database server prints when its log is reopened.
 BANNERS = (
     "/.*, Version: .* .*MySQL Community Server.*",
