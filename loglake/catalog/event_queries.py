@@ -18,7 +18,7 @@ from loglake.functions.urls import query_pairs, query_shape, request_shape
 from loglake.operators import quality, rollups, sampling, transforms
 from loglake.operators.hosts import enrich_host
 from loglake.operators.lines import split_rejects
-from loglake.plans.pipeline import run_batch
+from loglake.plans.jobs import run_batch
 from loglake.session import fresh_path
 from loglake.sources.files import backfill
 from loglake.sources.tables import read_events

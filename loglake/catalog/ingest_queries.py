@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loglake.catalog import render as R
-from loglake.catalog.base import events_table, money, query, stamp_text, table, text, written
+from loglake.catalog.base import events_table, query, stamp_text, table, text, written
 from loglake.formats.access_log import access_log_events
 from loglake.formats.arango import arango_requests, pair_requests
 from loglake.formats.audit_log import mysql_audit_events
@@ -20,7 +20,7 @@ from loglake.functions.typing import typeify_keyval
 from loglake.operators.grouping import group_continuations, group_slow_log
 from loglake.operators.lines import drop_empty, filter_lines, merge_prefix, split_rejects, strip_prefix, trim_lines
 from loglake.operators.quality import ingest_quality
-from loglake.schemas import ACCESS_LOG, MYSQL_AUDIT, MYSQL_SLOW
+from loglake.schemas import MYSQL_AUDIT, MYSQL_SLOW
 from loglake.session import fresh_path
 from loglake.sources.files import backfill, lines_from, order_lines, read_lines
 from loglake.sources.tables import conform, read_table, write_outcome, write_table

@@ -34,7 +34,8 @@ def slow_query_digest(events: DataFrame, top: int | None = None) -> DataFrame:
     )
     base = timed.groupBy("normalized_query").agg(
         F.sum("n").alias("calls"),
-        F.sum(F.col("us") * F.col("n")).alias("total_us"),
+        # All time of a large log is more microseconds than a BIGINT holds.
+        F.sum(F.col("us").cast("decimal(20,0)") * F.col("n")).cast("double").alias("total_us"),
         F.max("us").alias("max_us"),
         F.sum("rows_examined").alias("rows_examined"),
         F.sum("rows_sent").alias("rows_sent"),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loglake.config import IngestConfig
-from loglake.plans.pipeline import ingested
+from loglake.plans.jobs import ingested
 from loglake.sources.files import SIDE_FILES, order_lines
 from loglake.sources.tables import write_table
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loglake.config import ConfigError, IngestConfig
-from loglake.plans.pipeline import run_batch
+from loglake.plans.jobs import run_batch
 from loglake.schemas import ACCESS_LOG, MYSQL_SLOW
 from loglake.sources.files import file_guard, read_lines
 from loglake.sources.tables import conform, read_events, read_rejects, read_table, write_table
@@ -137,3 +137,50 @@ def test_reading_from_the_end_skips_old_files(spark, tmp_path):
 
 def test_status_interval_zero_is_off(spark):
     assert status_window(None, "d", 0) is None
+
+
+JOBS = {
+    "json": (['{"a":1,"time":"2024-01-01T00:00:00Z","o":{"x":[1]}}', "{"], {}),
+    "keyval": (['a=1 time="2024-01-01T00:00:00Z"', "="], {}),
+    "regex": (["2024-01-01T00:00:00Z word", "!"], {"patterns": [r"(?P<time>\S+Z) (?P<w>\w+)"]}),
+    "access_log": (['1.2.3.4 [08/Oct/2015:00:26:26 +0000] "GET /a?b=1 HTTP/1.1" 200', "x"],
+                   {"log_format": '$remote_addr [$time_local] "$request" $status'}),
+    "mysql_slow": (["# Time: 2016-04-01T00:31:09Z", "# Query_time: 1", "select 1;", "# administrator command: Ping;", "a;"], {}),
+    "mysql_audit": (['{"audit_record":{"timestamp":"2017-05-11T13:00:01 UTC","user":"u","more":"1"}}', "{}"], {}),
+    "postgres": (["2017-11-08 03:02:49 UTC [854-1] a@b LOG:  duration: 2.7 ms  statement: select 1", "\t;", "2017 x"], {}),
+    "mongo": (["2016-09-15T00:01:55.387+0000 I COMMAND [c] command p.c command: find { find: \"c\", filter: { y: 2 } } locks:{ Global: { acquireCount: { r: 2 } } } 29ms", "x"], {}),
+    "arango": (['2016-10-31T16:03:02Z [6402] DEBUG {requests} "b","0x7f","127.0.0.1","GET","HTTP/1.1",/v', "x"], {}),
+}
+
+
+@pytest.mark.parametrize("name", sorted(JOBS))
+def test_every_format_as_a_job(spark, tmp_path, name):
+    texts, options = JOBS[name]
+    (tmp_path / "in.log").write_text("\n".join(texts) + "\n")
+    out = str(tmp_path / "out")
+    run_batch(spark, IngestConfig(name, [str(tmp_path / "in.log")], out, format_options=options, add_fields={"zone": "z1"}))
+    events, rejects = read_events(spark, out), read_rejects(spark, out)
+    assert events.count() == 1 and rejects.count() == 1
+    row = events.first()
+    assert row._time is not None and row._date == row._time.date()
+    assert rejects.first().reject_reason
+
+
+def test_joins_without_broadcast_agree(spark):
+    import os
+
+    import __spark_entry__ as entry_points
+
+    sf_dir = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf_dir):
+        pytest.skip("no test tables")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    seen = {}
+    for limit in ("10485760", "-1"):
+        spark.conf.set(key, limit)
+        try:
+            for name in ("enrich_host", "dynamic_sample", "lifetime_totals", "carry_replica_set", "slow_query_digest"):
+                rows = sorted(str(r) for r in entry_points.queries()[name](spark, sf_dir).collect())
+                assert seen.setdefault(name, rows) == rows
+        finally:
+            spark.conf.unset(key)
