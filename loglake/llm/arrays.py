@@ -46,8 +46,8 @@ def powers(base: int, n: int, known: dict[int, np.ndarray]) -> np.ndarray:
     return have[:n]
 
 
-def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """First row, bytes, and row offsets of runs of rows of about ``limit`` bytes.
+def text_slices(column: pa.Array, limit: int = SLICE_BYTES, rows: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """First row, bytes, and row offsets of runs of at most ``rows`` rows of about ``limit`` bytes.
 
     A NULL is an empty text. A row longer than the limit is a slice of its own, whole.
     """
@@ -62,7 +62,7 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
     row = 0
     while row < len(column):
         end = int(np.searchsorted(offsets, offsets[row] + limit, side="right")) - 1
-        end = min(max(end, row + 1), len(column))
+        end = min(max(end, row + 1), row + rows, len(column))
         yield row, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loglake.llm import near_dup
+from loglake.llm import decontaminate, lang_id, line_dedup, near_dup
+from loglake.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,3 +26,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op9_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = line_dedup.dedup_lines(docs, fresh_path(spark, "line-index"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+ORACLES["op3_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, row_no, u.pos, u.line,
+         translate(trim(u.line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, row_number() OVER () AS row_no, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+       LATERAL (SELECT unnest(parts) AS line, unnest(range(1, len(parts) + 1)) AS pos) AS u
+), common AS (
+  SELECT key, max(doc_id) AS last_doc FROM lines WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), marked AS (
+  SELECT l.doc_id, l.row_no, l.pos, l.line, c.key IS NOT NULL AND l.doc_id <> c.last_doc AS gone
+  FROM lines l LEFT JOIN common c ON l.key = c.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id, row_no
+"""
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lang_id.language_report(docs, lang_id.fit(docs.select("doc_id", "lang", "text")))
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
