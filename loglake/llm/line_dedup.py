@@ -242,3 +242,10 @@ def dedup_lines(docs: DataFrame, root: str, min_chars: int = MIN_CHARS, min_docs
     index = LineIndex(docs.sparkSession, root, min_chars, min_docs)
     index.insert(docs)
     return index.clean(docs, index.references().select("doc_id", "shard", "key"))
+
+
+def with_length(docs: DataFrame) -> DataFrame:
+    """n_chars, where there is such a column, as the length of the text as it is now; NULL stays."""
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length(F.coalesce("text", F.lit("")))).cast("long"))
