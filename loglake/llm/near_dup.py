@@ -188,7 +188,6 @@ def linked(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFra
     sets = staged(full_sets(texts, size).dropDuplicates(["rep"]), "near-sets")
     signs = staged(reps.join(nodes.withColumnRenamed("doc_id", "rep"), "rep", "left_semi").select("rep", "bits"), "near-bits")
     close = F.lit(bound(percent / 100.0))
-    links = spark.createDataFrame([], "a long, b long")
     parts = spark.createDataFrame([], "node long, component long")
     open_rows = members.select("key", "rep", F.col("rep").alias("component"))
     for number in range(LEADER_ROUNDS + 1):
@@ -200,7 +199,8 @@ def linked(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFra
         else:
             pairs = all_pairs(open_rows, signs, close)
         found = confirmed(staged(pairs.distinct(), "near-pairs"), sets, percent)
-        links = staged(links.unionByName(found), "near-links")
+        # What is joined already goes on as one link from each node to its component.
+        links = parts.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(found)
         parts = components(links)
         if number < LEADER_ROUNDS:
             open_rows = staged(still_open(members, parts), "near-open")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglake.llm import decontaminate, lang_id, line_dedup, near_dup, segment_sampling
+from loglake.llm import decontaminate, lang_id, line_dedup, near_dup, segment_sampling, toxicity
 from loglake.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,9 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_segment_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment_sampling.segment_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.toxic_report(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
