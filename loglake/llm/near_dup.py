@@ -1,19 +1,21 @@
 """MinHash near-duplicates with b-bit signatures.
 
 A document is the set of its distinct word shingles. Each set gets ``HASHES`` minima;
-bands of ``ROWS`` full minima make candidate buckets, and the lowest ``BITS`` bits of all
+``BANDS`` bands of ``ROWS`` full minima make candidate buckets, and the lowest ``BITS`` bits of all
 minima, packed into longs, give a similarity estimate by counting bits, corrected for
 the chance that two different minima share their low bits. Pairs above the estimate's
 bound are confirmed on the full sets.
 
 Equal sets are one class before any pairing, so copies make no pairs. Inside a bucket,
 members are first compared with one leader only. What that leaves apart is compared
-with other leaders, and at last every pair of a bucket that is still in two components
-is compared. So no candidate link between components is left out, while a large
-group of near copies is mostly joined by the leaders.
+more when their estimate is high, and at last every pair of a bucket that is still in two
+components is compared. In large buckets a pair is left out only if it cannot be similar:
+shingles that no other set has bound what two sets can share. So no candidate link
+between components is lost, while a large group of near copies is mostly joined by its
+leaders.
 
 At a similarity of 0.8 a pair misses all bands with probability 7e-6 and falls below the
-bound of the estimate (4.5 standard deviations below) with a like one.
+bound of the estimate, 4 standard deviations below, with one of 3e-5.
 
 Defined cases: a NULL or wordless text has no shingles and links with nothing; a NULL
 doc_id links with nothing either, its component is NULL and it is kept. Rows of one
@@ -38,11 +40,11 @@ from loglake.session import staged
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROWS, BANDS, BITS = 5, 30, 2
-HASHES = ROWS * BANDS
+SMALL_BUCKET = 64
+HASHES = 256
 LANES = 64 // BITS
 LONGS = -(-HASHES // LANES)
-LEADER_ROUNDS = 3
-DEVIATIONS = 4.5
+DEVIATIONS = 4.0
 
 _draw = np.random.default_rng(9)
 MASKS = _draw.integers(0, 1 << 32, HASHES, dtype=np.uint32)
@@ -87,7 +89,7 @@ def packed(low: np.ndarray) -> np.ndarray:
 
 
 def band_keys(smallest: np.ndarray) -> np.ndarray:
-    parts = smallest.reshape(BANDS, ROWS).astype(np.uint64) * BAND_FACTORS
+    parts = smallest[: ROWS * BANDS].reshape(BANDS, ROWS).astype(np.uint64) * BAND_FACTORS
     keys = np.bitwise_xor(parts, parts >> np.uint64(29)).sum(axis=1, dtype=np.uint64)
     return (keys * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
@@ -138,7 +140,7 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
 
 def estimate(a: Column, b: Column) -> Column:
     """Similarity from two packed signatures: share of equal lanes, without the chance hits."""
-    ones = F.lit(sum(1 << (BITS * k) for k in range(LANES)) - (1 << 64 if BITS == 1 else 0))
+    ones = F.lit(sum(1 << (BITS * k) for k in range(LANES)))  # fits a long for two bits and more
     differ = F.lit(0)
     for k in range(LONGS):
         lanes = F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))
@@ -187,52 +189,69 @@ def linked(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFra
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(nodes, "doc_id", "left_semi")
     sets = staged(full_sets(texts, size).dropDuplicates(["rep"]), "near-sets")
     signs = staged(reps.join(nodes.withColumnRenamed("doc_id", "rep"), "rep", "left_semi").select("rep", "bits"), "near-bits")
-    close = F.lit(bound(percent / 100.0))
+    close = bound(percent / 100.0)
     parts = spark.createDataFrame([], "node long, component long")
     open_rows = members.select("key", "rep", F.col("rep").alias("component"))
-    for number in range(LEADER_ROUNDS + 1):
-        if number < LEADER_ROUNDS:
-            pairs = leader_pairs(open_rows, number)
-            one = signs.select(F.col("rep").alias("a"), F.col("bits").alias("ba"))
-            two = signs.select(F.col("rep").alias("b"), F.col("bits").alias("bb"))
-            pairs = pairs.join(one, "a").join(two, "b").filter(estimate(F.col("ba"), F.col("bb")) >= close).select("a", "b")
+    one = signs.select(F.col("rep").alias("a"), F.col("bits").alias("ba"))
+    two = signs.select(F.col("rep").alias("b"), F.col("bits").alias("bb"))
+    # First one pair for each member, then the likely pairs that are still apart, at last all that can be close.
+    for least in (None, percent / 100.0 + 0.04, close):
+        if least is None:
+            pairs = leader_pairs(open_rows).join(one, "a").join(two, "b")
+            pairs = pairs.filter(estimate(F.col("ba"), F.col("bb")) >= close).select("a", "b")
         else:
-            pairs = all_pairs(open_rows, signs, close)
-        found = confirmed(staged(pairs.distinct(), "near-pairs"), sets, percent)
+            sizes = open_rows.groupBy("key").agg(F.count("*").alias("n"))
+            sized = open_rows.join(sizes, "key").join(signs, "rep")
+            few = sized.filter(F.col("n") <= SMALL_BUCKET).withColumns({"size": F.lit(0), "shared": F.lit(0)})
+            many = staged(sized.filter(F.col("n") > SMALL_BUCKET), "near-large")
+            room = staged(shared_sizes(sets.join(many.select("rep").distinct(), "rep", "left_semi")), "near-shared")
+            pairs = all_pairs(few, least, percent).unionByName(all_pairs(many.join(room, "rep"), least, percent)).distinct()
+        found = confirmed(staged(pairs, "near-pairs"), sets, percent)
         # What is joined already goes on as one link from each node to its component.
         links = parts.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(found)
         parts = components(links)
-        if number < LEADER_ROUNDS:
-            open_rows = staged(still_open(members, parts), "near-open")
-            if open_rows.isEmpty():
-                break
+        open_rows = staged(still_open(open_rows, parts), "near-open")
+        if open_rows.isEmpty():
+            break
     return parts
 
 
 def still_open(members: DataFrame, parts: DataFrame) -> DataFrame:
     """Members of the buckets that hold more than one component."""
-    named = members.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
+    named = members.select("key", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("key", "rep", F.coalesce("component", "rep").alias("component"))
     two = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     return named.join(two.filter("low < high").select("key"), "key")
 
 
-def leader_pairs(rows: DataFrame, number: int) -> DataFrame:
-    """Each member of a bucket with the bucket's leader, where their components differ."""
-    order = F.col("rep") if number == 0 else F.xxhash64("rep", "key", F.lit(number))
-    who = F.struct(F.col("rep").alias("leader"), F.col("component").alias("theirs"))
-    leaders = rows.groupBy("key").agg(F.min_by(who, order).alias("l")).select("key", "l.leader", "l.theirs")
-    pairs = rows.join(leaders, "key").filter("component <> theirs")
-    return pairs.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
+def leader_pairs(rows: DataFrame) -> DataFrame:
+    """Each member of a bucket with the bucket's smallest."""
+    leaders = rows.groupBy("key").agg(F.min("rep").alias("leader"))
+    pairs = rows.join(leaders, "key").filter("rep <> leader")
+    return pairs.select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
 
 
-def all_pairs(rows: DataFrame, signs: DataFrame, close: Column) -> DataFrame:
-    """All pairs of a bucket that lie in two components and are estimated to be close."""
-    signed = rows.join(signs, "rep")
-    one = signed.select("key", F.col("rep").alias("a"), F.col("component").alias("ca"), F.col("bits").alias("ba"))
-    two = signed.select("key", F.col("rep").alias("b"), F.col("component").alias("cb"), F.col("bits").alias("bb"))
-    near = (F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & (estimate(F.col("ba"), F.col("bb")) >= close)
-    return one.join(two, (one["key"] == two["key"]) & near).select("a", "b")
+def shared_sizes(sets: DataFrame) -> DataFrame:
+    """(rep, size, shared): size of each set, and how many of its shingles any other of these sets has."""
+    tokens = sets.select("rep", F.explode("shingles").alias("token"))
+    common = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1").select("token")
+    held = tokens.join(common, "token").groupBy("rep").agg(F.count("*").cast("int").alias("shared"))
+    return sets.select("rep", F.size("shingles").alias("size")).join(held, "rep")
+
+
+def all_pairs(rows: DataFrame, least: float, percent: int) -> DataFrame:
+    """Pairs of a bucket that lie in two components, are estimated to be close, and have room to be.
+
+    Two sets can share no more than what each has in common with any set at all.
+    """
+    one, two = (
+        rows.select(*(F.col(c).alias(f"{c}_{x}") for c in ("key", "rep", "component", "bits", "size", "shared"))) for x in "ab"
+    )
+    c = F.col
+    room = F.least("shared_a", "shared_b") * (100 + percent) >= (c("size_a") + c("size_b")) * percent
+    near = (c("component_a") != c("component_b")) & (c("rep_a") < c("rep_b")) & room
+    near = near & (estimate(c("bits_a"), c("bits_b")) >= F.lit(least))
+    return one.join(two, (c("key_a") == c("key_b")) & near).select(c("rep_a").alias("a"), c("rep_b").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
