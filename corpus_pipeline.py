@@ -40,7 +40,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def segments(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Two distinct sampled segmentations of every document, with their scores."""
-    return segment_sampling.encode(docs.select("doc_id", "text")).select("doc_id", "samples")
+    return segment_sampling.encode(docs, keep=["doc_id"])
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -40,6 +40,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loglake.llm.arrays import mix
 from loglake.llm.pieces import CHUNK, MARK, MODEL_PATH, STEP, Pieces, PieceTable, code_hash, decode, load
@@ -47,6 +48,7 @@ from loglake.llm.pieces import CHUNK, MARK, MODEL_PATH, STEP, Pieces, PieceTable
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SLICE_CHARS = 1 << 19
+ROWS_AT_ONCE = 500
 GOLDEN = 0x9E3779B97F4A7C15
 ALL = (1 << 64) - 1
 
@@ -351,19 +353,39 @@ def sampled(texts: list[str | None], keys: list, k: int, lattice: Lattice, seed:
 SAMPLES = "array<struct<ids:array<int>,log_prob:double,inclusion:double>>"
 
 
-def encode(docs: DataFrame, k: int = 2, seed: int = 1, path: str = MODEL_PATH, key: str = "doc_id") -> DataFrame:
-    """The documents with ``samples``: up to k distinct segmentations, best key first."""
+def sample_array(rows) -> pa.Array:
+    """Samples of many rows as one nested array."""
+    ids, sizes, log_p, inside, counts = [np.zeros(0, np.int32)], [], [], [], []
+    for row in rows:
+        counts.append(len(row))
+        for segments, p, q in row:
+            ids.append(segments)
+            sizes.append(len(segments))
+            log_p.append(p)
+            inside.append(q)
+    ends = lambda lengths: pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+    held = pa.ListArray.from_arrays(ends(sizes), pa.array(np.concatenate(ids).astype(np.int32)))
+    structs = pa.StructArray.from_arrays([held, pa.array(log_p, pa.float64()), pa.array(inside, pa.float64())], names=["ids", "log_prob", "inclusion"])
+    return pa.ListArray.from_arrays(ends(counts), structs)
+
+
+def encode(docs: DataFrame, k: int = 2, seed: int = 1, path: str = MODEL_PATH, key: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
+    """The documents, or their ``keep`` columns, with ``samples``: up to k distinct segmentations, best key first."""
     pieces = load(path)
     table = PieceTable(pieces)
+    names = [c for c in docs.columns if c != "samples"] if keep is None else keep
 
-    @F.arrow_udf(SAMPLES)
-    def draw(texts: pa.Array, keys: pa.Array) -> pa.Array:
-        rows = [[{"ids": i.tolist(), "log_prob": p, "inclusion": q} for i, p, q in row]
-                for row in sampled(texts.to_pylist(), keys.to_pylist(), k, Lattice(pieces, table), seed)]
-        kind = pa.list_(pa.struct([("ids", pa.list_(pa.int32())), ("log_prob", pa.float64()), ("inclusion", pa.float64())]))
-        return pa.array(rows, kind)
-
-    return docs.withColumn("samples", draw(F.col("text"), F.col(key)))
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = Lattice(pieces, table)
+        for batch in batches:
+            for row in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(row, ROWS_AT_ONCE)
+                samples = sample_array(sampled(part.column(1).to_pylist(), part.column(0).to_pylist(), k, lattice, seed))
+                yield pa.RecordBatch.from_arrays([*part.columns[2:], samples], names=[*names, "samples"])
+
+    rows = docs.select(F.col(key).alias("_key"), F.col("text").alias("_text"), *names)
+    schema = T.StructType([*rows.select(*names).schema.fields, T.StructField("samples", T._parse_datatype_string(SAMPLES))])
+    return rows.mapInArrow(draw, schema)
 
 
 def decoded(ids, path: str = MODEL_PATH):
