@@ -66,10 +66,22 @@ def access_log_events(
         "file", "block", "pos", "value",
         F.when(is_match(F.col("_cap")), stamp).alias("_time"),
         *fields,
+        unfitting(texts).alias("extra"),
         settled(F.when(~is_match(F.col("_cap")), "format")).alias("reject_reason"),
     )
 
 
+def unfitting(texts: dict[str, Column]) -> Column:
+    """The texts of number fields that are no numbers, by name."""
+    kept = [
+        F.struct(F.lit(n).alias("key"), F.when(_typed(n, c).isNull(), c).alias("value"))
+        for n, c in texts.items() if n in LONG_FIELDS or n in DOUBLE_FIELDS
+    ]
+    if not kept:
+        return F.create_map().cast("map<string,string>")
+    return F.map_from_entries(F.filter(F.array(*kept), lambda e: e["value"].isNotNull()))
+
+
 def _typed(name: str, text: Column) -> Column:
     if name in LONG_FIELDS:
         return as_long(text)

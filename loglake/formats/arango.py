@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loglake.functions.text import settled, trim_space, unbracket, unquote
@@ -66,19 +66,21 @@ def arango_requests(
 
 
 def pair_requests(events: DataFrame, keys: Sequence[str] = ("file", "id")) -> DataFrame:
-    """Begin and end of a request on one row.
+    """Begin and end of a request on one row, one row for each use of an id.
 
-    Plain aggregates, so rows combine before the shuffle and a frequent id is no
-    burden. An id that was used again shows in ``n_begin`` and ``n_end``; the row
-    then spans its uses and holds the values of the last one.
+    An end belongs to the newest begin of its id before it; an end without one is a row
+    of its own. Pass ``keys=("id",)`` where a request may span rotated files.
     """
     begin = F.col("logLevel") == "DEBUG"
     at = F.struct("_time", "block", "pos")
+    ordered = Window.partitionBy(*keys).orderBy("_time", F.when(begin, 0).otherwise(1), "file", "block", "pos")
+    use = F.sum(F.when(begin, 1).otherwise(0)).over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    events = events.withColumn("_use", use)
 
     def newest(name: str, side: Column) -> Column:
         return F.max_by(name, F.when(side, at)).alias(name)
 
-    return events.groupBy(*keys).agg(
+    return events.groupBy(*keys, "_use").agg(
         F.count_if(begin).alias("n_begin"),
         F.count_if(~begin).alias("n_end"),
         F.min(F.when(begin, F.col("_time"))).alias("begin_time"),
@@ -87,4 +89,4 @@ def pair_requests(events: DataFrame, keys: Sequence[str] = ("file", "id")) -> Da
         F.max_by("fullURL", at).alias("fullURL"),
         newest("responseCode", ~begin),
         newest("totalTime", ~begin),
-    )
+    ).drop("_use")

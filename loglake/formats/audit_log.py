@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loglake.functions.documents import parse_whole
 from loglake.functions.text import settled, trim_space
 from loglake.functions.times import TimeFormat
-from loglake.operators.lines import filter_lines, strip_prefix
+from loglake.operators.lines import filter_lines, over, strip_prefix
 from loglake.schemas import MYSQL_AUDIT
 
 _STAMP = TimeFormat("yyyy-M-d'T'H:m:s", zone_word=True)
@@ -49,6 +49,9 @@ def mysql_audit_events(
     return read.select(
         "file", "block", "pos", "value",
         stamp.alias("_time"), *fields,
-        F.map_filter("_texts", lambda k, v: ~k.isin(*known)).alias("extra"),
+        over(
+            F.coalesce(F.map_filter("_texts", lambda k, v: ~k.isin(*known)), F.create_map().cast("map<string,string>")),
+            F.coalesce(F.map_filter("prefix", lambda k, v: ~k.isin(*known) & v.isNotNull()), F.create_map().cast("map<string,string>")),
+        ).alias("extra") if prefix else F.map_filter("_texts", lambda k, v: ~k.isin(*known)).alias("extra"),
         settled(reason).alias("reject_reason"),
     )

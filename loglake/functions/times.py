@@ -22,6 +22,7 @@ TIME_FIELDS = (
     "date", "Date", "datetime", "Datetime", "DateTime",
 )
 
+NUMBER = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
 UNIX_FORMAT = "%s(%L)?"
 
 # Strftime specifiers and the Spark pattern letters for them.
@@ -228,14 +229,17 @@ def resolve_time(
     """Take the event time out of a string map: adds ``_time``, ``time_source``, ``data``.
 
     With ``field`` only that field counts; otherwise the well-known names are tried
-    in order, and the one that was used (or tried last) leaves the map. What cannot be
+    in order, and the one that was used (or tried last) leaves the map; a number that
+    is no time stays. What cannot be
     parsed falls back to ``ingest_time``, a column of the caller, so that a second run
     gives the same answer.
     """
     names: Sequence[str] = (field,) if field else TIME_FIELDS
     hits = df.withColumn("_hits", time_hits(names, lambda n: F.element_at(fields, n), fmt, tz))
     hit = hits.withColumn("_hit", F.get(F.filter("_hits", lambda h: h["t"].isNotNull()), F.lit(0)))
-    used = F.coalesce(F.col("_hit.n"), F.try_element_at("_hits", F.lit(-1))["n"])
+    tried = F.try_element_at("_hits", F.lit(-1))["n"]
+    number = F.element_at(fields, tried).rlike(NUMBER)
+    used = F.coalesce(F.col("_hit.n"), F.when(~number, tried))
     return hit.withColumn("_used", used).select(
         *df.columns,
         F.coalesce(F.col("_hit.t"), ingest_time).alias("_time"),

@@ -34,20 +34,19 @@ def enrich_host(
 ) -> DataFrame:
     """As-of left join: the last snapshot of the host at or before the event.
 
-    Spans are cut into time buckets, which turns the range condition into an equi
-    join on host and bucket. Spark broadcasts the spans only below its size limit;
+    Spans are cut into the time buckets that hold events of the host, which turns the range
+    condition into an equi join on host and bucket. Spark broadcasts the spans only below its size limit;
     beyond it the shuffled join lets AQE split a host that holds much of the events.
     """
     def bucket(col: Column) -> Column:
         return F.floor(F.unix_seconds(col) / bucket_seconds)
 
     spans = status_spans(status, host, at, fields)
-    newest = events.agg(F.max(time).alias("t")).scalar()
-    end = F.coalesce(F.col("_to"), F.greatest(newest, F.col("_from")))
-    by_bucket = spans.withColumn("_bucket", F.explode(F.sequence(bucket(F.col("_from")), bucket(end))))
-    right = by_bucket.select(
-        F.col(host).alias("_host"), "_bucket", "_from", "_to", *[F.col(f).alias(f"_s_{f}") for f in fields]
-    )
+    spans = spans.select(F.col(host).alias("_host"), "_from", "_to", *[F.col(f).alias(f"_s_{f}") for f in fields])
+    # Only buckets in which the host has events: a far date is one more row, not a range of them.
+    seen = events.select(F.col(host).alias("_host"), bucket(F.col(time)).alias("_bucket")).distinct()
+    inside = (F.col("_bucket") >= bucket(F.col("_from"))) & (F.col("_to").isNull() | (F.col("_bucket") <= bucket(F.col("_to"))))
+    right = seen.join(spans, "_host").filter(inside)
     left = events.withColumn("_at_bucket", bucket(F.col(time)))
     hit = (
         (left[host] == right["_host"])

@@ -49,7 +49,9 @@ def lifetime_totals(per_window: DataFrame, value: str = "n", at: str = "window_s
     before = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     days = daily.groupBy("_day").agg(F.sum(value).alias("_sum"))
     base = days.select("_day", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
-    running = daily.withColumn("_in", F.sum(value).over(in_day)).join(base, "_day")
+    summed = daily.withColumn("_in", F.sum(value).over(in_day))
+    # Rows without a time are a day of their own, before all others.
+    running = summed.join(base, summed["_day"].eqNullSafe(base["_day"])).drop(base["_day"])
     return running.withColumn("lifetime", F.col("_in") + F.col("_base")).drop("_day", "_in", "_base")
 
 

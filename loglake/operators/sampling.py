@@ -82,7 +82,7 @@ def dynamic_sample(
     """Thin frequent keys by the counts of the window before; keep rare ones.
 
     A key not seen in that window has rate 1; where that window has no rows at all,
-    the rate is ``goal``. The join is on window and key: the rate table holds one row
+    the rate is ``goal``. Rows without a time are all kept, at rate 1. The join is on window and key: the rate table holds one row
     per pair, and AQE splits a pair with many events. The counts are taken by a job of
     their own and staged, so the events are read twice in all.
     """
@@ -101,7 +101,8 @@ def dynamic_sample(
         .select("window_start", "sample_key", rate.alias("sample_rate"))
     )
     keyed = events.drop("sample_rate").withColumn("sample_key", key).withColumn("window_start", start)
-    rated = keyed.join(rates, ["window_start", "sample_key"])
+    # A row without a time has no window and no match: it stays, at rate 1.
+    rated = keyed.join(rates, ["window_start", "sample_key"], "left").withColumn("sample_rate", F.coalesce("sample_rate", F.lit(1)))
     spot = hash_position(F.concat_ws("|", *[F.col(k).cast("string") for k in row_key]))
     kept = rated.filter(spot * F.col("sample_rate") < _HASH_SPAN)
     return kept.select(*[c for c in events.columns if c != "sample_rate"], "sample_key", "sample_rate")

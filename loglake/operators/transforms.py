@@ -10,27 +10,50 @@ from pyspark.sql import functions as F
 from loglake.operators.lines import over
 
 
+# Columns of the row itself. A field of the event may have the same name; it is then in a map.
+ROW_COLUMNS = ("file", "block", "pos", "value", "reject_reason", "data", "extra", "prefix", "sample_rate")
+FIELD_MAPS = ("data", "extra", "prefix")
+
+
+def _kept(df: DataFrame) -> tuple[str, ...]:
+    """Columns that are no event fields; only parsed log rows have more than the maps."""
+    return ROW_COLUMNS if "reject_reason" in df.columns else FIELD_MAPS
+
+
 def drop_fields(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Remove columns, and keys of the ``data`` map, where present."""
-    out = df.drop(*[n for n in names if n in df.columns])
-    if "data" in df.columns and names:
-        out = out.withColumn("data", F.map_filter("data", lambda k, v: ~k.isin(*names)))
+    """Remove event columns, and keys of the maps of fields, where present."""
+    out = df.drop(*[n for n in names if n in df.columns and n not in _kept(df)])
+    for name in [m for m in FIELD_MAPS if m in df.columns and names]:
+        out = out.withColumn(name, F.map_filter(name, lambda k, v: ~k.isin(*names)))
     return out
 
 
 def scrub_fields(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Replace values by the hex SHA-256 of their text; absent stays absent."""
+    """Replace values by the hex SHA-256 of their text; absent stays absent.
+
+    A nested value is hashed as its JSON text. Rejected lines keep their raw text.
+    """
     out = df
+    kinds = {f.name: f.dataType for f in df.schema.fields}
     for name in names:
-        if name in df.columns:
-            out = out.withColumn(name, F.sha2(F.col(f"`{name}`").cast("string"), 256))
-    if "data" in df.columns and names:
+        if name in kinds and name not in _kept(df):
+            out = out.withColumn(name, _hashed(F.col(f"`{name}`"), kinds[name].typeName()))
+    for name in [m for m in FIELD_MAPS if m in kinds and names]:
+        kind = kinds[name].valueType.typeName()
         out = out.withColumn(
-            "data", F.transform_values("data", lambda k, v: F.when(k.isin(*names), F.sha2(v, 256)).otherwise(v))
+            name, F.transform_values(name, lambda k, v: F.when(k.isin(*names), _hashed(v, kind)).otherwise(v))
         )
     return out
 
 
+def _hashed(value: Column, kind: str) -> Column:
+    if kind == "variant":
+        text = F.coalesce(F.try_variant_get(value, "$", "string"), F.to_json(value))
+        return F.sha2(text, 256).cast("variant")
+    nested = kind in ("array", "map", "struct")
+    return F.sha2(F.to_json(value) if nested else value.cast("string"), 256)
+
+
 def add_fields(df: DataFrame, values: Mapping[str, str]) -> DataFrame:
     """Constant fields; they overwrite."""
     if not values:

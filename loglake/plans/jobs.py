@@ -23,6 +23,8 @@ def parse(lines: DataFrame, cfg: IngestConfig, ingest_time: Column | None = None
         options["prefix"] = cfg.log_prefix
     if cfg.format in TAKES_TZ:
         options.setdefault("tz", cfg.timezone)
+    if cfg.format == "mongo" and ingest_time is not None:
+        options.setdefault("reference_time", ingest_time)
     if cfg.format in TAKES_INGEST_TIME and ingest_time is not None:
         options.setdefault("ingest_time", ingest_time)
     if cfg.format == "mysql_slow" and cfg.entry_rate > 1:
@@ -68,6 +70,9 @@ def to_table(events: DataFrame, cfg: IngestConfig) -> tuple[DataFrame, tuple[str
     stored = events.withColumn("_stamp", F.col("_time"))
     stored = stored.withColumn("_time", second).withColumn("_date", day).withColumn("_ms", millis).drop("_stamp")
     if spec is None:
+        # Formats without a map of fields keep what the line prefix held as ``extra``.
+        if "prefix" in stored.columns and "data" not in stored.columns and "extra" not in stored.columns:
+            stored = stored.withColumnRenamed("prefix", "extra")
         return stored.drop("block", "prefix"), ("_time",)
     return conform(stored, spec), spec.sort_by
 

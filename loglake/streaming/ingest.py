@@ -6,11 +6,13 @@ lost executor or driver resumes without gap or repeat.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -76,13 +78,15 @@ def write_batches(
 ) -> StreamingQuery:
     """Formats that need file order: each micro-batch holds whole files and is one batch job.
 
-    The batch number names the folder and the folder is overwritten, so a batch that
-    runs again replaces what it wrote before.
+    The checkpoint and the batch number name the folder and the folder is overwritten, so a
+    batch that runs again replaces what it wrote before, and another run's never.
     """
+    run = "run-" + hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+
     def one_batch(batch: DataFrame, number: int) -> None:
         done = parse_batch(order_lines(batch))
         parts = ["_outcome"] if "_outcome" in done.columns else []
-        write_table(done, f"{path}/_batch={number}", mode="overwrite", extra_partitions=parts)
+        write_table(done, f"{path}/_run={run}/_batch={number}", mode="overwrite", extra_partitions=parts)
 
     writer = lines.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
     return pace(writer, seconds, once).start()
@@ -101,14 +105,27 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path)
 
 
-def run_stream(spark: SparkSession, cfg: IngestConfig) -> StreamingQuery:
-    """The job of the options as a stream: read, parse, reshape and store each batch."""
+def holds_files(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.exists(where) and len(store.listStatus(where)) > 0
+
+
+def run_stream(spark: SparkSession, cfg: IngestConfig, ingest_time: Column | None = None) -> StreamingQuery:
+    """The job of the options as a stream over all its paths: read, parse, reshape and store each batch.
+
+    Reading again from the beginning into a dataset that holds rows would repeat them, and
+    is refused. ``ingest_time`` is the time of events that carry none.
+    """
     if not cfg.checkpoint:
         raise ValueError("a stream needs a checkpoint folder")
-    lines = ingest_stream(spark, cfg.paths[0], cfg.read_from, max_files=cfg.max_files_per_trigger)
+    if cfg.read_from == "beginning" and holds_files(spark, cfg.dataset):
+        raise ValueError(f"{cfg.dataset} holds rows already; reading from the beginning would repeat them")
+    streams = [ingest_stream(spark, p, cfg.read_from, max_files=cfg.max_files_per_trigger) for p in dict.fromkeys(cfg.paths)]
+    lines = reduce(DataFrame.unionByName, streams)
 
     def batch(ordered: DataFrame) -> DataFrame:
-        return ingested(ordered, cfg)[0]
+        return ingested(ordered, cfg, ingest_time)[0]
 
     return write_batches(
         lines, batch, cfg.dataset, resume_point(cfg.checkpoint, cfg.read_from), cfg.stop, cfg.flush_seconds

@@ -1,3 +1,4 @@
+import hashlib
 from datetime import datetime, timezone
 
 import pytest
@@ -98,7 +99,7 @@ def test_dynamic_batch_job(spark, tmp_path):
 def test_stream_gives_what_a_batch_gives_and_resumes(spark, tmp_path):
     source, out, state = tmp_path / "src", str(tmp_path / "out"), str(tmp_path / "state")
     source.mkdir()
-    entry = "# Time: 2016-04-0{}T00:31:09Z\n# Query_time: {}\nselect {},\n 2;\n"
+    entry = "# Time: 2031-07-0{}T21:40:08Z\n# Query_time: {}\nselect {},\n 2;\n"
     for n in range(3):
         (source / f"{n}.log").write_text("".join(entry.format(1 + i % 5, i, i) for i in range(40)))
     cfg = dict(format="mysql_slow", paths=[str(source)], dataset=out, checkpoint=state, stop=True, max_files_per_trigger=2)
@@ -119,9 +120,80 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     def parse(ordered):
         return ordered.withColumn("_date", F.lit("2024-01-01").cast("date")).withColumn("_time", F.current_timestamp())
 
-    for attempt in range(2):
-        write_batches(ingest_stream(spark, str(source)), parse, out, str(tmp_path / f"state{attempt}"), once=True).awaitTermination()
+    def run(state):
+        write_batches(ingest_stream(spark, str(source)), parse, out, str(tmp_path / state), once=True).awaitTermination()
+
+    run("one")
+    for left in (tmp_path / "one" / "commits").glob("*0*"):
+        left.unlink()  # as if the driver was lost before the batch was marked done
+    run("one")
     assert read_batches(spark, out).count() == 2
+    run("two")
+    assert read_batches(spark, out).count() == 4
+
+
+def test_a_stream_reads_all_its_paths(spark, tmp_path):
+    for name in ("left", "right"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x.log").write_text(f"side={name} n=1\n")
+    cfg = dict(format="keyval", paths=[str(tmp_path / "left"), str(tmp_path / "right")], checkpoint=str(tmp_path / "c"), stop=True)
+    run_stream(spark, IngestConfig(dataset=str(tmp_path / "out"), **cfg), F.lit("2031-02-03").cast("timestamp")).awaitTermination()
+    rows = read_batches(spark, str(tmp_path / "out")).collect()
+    assert sorted(r.data["side"] for r in rows) == ["left", "right"]
+    assert {str(r._date) for r in rows} == {"2031-02-03"}
+    with pytest.raises(ValueError):
+        run_stream(spark, IngestConfig(dataset=str(tmp_path / "out"), read_from="beginning", **cfg))
+
+
+def test_dynamic_sampling_keeps_rows_without_a_time(spark, tmp_path):
+    (tmp_path / "in.log").write_text("".join(f"host=h{i % 3}\n" for i in range(50)))
+    cfg = IngestConfig("keyval", [str(tmp_path / "in.log")], str(tmp_path / "out"), sample_rate=4, dynamic_keys=["host"])
+    run_batch(spark, cfg)
+    assert {r.sample_rate for r in read_events(spark, str(tmp_path / "out")).collect()} == {1}
+    assert read_events(spark, str(tmp_path / "out")).count() == 50
+
+
+PREFIXED = {
+    "mongo": ["2031-05-06T07:08:09.123+0000 I NETWORK [listener] waiting"],
+    "arango": ['2031-05-06T07:08:09Z [77] DEBUG {requests} "req","0xb0","10.9.8.7","PUT","HTTP/1.1",/w'],
+    "mysql_audit": ['{"audit_record":{"timestamp":"2031-05-06T07:08:09 UTC","user":"ada"}}'],
+}
+
+
+@pytest.mark.parametrize("name", sorted(PREFIXED))
+def test_prefix_fields_are_stored(spark, tmp_path, name):
+    (tmp_path / "in.log").write_text("".join(f"rack-9 {t}\n" for t in PREFIXED[name]))
+    run_batch(spark, IngestConfig(name, [str(tmp_path / "in.log")], str(tmp_path / "out"), log_prefix=r"(?P<rack>rack-\d+) "))
+    row = read_events(spark, str(tmp_path / "out")).first()
+    assert row.extra["rack"] == "rack-9"
+
+
+def test_a_number_field_keeps_text_that_is_no_number(spark, tmp_path):
+    (tmp_path / "in.log").write_text("10.0.0.9 abc 0.1, 0.2;\n10.0.0.9 204 0.3;\n")
+    cfg = IngestConfig("access_log", [str(tmp_path / "in.log")], str(tmp_path / "out"),
+                       format_options={"log_format": "$remote_addr $status $upstream_response_time;"})
+    run_batch(spark, cfg)
+    extras = [r.extra for r in read_events(spark, str(tmp_path / "out")).collect()]
+    assert sorted(e.get("status", "") for e in extras) == ["", "abc"]
+    assert sorted(e["upstream_response_time"] for e in extras) == ["0.1, 0.2", "0.3"]
+
+
+def test_a_number_that_is_no_time_stays_a_field(spark, tmp_path):
+    (tmp_path / "in.log").write_text("a=x time=5\n")
+    run_batch(spark, IngestConfig("keyval", [str(tmp_path / "in.log")], str(tmp_path / "out")))
+    assert read_events(spark, str(tmp_path / "out")).first().data == {"a": "x", "time": "5"}
+
+
+@pytest.mark.parametrize("name,line", [("json", '{"value":"v","pos":7,"n":{"k":1}}'), ("keyval", "value=v pos=7 n=1")])
+def test_scrub_and_drop_take_event_fields_only(spark, tmp_path, name, line):
+    bad = "{" if name == "json" else "="
+    (tmp_path / "in.log").write_text(f"{line}\n{bad}\n")
+    cfg = IngestConfig(name, [str(tmp_path / "in.log")], str(tmp_path / "out"), drop_fields=["value"], scrub_fields=["pos", "n"])
+    run_batch(spark, cfg)
+    row = read_events(spark, str(tmp_path / "out")).first()
+    held = {k: str(v).strip('"') if name == "keyval" else v.toPython() for k, v in row.data.items()}
+    assert set(held) == {"pos", "n"} and held["pos"] == hashlib.sha256(b"7").hexdigest()
+    assert read_rejects(spark, str(tmp_path / "out")).first().value == bad
 
 
 def test_reading_from_the_end_skips_old_files(spark, tmp_path):
@@ -143,13 +215,13 @@ JOBS = {
     "json": (['{"a":1,"time":"2024-01-01T00:00:00Z","o":{"x":[1]}}', "{"], {}),
     "keyval": (['a=1 time="2024-01-01T00:00:00Z"', "="], {}),
     "regex": (["2024-01-01T00:00:00Z word", "!"], {"patterns": [r"(?P<time>\S+Z) (?P<w>\w+)"]}),
-    "access_log": (['1.2.3.4 [08/Oct/2015:00:26:26 +0000] "GET /a?b=1 HTTP/1.1" 200', "x"],
+    "access_log": (['10.1.1.1 [19/Jul/2031:21:40:08 +0000] "GET /carts?open=1 HTTP/1.1" 206', "x"],
                    {"log_format": '$remote_addr [$time_local] "$request" $status'}),
-    "mysql_slow": (["# Time: 2016-04-01T00:31:09Z", "# Query_time: 1", "select 1;", "# administrator command: Ping;", "a;"], {}),
-    "mysql_audit": (['{"audit_record":{"timestamp":"2017-05-11T13:00:01 UTC","user":"u","more":"1"}}', "{}"], {}),
-    "postgres": (["2017-11-08 03:02:49 UTC [854-1] a@b LOG:  duration: 2.7 ms  statement: select 1", "\t;", "2017 x"], {}),
-    "mongo": (["2016-09-15T00:01:55.387+0000 I COMMAND [c] command p.c command: find { find: \"c\", filter: { y: 2 } } locks:{ Global: { acquireCount: { r: 2 } } } 29ms", "x"], {}),
-    "arango": (['2016-10-31T16:03:02Z [6402] DEBUG {requests} "b","0x7f","127.0.0.1","GET","HTTP/1.1",/v', "x"], {}),
+    "mysql_slow": (["# Time: 2031-07-19T21:40:08Z", "# Query_time: 3", "select 6;", "# administrator command: Ping;", "a;"], {}),
+    "mysql_audit": (['{"audit_record":{"timestamp":"2031-07-19T21:40:08 UTC","user":"ada","more":"1"}}', "{}"], {}),
+    "postgres": (["2031-07-19 21:40:08 UTC [31-2] ada@shop LOG:  duration: 14.5 ms  statement: select 6", "\t;", "2031 x"], {}),
+    "mongo": (["2031-07-19T21:40:08.016+0000 I COMMAND [conn5] command shop.cart command: find { find: \"cart\", filter: { paid: false } } locks:{ Global: { acquireCount: { r: 4 } } } 61ms", "x"], {}),
+    "arango": (['2031-07-19T21:40:08Z [88] DEBUG {requests} "start","0xc4","10.1.1.1","PATCH","HTTP/1.1",/carts', "x"], {}),
 }
 
 
