@@ -15,7 +15,8 @@ from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
+ROWS_AT_ONCE = 500
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
@@ -53,18 +54,18 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES, rows: int = 1 << 20)
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column.cast(pa.large_string()), "")
-    if not len(column):
-        return
-    _, at, body = column.buffers()
-    offsets = np.frombuffer(at, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
-    data = np.frombuffer(body, dtype=np.uint8) if body is not None and body.size else np.zeros(0, np.uint8)
-    row = 0
-    while row < len(column):
-        end = int(np.searchsorted(offsets, offsets[row] + limit, side="right")) - 1
-        end = min(max(end, row + 1), row + rows, len(column))
-        yield row, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
-        row = end
+    # Cast a part at a time: a batch of long texts is held once only.
+    for base in range(0, len(column), ROWS_AT_ONCE):
+        part = pc.fill_null(column.slice(base, ROWS_AT_ONCE).cast(pa.large_string()), "")
+        _, at, body = part.buffers()
+        offsets = np.frombuffer(at, dtype=np.int64)[part.offset : part.offset + len(part) + 1]
+        data = np.frombuffer(body, dtype=np.uint8) if body is not None and body.size else np.zeros(0, np.uint8)
+        row = 0
+        while row < len(part):
+            end = int(np.searchsorted(offsets, offsets[row] + limit, side="right")) - 1
+            end = min(max(end, row + 1), row + rows, len(part))
+            yield base + row, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
+            row = end
 
 
 def word_spans(is_word: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
