@@ -492,7 +492,7 @@ def _lock_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "command_query",
-    """SELECT event_id, '{"_id":"57d9dfab","kind":"' || event_type || '","user":' || user_id || '}' AS query FROM events WHERE event_id % 5 = 0""",
+    """SELECT event_id, '{"_id":"c0ffee07","kind":"' || event_type || '","user":' || user_id || '}' AS query FROM events WHERE event_id % 5 = 0""",
 )
 def _command_query(spark: SparkSession, sf: str) -> DataFrame:
     finds = _mongo(spark, sf).filter(F.col("command_type") == "find")

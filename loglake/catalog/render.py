@@ -223,7 +223,7 @@ def mongo_line() -> Column:
     command = F.concat(
         iso, L(" I COMMAND  [conn"), user, L("] command shop."), F.col("event_type"), L(" command: find { find: \""),
         F.col("event_type"), L("\", filter: { user: "), user, L(", kind: \""), F.col("event_type"),
-        L("\", _id: ObjectId('57d9dfab') } } planSummary: COLLSCAN keysExamined:"), key, L(" docsExamined:5 numYields:0"), locks,
+        L("\", _id: ObjectId('c0ffee07') } } planSummary: COLLSCAN keysExamined:"), key, L(" docsExamined:5 numYields:0"), locks,
         L(" protocol:op_command "), user, L("ms"))
     select = F.concat(
         old, L(" [conn"), user, L("] query shop.old.items query: { $query: { tags: { $in: [ \"a\", \"b, c: d\" ] } }, $orderby: { _id: 1 } } ntoreturn:0 nscanned:"),
@@ -233,10 +233,10 @@ def mongo_line() -> Column:
         text(F.col("event_id") % 3), L("\", from: \"h:1\" } ntoreturn:1 keyUpdates:0 reslen:100 0ms"))
     change = F.concat(
         iso, L(" I SHARDING [conn1] about to log metadata event into changelog: { _id: \"id-"), key,
-        L("\", server: \"srv\", clientAddr: \"127.0.0.1:35756\", time: new Date(1477002479516), what: \""), F.col("event_type"),
+        L("\", server: \"srv\", clientAddr: \"172.16.9.9:5151\", time: new Date(1942538408250), what: \""), F.col("event_type"),
         L("\", ns: \"Shop.Items\", details: { primary: \"shard0\", numChunks: "), user, L(" } }"))
     broken = F.concat(
-        iso, L(" W WRITE    [conn2] update shop.items query: { a: \"He said \"no\" {\" } update: { $set: { b: 1 } } nscanned:1 7ms"))
+        iso, L(" W WRITE    [conn2] update shop.items query: { a: \"left \"open\" [\" } update: { $set: { b: 1 } } nscanned:1 7ms"))
     kind = F.col("event_id") % 5
     return F.when(kind == 0, command).when(kind == 1, select).when(kind == 2, beat).when(kind == 3, change).otherwise(broken)
 

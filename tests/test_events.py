@@ -11,29 +11,26 @@ from loglake.operators.hosts import enrich_host
 from loglake.operators.lines import drop_empty, over, strip_prefix
 from loglake.operators.quantiles import exact_quantile, value_counts
 
-PATTERNS = ["/help", "/help/:lang", "/help/:lang/pages"]
+PATTERNS = ["/depots/:depot/crates/:crate", "/depots/:depot", "/status"]
 
 
 @pytest.mark.parametrize("request_text, expected", [
-    ("GET /help/en/pages HTTP/1.1", {
-        "method": "GET", "protocol_version": "HTTP/1.1", "uri": "/help/en/pages", "path": "/help/en/pages", "query": None,
-        "path_lang": "en", "shape": "/help/:lang/pages", "pathshape": "/help/:lang/pages", "queryshape": None}),
-    ("GET /help?k=v HTTP/1.0", {
-        "protocol_version": "HTTP/1.0", "uri": "/help?k=v", "path": "/help", "query": "k=v", "query_k": "v", "path_lang": None,
-        "shape": "/help?k=?", "pathshape": "/help", "queryshape": "k=?"}),
-    ("/help/en?k=v&no=w", {
-        "method": None, "uri": "/help/en?k=v&no=w", "query": "k=v&no=w", "query_k": "v", "path_lang": "en",
-        "shape": "/help/:lang?k=?&no=?", "queryshape": "k=?&no=?"}),
-    ("/help/en?k=v&z&k=c&k=a&m=b%20b", {
-        "query_k": "a, c, v", "query_m": "b b", "query_z": "", "shape": "/help/:lang?k=?&k=?&k=?&m=?&z=?"}),
-    ("/other/{x}?a=%zz#frag", {"path": "/other/{x}", "pathshape": "/other/{x}", "query": "a=%zz", "queryshape": None}),
-    ("https://h.example/help/de#top", {"path": "/help/de", "path_lang": "de", "shape": "/help/:lang"}),
+    ("http://gw.example/status#now", {"path": "/status", "shape": "/status", "path_depot": None}),
+    ("PATCH /depots/d4/crates/17?note=x HTTP/2.0", {
+        "method": "PATCH", "protocol_version": "HTTP/2.0", "path": "/depots/d4/crates/17", "path_depot": "d4", "path_crate": "17",
+        "query": "note=x", "pathshape": "/depots/:depot/crates/:crate", "shape": "/depots/:depot/crates/:crate?note=?"}),
+    ("/unknown/<y>?z=%q1#end", {"path": "/unknown/<y>", "pathshape": "/unknown/<y>", "query": "z=%q1", "queryshape": None}),
+    ("/depots/d9?tag=r&size=&tag=b&skip=1&tag=g", {
+        "method": None, "path_depot": "d9", "path_crate": None, "query_tag": "b, g, r", "query_size": "",
+        "queryshape": "size=?&skip=?&tag=?&tag=?&tag=?", "shape": "/depots/:depot?size=?&skip=?&tag=?&tag=?&tag=?"}),
+    ("DELETE /status HTTP/1.1", {"method": "DELETE", "uri": "/status", "query": None, "queryshape": None, "shape": "/status"}),
+    ("GET /depots/a%20b HTTP/1.0", {"uri": "/depots/a%20b", "protocol_version": "HTTP/1.0", "pathshape": "/depots/:depot"}),
 ])
 def test_request_shape(spark, request_text, expected):
     df = spark.createDataFrame([(request_text,)], "request string")
-    row = request_shape(df, "request", PATTERNS, keys=["k", "z", "m"]).first()
+    row = request_shape(df, "request", PATTERNS, keys=["tag", "size"]).first()
     assert {k: row[f"request_{k}"] for k in expected} == expected
-    assert "request_query_no" not in row.asDict()
+    assert "request_query_skip" not in row.asDict()
 
 
 def test_all_query_keys_and_prefix(spark):
