@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from loglake.llm.arrays import SPACE, text_slices
 from loglake.llm.sampling import held_out, labelled_sample
+from loglake.session import staged
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -169,7 +170,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 4000, landmarks:
     """Learn from a sample of the labelled rows that are not held out."""
     marks = labels.filter(F.col("toxic").isin(0, 1)).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     chosen = labelled_sample(marks, "toxic", sample_rows, seed)
-    sample = docs.select(F.col("doc_id").cast("long"), "text").join(chosen, "doc_id")
+    # The chosen ids are as many as the sample has rows, so they are sent to the texts, not the texts to them.
+    sample = staged(docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(chosen), "doc_id"), "toxic-sample")
     words = landmark_words(sample, landmarks, 3)
     if not words:
         return None
