@@ -273,6 +273,41 @@ def _sample_entries(spark: SparkSession, sf: str) -> DataFrame:
     return split_rejects(events)[0].select("rows_examined", "query", "sample_rate")
 
 
+def _sample_checks(all_rows: DataFrame, kept: DataFrame, keys: list[str], rate: int) -> DataFrame:
+    """One row: rows read, kept rows that are none of them, and whether the weighted count is within 6 deviations."""
+    n, m = all_rows.agg(F.count("*").alias("n")), kept.agg(F.count("*").alias("m"))
+    strange = kept.join(all_rows.select(*keys).distinct(), keys, "left_anti").agg(F.count("*").alias("not_read"))
+    spread = F.sqrt(F.col("n") * (rate - 1)) * 6
+    return n.crossJoin(m).crossJoin(strange).select("n", "not_read", (F.abs(F.col("m") * rate - F.col("n")) <= spread).alias("within"))
+
+
+@query("sample_lines_checks", "SELECT count(*) AS n, CAST(0 AS BIGINT) AS not_read, TRUE AS within FROM events")
+def _sample_lines_checks(spark: SparkSession, sf: str) -> DataFrame:
+    lines = R.keyval_lines(spark, sf)
+    return _sample_checks(lines, sampling.sample_lines(lines, 3, seed=7), ["pos", "value"], 3)
+
+
+@query("sample_entries_checks", f"SELECT count(*) AS n, CAST(0 AS BIGINT) AS not_read, TRUE AS within FROM ({R.SLOW_SQL})")
+def _sample_entries_checks(spark: SparkSession, sf: str) -> DataFrame:
+    lines = backfill(spark, R.slow_log_path(spark, sf))
+    every, kept = (split_rejects(mysql_slow_events(lines, rate=r, seed=3))[0].select("rows_examined", "query") for r in (1, 2))
+    return _sample_checks(every, kept, ["rows_examined", "query"], 2)
+
+
+@query(
+    "promote_fields",
+    """SELECT event_id, CAST(user_id AS BIGINT) AS visitor, CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(event_id AS BIGINT) END AS page,
+       CASE WHEN event_id % 3 = 0 THEN 'kind=' || event_type || ',page=p' || event_id ELSE 'kind=' || event_type END AS rest FROM events""",
+)
+def _promote_fields(spark: SparkSession, sf: str) -> DataFrame:
+    events = events_table(spark, sf)
+    page = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("p"), F.col("event_id"))).otherwise(F.col("event_id").cast("string"))
+    data = F.create_map(F.lit("visitor"), F.col("user_id").cast("string"), F.lit("kind"), F.col("event_type"), F.lit("page"), page)
+    out = transforms.promote_fields(events.select("event_id", data.alias("data")), {"visitor": "bigint", "page": "bigint"})
+    rest = F.array_join(F.array_sort(F.transform(F.map_entries("data"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ",")
+    return out.select("event_id", "visitor", "page", rest.alias("rest"))
+
+
 @query("hash_sample", f"SELECT event_id, user_id, 4 AS sample_rate FROM events WHERE {_HASH.format('user_id')} * 4 < 4294967296")
 def _hash_sample(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.hash_sample(events_table(spark, sf), ["user_id"], 4).select("event_id", "user_id", "sample_rate")

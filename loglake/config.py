@@ -30,6 +30,7 @@ class IngestConfig:
     drop_fields: list[str] = field(default_factory=list)
     scrub_fields: list[str] = field(default_factory=list)
     add_fields: Mapping[str, str] = field(default_factory=dict)
+    promote_fields: Mapping[str, str] = field(default_factory=dict)
     request_shape: list[str] = field(default_factory=list)
     shape_prefix: str = ""
     request_patterns: list[str] = field(default_factory=list)

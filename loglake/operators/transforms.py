@@ -64,6 +64,25 @@ def add_fields(df: DataFrame, values: Mapping[str, str]) -> DataFrame:
     return df.withColumns({k: F.lit(v) for k, v in values.items()})
 
 
+def promote_fields(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """Keys of the ``data`` map as typed columns; what does not fit its type stays in the map.
+
+    The rest of the map is pruned from reads that want the columns alone. A name that
+    differs from a column, or from another name, by case only stays in the map.
+    """
+    taken = {c.lower() for c in df.columns}
+    chosen: dict[str, Column] = {}
+    for name, kind in types.items():
+        if name.lower() not in taken:
+            taken.add(name.lower())
+            chosen[name] = F.element_at("data", F.lit(name)).cast("string").try_cast(kind)
+    if not chosen:
+        return df
+    typed = df.withColumns(chosen)
+    fitted = F.array_compact(F.array(*[F.when(F.col(f"`{n}`").isNotNull(), F.lit(n)) for n in chosen]))
+    return typed.withColumn("data", F.map_filter("data", lambda k, v: ~F.array_contains(fitted, k)))
+
+
 def split_namespace(df: DataFrame, field: str = "namespace") -> DataFrame:
     """``db.coll…`` at the first dot; without a dot neither field is set."""
     parts = F.split(F.col(field), r"\.", 2)

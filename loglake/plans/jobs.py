@@ -11,7 +11,7 @@ from loglake.functions.times import time_columns
 from loglake.functions.urls import request_shape
 from loglake.operators.lines import split_rejects
 from loglake.operators.sampling import dynamic_sample, sample_lines
-from loglake.operators.transforms import add_fields, drop_fields, scrub_fields
+from loglake.operators.transforms import add_fields, drop_fields, promote_fields, scrub_fields
 from loglake.sources.files import backfill
 from loglake.sources.tables import conform, with_outcome, write_table
 
@@ -70,6 +70,8 @@ def to_table(events: DataFrame, cfg: IngestConfig) -> tuple[DataFrame, tuple[str
     stored = events.withColumn("_stamp", F.col("_time"))
     stored = stored.withColumn("_time", second).withColumn("_date", day).withColumn("_ms", millis).drop("_stamp")
     if spec is None:
+        if cfg.promote_fields and "data" in stored.columns:
+            stored = promote_fields(stored, cfg.promote_fields)
         # Formats without a map of fields keep what the line prefix held as ``extra``.
         if "prefix" in stored.columns and "data" not in stored.columns and "extra" not in stored.columns:
             stored = stored.withColumnRenamed("prefix", "extra")

@@ -256,3 +256,11 @@ def test_joins_without_broadcast_agree(spark):
                 assert seen.setdefault(name, rows) == rows
         finally:
             spark.conf.unset(key)
+
+
+def test_promoted_fields_are_columns(spark, tmp_path):
+    (tmp_path / "in.log").write_text("size=12 Size=3 name=box\nsize=big name=bag\n")
+    run_batch(spark, IngestConfig("keyval", [str(tmp_path / "in.log")], str(tmp_path / "out"), promote_fields={"size": "bigint", "Size": "bigint"}))
+    rows = {r.data["name"]: r for r in read_events(spark, str(tmp_path / "out")).collect()}
+    assert (rows["box"].size, rows["box"].data) == (12, {"Size": "3", "name": "box"})
+    assert (rows["bag"].size, rows["bag"].data["size"]) == (None, "big")
