@@ -175,7 +175,9 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
-    """The documents whose prediction is not rejected, with their own columns only."""
+    """The documents whose prediction is not rejected, with their own columns only; all, without a model."""
+    if model is None:
+        return docs
     return docs.withColumn("_language", predicted(F.col("text"), model)).filter("not _language.rejected").drop("_language")
 
 

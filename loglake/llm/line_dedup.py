@@ -71,7 +71,8 @@ def line_keys(docs: DataFrame, min_chars: int, shards: int) -> DataFrame:
                 found = {line_key(line, min_chars) for line in body.encode().split(b"\n")} - {None}
                 ids += [doc_id] * len(found)
                 keys += sorted(found)
-            shard = [k[0] % shards for k in keys]
+            # Other bytes than those the filters use.
+            shard = [int.from_bytes(k[8:12], "big") % shards for k in keys]
             yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(shard, pa.int32()), pa.array(keys, pa.binary())],
                                   names=["doc_id", "shard", "key"])
 
@@ -88,9 +89,11 @@ class LineIndex:
     """The state in a folder that all executors share; versions are folders, old ones stay."""
 
     def __init__(self, spark: SparkSession, root: str, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
-                 shards: int = SHARDS) -> None:
+                 shards: int | None = None) -> None:
         self.spark, self.root = spark, root
-        self.min_chars, self.min_docs, self.shards = min_chars, min_docs, shards
+        # As many shards as shuffles have partitions: a filter grows no more than a task's share.
+        self.shards = shards or max(SHARDS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        self.min_chars, self.min_docs = min_chars, min_docs
         self.version = 0
 
     def references(self) -> DataFrame:
