@@ -28,6 +28,25 @@ def op9_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+ORACLES["op9_minhash_near_dup"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(list_slice(w, i, i + 3), ' ')) END) AS sh FROM d
+), x AS (SELECT doc_id, unnest(sh) AS t FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM x a JOIN x b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (
+  SELECT p.a, p.b FROM p JOIN s sa ON sa.doc_id = p.a JOIN s sb ON sb.doc_id = p.b
+  WHERE 100 * p.c >= 80 * (len(sa.sh) + len(sb.sh) - p.c)
+), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(a, b) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+m AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT s.doc_id, len(s.sh) AS n_shingles, m.component_id, s.doc_id = m.component_id AS kept FROM s JOIN m ON s.doc_id = m.doc_id
+"""
+
+
 @query
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -104,6 +123,39 @@ def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
 
 
+def _notice_rows() -> str:
+    quoted = lambda text: "[" + ", ".join(f"'{w}'" for w in text.split()) + "]"
+    rows = [f"('notice', '{label}', {quoted(key)}, {quoted(notice)})" for label, key, notice in licences.NOTICES]
+    return ", ".join(rows + [f"('base', '{label}', {quoted(phrase)}, {quoted(phrase)})" for phrase, label in licences.BASE])
+
+
+ORACLES["op6_licence_scan"] = rf"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS rn,
+         regexp_extract_all(translate(coalesce(text, ''), '{licences.UPPER}', '{licences.LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), n(kind, label, key, body) AS (VALUES {_notice_rows()}),
+k AS (SELECT *, list_filter(range(1, len(body) + 1), lambda i: list_slice(body, i, i + len(key) - 1) = key)[1] AS lead FROM n),
+z AS (
+  SELECT d.rn, k.kind, k.label, k.body, k.lead, d.w,
+         unnest(list_filter(list_transform(list_filter(range(1, len(d.w) + 1), lambda i: d.w[i] = k.key[1]), lambda i: i),
+                            lambda i: list_slice(d.w, i, i + len(k.key) - 1) = k.key)) AS i
+  FROM d JOIN k ON list_has_all(d.w, k.key)
+), m AS (
+  SELECT rn, kind, label, i, len(list_filter(range(1, len(body) + 1), lambda j: i - lead + j >= 1 AND coalesce(w[i - lead + j] = body[j], FALSE))) / len(body) AS share FROM z
+), f AS (
+  SELECT rn, count(*) FILTER (WHERE kind = 'base') AS n_base, min(i - 1) FILTER (WHERE kind = 'base') AS first_word,
+         max(i - 1) FILTER (WHERE kind = 'base') AS last_word,
+         array_to_string(list_sort(list(DISTINCT label) FILTER (WHERE kind = 'base')), ',') AS base_labels,
+         array_to_string(list_sort(list(DISTINCT label) FILTER (WHERE kind = 'base' OR share >= {licences.LEAST_SHARE})), ',') AS labels,
+         max(share) FILTER (WHERE kind = 'base' OR share >= {licences.LEAST_SHARE}) AS score
+  FROM m GROUP BY rn
+)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(f.n_base, 0) AS n_base, f.first_word, f.last_word, coalesce(f.base_labels, '') AS base_labels,
+       coalesce(f.labels, '') AS labels, coalesce(f.score, 0.0)::DOUBLE AS score
+FROM d LEFT JOIN f ON d.rn = f.rn
+"""
+
+
 @query
 def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.write_shards(table(spark, sf_dir, "documents"), fresh_path(spark, "token-shards"))
