@@ -195,6 +195,7 @@ def linked(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFra
     one = signs.select(F.col("rep").alias("a"), F.col("bits").alias("ba"))
     two = signs.select(F.col("rep").alias("b"), F.col("bits").alias("bb"))
     # First one pair for each member, then the likely pairs that are still apart, at last all that can be close.
+    room = None
     for least in (None, percent / 100.0 + 0.04, close):
         if least is None:
             pairs = leader_pairs(open_rows).join(one, "a").join(two, "b")
@@ -204,7 +205,8 @@ def linked(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFra
             sized = open_rows.join(sizes, "key").join(signs, "rep")
             few = sized.filter(F.col("n") <= SMALL_BUCKET).withColumns({"size": F.lit(0), "shared": F.lit(0)})
             many = staged(sized.filter(F.col("n") > SMALL_BUCKET), "near-large")
-            room = staged(shared_sizes(sets.join(many.select("rep").distinct(), "rep", "left_semi")), "near-shared")
+            if room is None:  # members only leave large buckets, so later rounds need no other bounds
+                room = staged(shared_sizes(sets.join(many.select("rep").distinct(), "rep", "left_semi")), "near-shared")
             pairs = all_pairs(few, least, percent).unionByName(all_pairs(many.join(room, "rep"), least, percent)).distinct()
         found = confirmed(staged(pairs, "near-pairs"), sets, percent)
         # What is joined already goes on as one link from each node to its component.
