@@ -46,6 +46,26 @@ def test_against_brute_force_windows(spark):
     assert set(found(spark, docs, items)) == expect and expect
 
 
+def test_slots_at_all_places_against_brute_force(spark):
+    # Every window of a re-parameterised item matches, as plain words or as template, wherever the slot stands.
+    plain = "take all red apples from the old basket and give them away today or leave it".split()
+    for n in (13, 17):
+        items, docs = [], []
+        for k in range(n):
+            for d, (one, two) in enumerate((("12", "15"), ("1,500", "2.5"), ("Anna", "Boris"))):
+                put = lambda v, k=k: " ".join(plain[:k] + [v] + plain[k : n - 1])
+                items.append((10 * k + d, f"w{k}x{d}. " + put(one)))
+                docs.append((10 * k + d, "before. " + put(two) + " after"))
+        got = found(spark, docs, [(i, t.split(". ", 1)[1]) for i, t in items])
+        assert all((i, i) in got and got[i, i].n_matched == n - 7 for i, _ in items)
+
+
+def test_dense_windows_count_where_others_match(spark):
+    item = "add up 3 4 5 6 7 8 9 and 10 to get it"
+    docs = [(1, "add up 13 14 15 16 17 18 19 and 20 to get it"), (2, "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18")]
+    assert set(found(spark, docs, [(1, item), (2, "21 22 23 24 25 26 27 28 29 30 31 32 33 34")])) == {(1, 1)}
+
+
 def test_odd_tables(spark, odd_docs, no_docs):
     items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     assert decontaminate.contaminated(odd_docs, items).count() == 0
