@@ -2,9 +2,11 @@
 
 A document is the set of its distinct word shingles. Each set gets ``HASHES`` minima;
 ``BANDS`` bands of ``ROWS`` full minima make candidate buckets, and the lowest ``BITS`` bits of all
-minima, packed into longs, give a similarity estimate by counting bits, corrected for
-the chance that two different minima share their low bits. Pairs above the estimate's
-bound are confirmed on the full sets.
+mixed minima, packed into longs, give a similarity estimate by counting bits, corrected for
+the chance that two different minima share their low bits. The minima are mixed before the
+bits are taken: the low bits of the images themselves differ in all lanes or in none. Pairs
+above the estimate's bound are confirmed on the full sets; so are all pairs of sets of at most
+``SMALL_SET`` shingles, of sizes that can be similar, with a leader or inside a small bucket.
 
 Equal sets are one class before any pairing, so copies make no pairs. Inside a bucket,
 members are first compared with one leader only. What that leaves apart is compared
@@ -33,7 +35,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loglake.llm.arrays import LOWER, SPACE, shingles, span_hashes, text_slices, word_spans
+from loglake.llm.arrays import LOWER, SPACE, mix, shingles, span_hashes, text_slices, word_spans
 from loglake.llm.graph import components
 from loglake.session import staged
 
@@ -41,6 +43,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROWS, BANDS, BITS = 5, 30, 2
 SMALL_BUCKET = 64
+SMALL_SET = 64
 HASHES = 256
 LANES = 64 // BITS
 LONGS = -(-HASHES // LANES)
@@ -81,9 +84,9 @@ def minima(hashes: np.ndarray, room: np.ndarray) -> np.ndarray:
 
 
 def packed(low: np.ndarray) -> np.ndarray:
-    """The low bits of all minima, ``LANES`` of them in a long."""
+    """The low bits of all minima, mixed, ``LANES`` of them in a long."""
     lanes = np.zeros(LONGS * LANES, dtype=np.uint64)
-    lanes[:HASHES] = low & np.uint32((1 << BITS) - 1)
+    lanes[:HASHES] = mix(low.astype(np.uint64)) & np.uint64((1 << BITS) - 1)
     shifts = np.arange(LANES, dtype=np.uint64) * np.uint64(BITS)
     return np.bitwise_or.reduce(lanes.reshape(LONGS, LANES) << shifts, axis=1).view(np.int64)
 
@@ -188,18 +191,18 @@ def linked(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFra
     nodes = members.select(F.col("rep").alias("doc_id")).distinct()
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(nodes, "doc_id", "left_semi")
     sets = staged(full_sets(texts, size).dropDuplicates(["rep"]), "near-sets")
-    signs = staged(reps.join(nodes.withColumnRenamed("doc_id", "rep"), "rep", "left_semi").select("rep", "bits"), "near-bits")
+    signs = staged(reps.join(nodes.withColumnRenamed("doc_id", "rep"), "rep", "left_semi").select("rep", "bits", "n_shingles"), "near-bits")
     close = bound(percent / 100.0)
     parts = spark.createDataFrame([], "node long, component long")
     open_rows = members.select("key", "rep", F.col("rep").alias("component"))
-    one = signs.select(F.col("rep").alias("a"), F.col("bits").alias("ba"))
-    two = signs.select(F.col("rep").alias("b"), F.col("bits").alias("bb"))
+    one = signs.select(F.col("rep").alias("a"), F.col("bits").alias("ba"), F.col("n_shingles").alias("na"))
+    two = signs.select(F.col("rep").alias("b"), F.col("bits").alias("bb"), F.col("n_shingles").alias("nb"))
     # First one pair for each member, then the likely pairs that are still apart, at last all that can be close.
     room = None
     for least in (None, percent / 100.0 + 0.04, close):
         if least is None:
             pairs = leader_pairs(open_rows).join(one, "a").join(two, "b")
-            pairs = pairs.filter(estimate(F.col("ba"), F.col("bb")) >= close).select("a", "b")
+            pairs = pairs.filter((estimate(F.col("ba"), F.col("bb")) >= close) | small_pair("na", "nb", percent)).select("a", "b")
         else:
             sizes = open_rows.groupBy("key").agg(F.count("*").alias("n"))
             sized = open_rows.join(sizes, "key").join(signs, "rep")
@@ -207,7 +210,7 @@ def linked(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFra
             many = staged(sized.filter(F.col("n") > SMALL_BUCKET), "near-large")
             if room is None:  # members only leave large buckets, so later rounds need no other bounds
                 room = staged(shared_sizes(sets.join(many.select("rep").distinct(), "rep", "left_semi")), "near-shared")
-            pairs = all_pairs(few, least, percent).unionByName(all_pairs(many.join(room, "rep"), least, percent)).distinct()
+            pairs = all_pairs(few, least, percent, least == close).unionByName(all_pairs(many.join(room, "rep"), least, percent)).distinct()
         found = confirmed(staged(pairs, "near-pairs"), sets, percent)
         # What is joined already goes on as one link from each node to its component.
         links = parts.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(found)
@@ -241,18 +244,26 @@ def shared_sizes(sets: DataFrame) -> DataFrame:
     return sets.select("rep", F.size("shingles").alias("size")).join(held, "rep")
 
 
-def all_pairs(rows: DataFrame, least: float, percent: int) -> DataFrame:
+def small_pair(a: str, b: str, percent: int) -> Column:
+    """Whether two sets of these sizes are small, and near enough in size to be similar."""
+    few = F.greatest(a, b)
+    return (few <= SMALL_SET) & (F.least(a, b) * 100 >= few * percent)
+
+
+def all_pairs(rows: DataFrame, least: float, percent: int, small: bool = False) -> DataFrame:
     """Pairs of a bucket that lie in two components, are estimated to be close, and have room to be.
 
-    Two sets can share no more than what each has in common with any set at all.
+    Two sets can share no more than what each has in common with any set at all. With ``small``,
+    small sets need no estimate.
     """
     one, two = (
-        rows.select(*(F.col(c).alias(f"{c}_{x}") for c in ("key", "rep", "component", "bits", "size", "shared"))) for x in "ab"
+        rows.select(*(F.col(c).alias(f"{c}_{x}") for c in ("key", "rep", "component", "bits", "n_shingles", "size", "shared"))) for x in "ab"
     )
     c = F.col
     room = F.least("shared_a", "shared_b") * (100 + percent) >= (c("size_a") + c("size_b")) * percent
     near = (c("component_a") != c("component_b")) & (c("rep_a") < c("rep_b")) & room
-    near = near & (estimate(c("bits_a"), c("bits_b")) >= F.lit(least))
+    likely = estimate(c("bits_a"), c("bits_b")) >= F.lit(least)
+    near = near & (likely | small_pair("n_shingles_a", "n_shingles_b", percent) if small else likely)
     return one.join(two, (c("key_a") == c("key_b")) & near).select(c("rep_a").alias("a"), c("rep_b").alias("b"))
 
 

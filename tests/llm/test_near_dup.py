@@ -2,6 +2,8 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
+
 from loglake.llm import near_dup
 from loglake.llm.graph import components
 
@@ -76,6 +78,30 @@ def test_estimate_is_close_to_the_truth(spark):
     assert abs(got - 480 / 720) < 0.12
 
 
+def test_low_bits_of_lanes_are_independent():
+    # Sets of five and four of their shingles: the estimate of a true pair must not depend on their two lowest bits.
+    draw = np.random.default_rng(1)
+    room = np.empty((near_dup.HASHES, 128), np.uint32)
+    lost, n = 0, 3000
+    for _ in range(n):
+        five = draw.integers(0, 1 << 63, 5, dtype=np.uint64) * np.uint64(2)
+        a, b = (near_dup.packed(near_dup.minima(h, room)).view(np.uint64) for h in (five, five[:4]))
+        differ = a ^ b
+        differ = (differ | (differ >> np.uint64(1))) & np.uint64(0x5555555555555555)
+        share = 1 - int(np.bitwise_count(differ).sum()) / near_dup.HASHES
+        lost += (share - 0.25) / 0.75 < near_dup.bound(0.8)
+    assert lost <= n // 1000
+
+
+def test_all_small_pairs_against_brute_force(spark):
+    draw = random.Random(6)
+    rows = []
+    for k in range(500):
+        text = " ".join("".join(draw.choice("abcdefgh") for _ in range(5)) for _ in range(7))
+        rows += [(2 * k, text), (2 * k + 1, text + " more")]
+    assert result(spark.createDataFrame(rows, "doc_id long, text string"), 4) == brute(rows, 4)
+
+
 def test_components_of_long_chains_and_hubs(spark):
     links = [(k, k + 1) for k in range(100, 160)] + [(7, k) for k in range(200, 260)] + [(5, 5), (300, 200), (9, 8), (8, 9)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
