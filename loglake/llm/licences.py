@@ -5,8 +5,9 @@ Texts are words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the A-Z lower-cased
 1. Every text is read once: its number of words, the licence words in it, and its words
    where it holds the anchor of a template's key phrase (no label without one). The result
    is written; its document counts give the words their IDF.
-2. For each candidate, the ``RAREST`` licence words of highest IDF are looked up. Each place
-   votes for all (template, offset) in the template's postings; offsets with two votes stay.
+2. The ``RAREST`` words of highest IDF of each template's key phrase are looked up. Each place
+   votes for all (template, offset) in the word's postings; offsets with two votes stay. Where a
+   key phrase stands its own words give the votes, whatever other notices the text holds.
 3. At these offsets the key phrase must stand word for word, and at least ``LEAST_SHARE`` of the
    template's words. The score of a text is its best share.
 
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from loglake.session import staged
 
-RAREST = 8
+RAREST = 2
 LEAST_SHARE = 0.6
 
 # Phrases that are counted as they are, with their labels.
@@ -90,12 +91,21 @@ def read_once(docs: DataFrame) -> DataFrame:
         F.when(F.col("candidate"), F.col("words")).alias("words"))
 
 
-def word_weights(read: DataFrame) -> Column:
-    """IDF of every licence word, as a map; it holds no more words than the notices."""
+def word_weights(read: DataFrame) -> dict[str, float]:
+    """IDF of every licence word in the texts; it holds no more words than the notices."""
     total = read.count()
     counts = read.select(F.explode("present").alias("word")).groupBy("word").agg(F.log((F.lit(total) + 1.0) / (F.count("*") + 1.0)).alias("idf"))
-    pairs = [F.lit(v) for r in sorted(counts.collect()) for v in (r["word"], float(r["idf"]))]
-    return F.create_map(*pairs) if pairs else F.create_map(F.lit(""), F.lit(0.0))
+    return {r["word"]: float(r["idf"]) for r in counts.collect()}
+
+
+def looked_up(weights: dict[str, float]) -> list[str]:
+    """The rarest words of each key phrase. A phrase with a word that no text holds stands nowhere."""
+    out: set[str] = set()
+    for _, key, _ in NOTICES:
+        words = sorted({w for w in key.split() if w not in COMMON}, key=lambda w: (-weights.get(w, 0.0), w))
+        if all(w in weights for w in words):
+            out.update(words[:RAREST])
+    return sorted(out)
 
 
 def postings() -> Column:
@@ -109,11 +119,9 @@ def postings() -> Column:
     return F.create_map(*lists)
 
 
-def alignments(candidates: DataFrame, weights: Column) -> DataFrame:
-    """(row, t, offset) with at least two rare words in the same relative place."""
-    ranked = F.sort_array(F.transform("present", lambda w: F.struct((-F.element_at(weights, w)).alias("idf"), w.alias("word"))))
-    chosen = candidates.withColumn("chosen", F.slice(ranked, 1, RAREST)["word"])
-    places = chosen.select("row", "chosen", F.posexplode("words").alias("at", "word")).filter(F.array_contains("chosen", F.col("word")))
+def alignments(candidates: DataFrame, chosen: list[str]) -> DataFrame:
+    """(row, t, offset) with at least two of the chosen words in the same relative place."""
+    places = candidates.select("row", F.posexplode("words").alias("at", "word")).filter(F.col("word").isin(chosen))
     votes = places.select("row", "at", F.explode(F.element_at(postings(), F.col("word"))).alias("q"))
     keyed = votes.select("row", F.col("q.t").alias("t"), (F.col("at") - F.col("q.p")).alias("offset"))
     return keyed.groupBy("row", "t", "offset").agg(F.count("*").alias("votes")).filter("votes >= 2")
@@ -145,7 +153,7 @@ def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every row."""
     read = staged(read_once(docs), "licence-words")
     candidates = read.filter(F.col("words").isNotNull())
-    found = verified(candidates, alignments(candidates, word_weights(read)))
+    found = verified(candidates, alignments(candidates, looked_up(word_weights(read))))
     best = found.groupBy("row").agg(F.collect_set("label").alias("_method"), F.max("share").alias("_share"))
     words = F.coalesce("words", F.array().cast("array<string>"))
     places = [F.when(F.size(words) > 0, starts_of(words, p.split())).otherwise(F.array().cast("array<int>")) for p, _ in BASE]

@@ -46,6 +46,16 @@ def test_licences_against_brute_force(spark, odd_docs, no_docs):
     assert licences.scan(no_docs).count() == 0
 
 
+def test_several_notices_in_one_text_against_brute_force(spark):
+    from itertools import combinations
+
+    bodies = [n for _, _, n in licences.NOTICES]
+    texts = [" and also ".join(c) for k in (2, 3) for c in combinations(bodies, k)] + [" then ".join(bodies), " then ".join(bodies[::-1])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, round(r.score, 9)) for r in licences.scan(df).collect()}
+    assert got == {k: licence_brute(t)[5:] for k, t in enumerate(texts)}
+
+
 def top_brute(rows, k):
     good = [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
     out = []
