@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglake.llm import decontaminate, lang_id, licences, line_dedup, near_dup, segment_sampling, token_counts, token_shards, topk, toxicity
+from loglake.llm import decontaminate, lang_id, licences, line_dedup, near_dup, segment_sampling, sharding, token_counts, token_shards, topk, toxicity
 from loglake.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,37 @@ def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_report(table(spark, sf_dir, "documents"), shards=8)
+
+
+def _crc32(raw: str) -> str:
+    """SQL for the unsigned CRC-32 of a hexadecimal text, bit by bit."""
+    pairs = f"list_transform(regexp_extract_all({raw}, '..'), lambda p: ('0x' || p)::BIGINT)"
+    bits = "lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+    step = f"lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), {bits})"
+    return f"xor(list_reduce(list_prepend(4294967295, {pairs}), {step}), 4294967295)"
+
+
+def _jump(shards: int) -> str:
+    """SQL for the published loop; each step is kept as [state, shard, next]."""
+    step = f"""lambda s, i: CASE WHEN s[3] >= {shards} THEN s ELSE list_transform(
+        [(s[1] * {sharding.MULTIPLIER}::HUGEINT + 1) % 18446744073709551616::HUGEINT],
+        lambda k: [k, s[3], floor((s[3] + 1)::DOUBLE * ({sharding.TOP}::DOUBLE / ((k // 8589934592) + 1)::DOUBLE))::HUGEINT])[1] END"""
+    start = "[('0x' || md5(coalesce(doc_id::VARCHAR, ''))[1:16])::UBIGINT::HUGEINT, 0::HUGEINT, 0::HUGEINT]"
+    turns = f"list_transform(range({shards}), lambda i: [i::HUGEINT, 0::HUGEINT, 0::HUGEINT])"
+    return f"list_reduce(list_prepend({start}, {turns}), {step})[2]::INT"
+
+
+ORACLES["op11_jump_shards"] = rf"""
+WITH d AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, {_crc32("hex(encode(coalesce(text, '')))")} AS text_crc32,
+         {_jump(8)} AS shard, {_jump(9)} AS grown_shard FROM documents
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY md5(concat_ws(':', coalesce(doc_id::VARCHAR, ''), size, text_crc32))) - 1 AS slot, grown_shard
+FROM d
+"""
