@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglake.llm import decontaminate, lang_id, licences, line_dedup, near_dup, segment_sampling, sharding, token_counts, token_shards, topk, toxicity
+from loglake.llm import decontaminate, lang_id, licences, line_dedup, near_dup, prefix_trie, segment_sampling, sharding, token_counts, token_shards, topk, toxicity
 from loglake.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -198,3 +198,37 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard,
        row_number() OVER (PARTITION BY shard ORDER BY md5(concat_ws(':', coalesce(doc_id::VARCHAR, ''), size, text_crc32))) - 1 AS slot, grown_shard
 FROM d
 """
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie_report(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op12_prefix_trie"] = rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, md5(length(role)::VARCHAR || ':' || role || text)) AS seq FROM t GROUP BY conv_id
+), placed AS (
+  SELECT *, {_crc32("hex(encode(conv_id::VARCHAR))")} % 6 AS h FROM own
+), whole AS (
+  SELECT p.conv_id, list_concat(coalesce(list_slice(b.seq, 1, p.h), []), list_slice(p.seq, p.h + 1, len(p.seq))) AS seq
+  FROM placed p LEFT JOIN own b ON b.conv_id = p.conv_id - p.conv_id % 100
+), n AS (
+  SELECT d, list_slice(seq, 1, d) AS pre, min(conv_id) AS conv_id, count(*) AS n_convs,
+         list(conv_id ORDER BY conv_id) FILTER (WHERE len(seq) = d) AS final
+  FROM (SELECT conv_id, seq, unnest(range(len(seq) + 1)) AS d FROM whole) GROUP BY ALL
+), k AS (SELECT d - 1 AS d, list_slice(pre, 1, d - 1) AS pre, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+m AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, coalesce(k.n_children, 0) AS n_children
+  FROM n LEFT JOIN n p ON p.d = n.d - 1 AND p.pre = list_slice(n.pre, 1, n.d - 1) LEFT JOIN k ON k.d = n.d AND k.pre = n.pre
+), u AS (
+  SELECT up AS d, list_slice(pre, 1, up) AS pre, sum((n_children = 0)::INT) AS n_leaves,
+         sum(CASE WHEN d > 0 THEN (n_convs - 1) * length(pre[d].text) ELSE 0 END) AS saved_tokens
+  FROM (SELECT *, unnest(range(d + 1)) AS up FROM m) GROUP BY ALL
+)
+SELECT m.conv_id, m.d AS depth, m.parent_conv_id, m.n_convs, m.n_children, u.n_leaves::BIGINT AS n_leaves, u.saved_tokens::BIGINT AS saved_tokens,
+       sha256(coalesce(array_to_string(m.final, ','), '')) AS ends_sha256
+FROM m JOIN u ON u.d = m.d AND u.pre = m.pre
+"""

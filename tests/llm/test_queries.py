@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test table
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_against_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "benchmark", "labels"):
+    for table in ("documents", "embeddings", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     df = queries.QUERIES[name](spark, SF_DIR)
     columns = sorted(df.columns)
