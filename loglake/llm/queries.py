@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglake.llm import decontaminate, lang_id, licences, line_dedup, near_dup, prefix_trie, segment_sampling, sharding, token_counts, token_shards, topk, toxicity
+from loglake.llm import alignment, decontaminate, lang_id, licences, line_dedup, near_dup, prefix_trie, segment_sampling, sharding, token_counts, token_shards, topk, toxicity
 from loglake.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -232,3 +232,8 @@ SELECT m.conv_id, m.d AS depth, m.parent_conv_id, m.n_convs, m.n_children, u.n_l
        sha256(coalesce(array_to_string(m.final, ','), '')) AS ends_sha256
 FROM m JOIN u ON u.d = m.d AND u.pre = m.pre
 """
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_report(table(spark, sf_dir, "documents"))
