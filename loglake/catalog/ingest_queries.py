@@ -270,6 +270,38 @@ def _group_continuations(spark: SparkSession, sf: str) -> DataFrame:
         F.regexp_extract(first, r"\[(\d+)-", 1).cast("bigint").alias("pid"), F.size("lines").alias("n_lines"))
 
 
+@query("group_without_headers", "SELECT event_id, 1 AS bounded, 'no query' AS reason FROM events")
+def _group_without_headers(spark: SparkSession, sf: str) -> DataFrame:
+    # No line opens an entry: every file is one run. It stays in rows of a few KB, through
+    # grouping and fold, and each of its lines is in one of them.
+    lines = backfill(spark, _event_lines_path(spark, sf))
+    entries = group_slow_log(lines.withColumn("block", F.shiftright("pos", 8)), segment_bytes=16, piece_bytes=4096)
+    rejected = fold_entry(entries).filter("reject_reason IS NOT NULL")
+    return rejected.select(
+        F.explode(F.split("value", "\n")).alias("line"), bit(F.length("value") < 3 * 4096).alias("bounded"), F.col("reject_reason").alias("reason")
+    ).select(_id_in_line("line").alias("event_id"), "bounded", "reason")
+
+
+@query(
+    "fold_long_entry",
+    f"""SELECT floor(o_orderkey / 64)::BIGINT AS entry, count(*) AS n_lines, arg_max(o_custkey, o_orderkey) AS last_customer,
+       max(o_orderkey) AS last_order FROM orders GROUP BY 1""",
+)
+def _fold_long_entry(spark: SparkSession, sf: str) -> DataFrame:
+    # 64 statements under one header, cut into pieces of 512 bytes: the last one counts, and the header stays known.
+    each = table(spark, sf, "orders").withColumn("entry", F.floor(F.col("o_orderkey") / 64))
+    first = F.row_number().over(Window.partitionBy("entry").orderBy("o_orderkey")) == 1
+    statement = F.concat(L("select "), text("o_custkey"), L(" + "), text("o_orderkey"), L(";"))
+    head = F.concat(L("# User@Host: entry["), text("entry"), L("] @ web []  Id: "), text("entry"), L("\n"))
+    body = each.select("entry", "o_orderkey", F.when(first, F.concat(head, statement)).otherwise(statement).alias("value"))
+    path = written(spark, sf, "long-entries", lambda: body.repartitionByRange(4, "entry").sortWithinPartitions("entry", "o_orderkey").select("value"))
+    entries = group_slow_log(backfill(spark, path), piece_bytes=512)
+    held = entries.groupBy("file", "block", "pos").agg(F.sum(F.size("lines")).alias("n_lines"))
+    events = drop_admin_and_empty(fold_entry(entries)).join(held, ["file", "block", "pos"])
+    number = lambda i: F.regexp_extract("query", r"select (\d+) \+ (\d+)", i).cast("bigint")
+    return events.select(F.col("connection_id").alias("entry"), (F.col("n_lines") - 1).alias("n_lines"), number(1).alias("last_customer"), number(2).alias("last_order"))
+
+
 def _slow_columns(df: DataFrame) -> DataFrame:
     return df.select(
         F.col("rows_examined").alias("o_orderkey"), stamp_text(F.col("_time")).alias("at"), "user", "client", "connection_id",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,8 +12,9 @@ from loglake.functions.sqltext import comments, normalize, statement, tables_in
 from loglake.functions.text import settled, trim_space
 from loglake.functions.times import ISO_LOCAL, TimeFormat, combine_time
 from loglake.functions.typing import as_double, as_long
-from loglake.operators.grouping import group_slow_log, is_banner
+from loglake.operators.grouping import STATEMENT_BYTES, group_slow_log, is_banner
 from loglake.operators.sampling import sample_entries
+from loglake.session import staged
 
 # What the lines of an entry look like. The first word is tested
 # before the pattern, which spares most lines the regex.
@@ -100,13 +103,108 @@ def _last(kind: str) -> tuple[LinePattern, Column]:
     return line_pattern(PATTERNS[kind][1]), F.try_element_at(hits, F.lit(-1))
 
 
+_START = {"i": 1, "open": 1, "q_from": 0, "q_to": 0, "use": 0}
+FAN_IN = 16
+# Stands in the text of a statement where it was cut; no log line begins like this.
+_CUT = "\x00text cut here"
+
+
+def _places(roles: Column) -> Column:
+    """Where the open text starts, which closed text counts, and the last ``use``, as places of lines."""
+    start = F.struct(*[F.lit(v).alias(n) for n, v in _START.items()])
+
+    def step(s: Column, role: Column) -> Column:
+        closes, uses = role == _CLOSE, role == _USE
+        return F.struct(
+            (s["i"] + 1).alias("i"),
+            F.when(closes | uses | (role == _RESET), s["i"] + 1).otherwise(s["open"]).alias("open"),
+            F.when(closes, s["open"]).otherwise(s["q_from"]).alias("q_from"),
+            F.when(closes, s["i"]).otherwise(s["q_to"]).alias("q_to"),
+            F.when(uses, s["i"]).otherwise(s["use"]).alias("use"),
+        )
+
+    return F.aggregate(roles, start, step)
+
+
+def essential(df: DataFrame, limit: int = STATEMENT_BYTES) -> DataFrame:
+    """The lines of ``lines`` that can still change what an entry folds to, in their order.
+
+    They are the state of the fold: the last line of each kind, a ping, the last closed
+    statement, the text that is still open, and the line that each of these two begins after.
+    States are merged by putting their lines one after another and taking the essential ones
+    again. Text of more than ``limit`` bytes is cut out and marked.
+    """
+    kinds = [k for k in PATTERNS if k not in ("iso_time", "old_time")]
+
+    def newest(*of: str) -> Column:
+        return F.array_max(F.transform("lines", lambda l, i: F.when(reduce(Column.__or__, [_is(l, k) for k in of]), i)))
+
+    found = {k: newest(k) for k in kinds} | {"stamp": newest("iso_time", "old_time")}
+    df = df.withColumn("_roles", F.transform("lines", _role)).withColumn("_at", _places(F.col("_roles")))
+    df = df.withColumn("_last", F.array_compact(F.array(*found.values())))
+
+    def too_long(first: Column, last: Column) -> Column:
+        text = F.slice("lines", F.greatest(first, F.lit(1)), F.greatest(last - first + 1, F.lit(0)))
+        size = F.aggregate(text, F.lit(0).cast("bigint"), lambda n, l: n + F.octet_length(l) + 1)
+        return (last > first) & ((size > limit) | F.array_contains(text, _CUT))
+
+    at = {name: F.col(f"_at.{name}") for name in _START}
+    df = df.withColumns({"_long": too_long(at["q_from"], at["q_to"]), "_long_open": too_long(at["open"], at["i"] - 1)})
+
+    def state(line: Column, i: Column) -> Column:
+        place, role = i + 1, F.get("_roles", i)
+        told = (place >= at["q_from"]) & (place <= at["q_to"])
+        is_open = place >= at["open"]
+        cut = (told & F.col("_long") & (place == at["q_from"])) | (is_open & F.col("_long_open") & (place == at["open"]))
+        text = (told & ((role == _CLOSE) | ((role == _BODY) & ~F.col("_long")))) | (is_open & (role == _BODY) & ~F.col("_long_open"))
+        begin = (place == at["q_from"] - 1) | (place == at["open"] - 1) | (place == at["use"])
+        kept = F.when(text | begin | F.array_contains("_last", i), F.array(line)).otherwise(F.array().cast("array<string>"))
+        return F.when(cut, F.concat(F.array(F.lit(_CUT)), kept)).otherwise(kept)
+
+    return df.withColumn("lines", F.flatten(F.transform("lines", state))).drop("_roles", "_at", "_last", "_long", "_long_open")
+
+
+def fold_parts(parts: DataFrame, most: int, limit: int = STATEMENT_BYTES) -> DataFrame:
+    """Entries of up to ``most`` rows as one row each, with their essential lines.
+
+    A tree of merges, ``FAN_IN`` states at a time, in the order of the parts: no task holds
+    more of an entry than that many states, whatever the entry's length.
+    """
+    out = essential(parts.select("file", "block", "pos", "part", "lines"), limit)
+    while most > 1:
+        grouped = out.withColumn("_in", F.floor(F.col("part") / FAN_IN)).groupBy("file", "block", "pos", "_in")
+        joined = grouped.agg(F.sort_array(F.collect_list(F.struct("part", "lines"))).alias("_states"))
+        lines = F.flatten(F.transform("_states", lambda s: s["lines"]))
+        out = essential(joined.select("file", "block", "pos", F.col("_in").alias("part"), lines.alias("lines")), limit)
+        most = -(-most // FAN_IN)
+    return out.drop("part")
+
+
 def fold_entry(entries: DataFrame, ingest_time: Column | None = None) -> DataFrame:
     """One row per entry with all attributes and the statement.
 
     The statement is found by positions: a pass over the line roles keeps where the
     open text starts and which closed text counts, so long statements cost one join
     of their lines at the end. A reset discards open text but no closed statement.
+
+    Entries of several rows are folded to states, merged, and read like the others; their
+    rejected text stays in as many rows. A statement longer than ``STATEMENT_BYTES`` is rejected.
     """
+    if "parts" not in entries.columns:
+        return _fold(entries, ingest_time)
+    several = entries.filter("parts > 1")
+    most = several.agg(F.max("parts")).first()[0]
+    one = _fold(entries.filter("parts = 1"), ingest_time)
+    if most is None:
+        return one
+    folded = staged(_fold(fold_parts(several, most), ingest_time), "folded")
+    reasons = folded.filter("reject_reason IS NOT NULL").select("file", "block", "pos", "reject_reason")
+    raw = several.join(reasons, ["file", "block", "pos"]).withColumn("value", F.array_join("lines", "\n"))
+    rejected = raw.select([F.col(f.name) if f.name in raw.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in one.schema])
+    return one.unionByName(folded.filter("reject_reason IS NULL")).unionByName(rejected)
+
+
+def _fold(entries: DataFrame, ingest_time: Column | None = None) -> DataFrame:
     late = ingest_time if ingest_time is not None else F.lit(None).cast("timestamp")
     capture_of: dict[str, str] = {}
     df = entries
@@ -123,19 +221,7 @@ def fold_entry(entries: DataFrame, ingest_time: Column | None = None) -> DataFra
     captures["_roles"] = F.transform("lines", _role)
     df = df.withColumns(captures)
 
-    start = F.struct(*[F.lit(v).alias(n) for n, v in (("i", 1), ("open", 1), ("q_from", 0), ("q_to", 0), ("use", 0))])
-
-    def step(s: Column, role: Column) -> Column:
-        closes, uses = role == _CLOSE, role == _USE
-        return F.struct(
-            (s["i"] + 1).alias("i"),
-            F.when(closes | uses | (role == _RESET), s["i"] + 1).otherwise(s["open"]).alias("open"),
-            F.when(closes, s["open"]).otherwise(s["q_from"]).alias("q_from"),
-            F.when(closes, s["i"]).otherwise(s["q_to"]).alias("q_to"),
-            F.when(uses, s["i"]).otherwise(s["use"]).alias("use"),
-        )
-
-    df = df.withColumn("_at", F.aggregate("_roles", start, step))
+    df = df.withColumn("_at", _places(F.col("_roles")))
     told = F.slice(F.arrays_zip("lines", "_roles"), F.greatest("_at.q_from", F.lit(1)), F.col("_at.q_to") - F.col("_at.q_from") + 1)
     body = F.transform(F.filter(told, lambda p: p["_roles"].isin(_BODY, _CLOSE)), lambda p: p["lines"])
     use_line = F.get("lines", F.col("_at.use") - 1)
@@ -168,7 +254,8 @@ def fold_entry(entries: DataFrame, ingest_time: Column | None = None) -> DataFra
     special = {"user", "host", "connection", "schema", "seconds"}
     database = F.btrim(F.rtrim(F.regexp_replace(use_line, USE.replace("^(?i)", "(?i)^"), ""), F.lit(";")), F.lit("`"))
     is_ping = F.exists("lines", lambda l: _is(l, "ping"))
-    reason = F.when(is_ping, "ping").when(F.coalesce(F.col("query"), F.lit("")) == "", "no query")
+    cut = F.col("query").contains(_CUT)
+    reason = F.when(is_ping, "ping").when(F.coalesce(F.col("query"), F.lit("")) == "", "no query").when(cut, "statement too long")
     return df.select(
         "file", "block", "pos",
         F.coalesce(combine_time(F.coalesce(iso, old), as_long(field("seconds"))), late).alias("_time"),
@@ -203,6 +290,5 @@ def mysql_slow_events(
     """Slow-log lines to typed entries; rejected ones keep a reason."""
     entries = group_slow_log(lines, prefix, **sizes)
     if rate > 1:
-        entries = sample_entries(entries, rate, seed).drop("sample_rate")
-        return fold_entry(entries, ingest_time).withColumn("sample_rate", F.lit(rate))
+        return fold_entry(sample_entries(entries, rate, seed), ingest_time).withColumn("sample_rate", F.lit(rate))
     return fold_entry(entries, ingest_time)

@@ -75,5 +75,5 @@ def column_types(pairs: DataFrame, key: str = "key", value: str = "value") -> Da
 
 
 def type_pg_meta(col: Column) -> Column:
-    """``pid``-like prefix values: BIGINT where possible, the text is kept elsewhere."""
+    """``pid``-like prefix values: BIGINT where possible; the format keeps other text in ``extra``."""
     return as_long(col)

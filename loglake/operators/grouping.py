@@ -1,16 +1,21 @@
 """Statements out of lines: multi-line assembly in file order.
 
-A line opens a statement depending only on itself and the line before it, so runs
-of lines can be merged in steps:
-
-1. inside a split, as the scan reads it: no shuffle, the lines of a run are cut out
-   of the Arrow batches by offsets;
-2. inside a segment, a bounded stretch of one file: the first and the last run of
-   every split, which may go on beyond its edges;
-3. inside a file: the first and the last run of every segment.
-
-Nearly all statements are complete after step 1. Only two runs per split are ever
-shuffled, so one file that holds most of the data is no burden for any task.
+A line opens a statement depending only on itself and the line before it. One pass over
+the scan cuts the lines of each split into pieces of a bounded size and stages them:
+
+1. A run of lines that begins and ends inside a split is a whole statement. Nearly all are;
+   their lines are cut out of the Arrow batches by offsets and never shuffled.
+2. The first and the last run of a split, and the parts of a run longer than a piece, are
+   open pieces. Each has a summary: its bytes and the kinds of its first and last line.
+3. Summaries are numbered by a prefix scan over splits: inside a segment, a bounded stretch
+   of a file, then over one row per segment. The state that is combined is the number of
+   statements begun, the bytes before, and the bytes before the last beginning. It says
+   which statement a piece belongs to, and which part of it.
+4. Open pieces of one statement and part are joined. A statement longer than a piece stays in
+   several rows, ``part`` 0 .. ``parts - 1``: no row grows with a run, so a file without any
+   header is as harmless as any other.
+
+Only open pieces are shuffled, and only their summaries pass through a window.
 
 Step 1 relies on the order of the scan: rows of a partition must be in file order,
 as ``order_lines`` delivers them. For other line tables use ``in_file_order`` first.
@@ -30,6 +35,7 @@ from pyspark.sql import functions as F
 
 from loglake.functions.regexes import line_pattern
 from loglake.functions.text import trim_space
+from loglake.session import staged
 
 # The cutting functions travel with the job, so workers need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -45,6 +51,8 @@ CONTINUATION_MARK = "\t"
 
 CHUNK_BITS = 16
 SEGMENT_BYTES = 16 * 1024**3
+PIECE_BYTES = 1024**2
+STATEMENT_BYTES = 16 * 1024**2
 
 _ORDER = ("block", "pos")
 
@@ -62,7 +70,8 @@ def is_header(value: Column) -> Column:
 def group_slow_log(lines: DataFrame, prefix: str | None = None, **sizes: int) -> DataFrame:
     """Entries of a slow log: one starts at a header line that follows a body line.
 
-    A trailing run of headers without any body is not an entry.
+    A trailing run of headers without any body is not an entry. An entry longer than a
+    piece has a row for each of its ``parts``.
     """
     clean = lines.withColumn("value", trim_space(F.col("value")))
     if prefix:
@@ -82,124 +91,168 @@ def group_continuations(lines: DataFrame, prefix: str | None = None, **sizes: in
     return assemble(opens, after_body_only=False, **sizes).drop("tail_opens")
 
 
+def rejoined(entries: DataFrame, limit: int = STATEMENT_BYTES, piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """Entries of several rows as one row again where they have at most ``limit`` bytes; longer ones stay in parts."""
+    several = entries.filter("parts > 1")
+    if several.isEmpty():
+        return entries
+    short = F.col("parts") <= max(limit // piece_bytes, 1)
+    by = ["file", "block", "pos"]
+    one = several.filter(short).groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("part", "lines"))).alias("_parts"))
+    whole = one.withColumns({
+        "part": F.lit(0).cast("bigint"), "parts": F.lit(1).cast("bigint"), "lines": F.flatten(F.transform("_parts", lambda p: p["lines"]))}).drop("_parts")
+    return entries.filter("parts = 1").unionByName(whole).unionByName(several.filter(~short))
+
+
 def in_file_order(lines: DataFrame) -> DataFrame:
     """Bring a shuffled line table back into file order, balanced over its partitions."""
     order = ("file", "block", "pos")
     return lines.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-_RUNS = (
-    "file string, block bigint, pos bigint, lines array<string>, opens boolean, tail_opens boolean, at_edge boolean"
+_PIECES = (
+    "file string, block bigint, pos bigint, n_bytes bigint, opens boolean, tail_opens boolean, whole boolean, "
+    "lines array<string>, open_lines array<string>"
 )
 
 
-def assemble(lines: DataFrame, after_body_only: bool, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
-    """Merge lines to ``entries(file, block, pos, lines, tail_opens)``.
+def assemble(
+    lines: DataFrame, after_body_only: bool, segment_bytes: int = SEGMENT_BYTES, piece_bytes: int = PIECE_BYTES
+) -> DataFrame:
+    """Merge lines to ``entries(file, block, pos, part, parts, lines, tail_opens)``.
 
     ``opens`` on a line says it may start an entry; with ``after_body_only`` it does
     so only after a line that may not. ``(block, pos)`` is the place of the first line.
+    Runs one job over the lines and a small one over the open pieces.
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _cut_runs(batches, after_body_only)
-
-    in_split = lines.select("file", *_ORDER, "value", "opens").mapInArrow(cut, _RUNS)
-    edges = in_split.filter("at_edge").withColumn("segment", F.floor(F.col("block") / segment_bytes)).drop("at_edge")
-    in_segment = _merge(edges, ["file", "segment"], after_body_only)
-    in_file = _merge(in_segment.filter("at_edge").drop("run", "at_edge"), ["file"], after_body_only)
-    out = ["file", *_ORDER, "lines", "tail_opens"]
-    return (
-        in_split.filter(~F.col("at_edge")).select(out)
-        .unionByName(in_segment.filter(~F.col("at_edge")).select(out))
-        .unionByName(in_file.select(out))
-    )
+        return _cut_pieces(batches, after_body_only, piece_bytes)
 
+    pieces = staged(lines.select("file", *_ORDER, "value", "opens").mapInArrow(cut, _PIECES), "pieces")
+    whole = pieces.filter("whole").select(
+        "file", *_ORDER, F.lit(0).cast("bigint").alias("part"), F.lit(1).cast("bigint").alias("parts"), "lines", F.lit(False).alias("tail_opens"))
+    open_pieces = pieces.filter("NOT whole")
+    joined = _joined(open_pieces, _numbered(open_pieces, after_body_only, segment_bytes), piece_bytes)
+    return whole.unionByName(staged(joined, "open-entries"))
 
-def _cut_runs(batches: Iterator[pa.RecordBatch], after_body_only: bool) -> Iterator[pa.RecordBatch]:
-    """Runs of the lines of one partition; the open run waits for the next batch."""
+
+def _numbered(pieces: DataFrame, after_body_only: bool, segment_bytes: int) -> DataFrame:
+    """(file, block, pos, entry, before, begun): the statement of a piece, the bytes of the file's open
+    pieces before it, and before the statement. A prefix scan of summaries in two levels."""
+    place = F.struct(*_ORDER)
+    told = pieces.select("file", *_ORDER, "n_bytes", "opens", "tail_opens", F.floor(F.col("block") / segment_bytes).alias("_segment"))
+    ends = told.groupBy("file", "_segment").agg(F.max_by("tail_opens", place).alias("_tail"))
+    over_segments = Window.partitionBy("file").orderBy("_segment")
+    entering = ends.select("file", "_segment", F.lag("_tail").over(over_segments).alias("_entering"))
+    in_order = Window.partitionBy("file", "_segment").orderBy(*_ORDER)
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = F.coalesce(F.lag("tail_opens").over(in_order), F.col("_entering"))
+    starts = F.col("opens") & (~before if after_body_only else before.isNotNull())
+    local = told.join(entering, ["file", "_segment"]).withColumn("_start", F.coalesce(starts, F.lit(False)))
+    local = local.withColumns({"_entry": F.sum(F.col("_start").cast("bigint")).over(so_far), "_before": F.sum("n_bytes").over(so_far) - F.col("n_bytes")})
+    local = local.withColumn("_begun", F.last(F.when(F.col("_start"), F.col("_before")), ignorenulls=True).over(so_far))
+    sums = local.groupBy("file", "_segment").agg(F.max("_entry").alias("_entries"), F.sum("n_bytes").alias("_bytes"), F.max("_begun").alias("_last"))
+    base = over_segments.rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.withColumns({
+        "_entries_0": F.coalesce(F.sum("_entries").over(base), F.lit(0)), "_bytes_0": F.coalesce(F.sum("_bytes").over(base), F.lit(0))})
+    carried = carried.withColumn("_begun_0", F.coalesce(F.last(F.col("_bytes_0") + F.col("_last"), ignorenulls=True).over(base), F.lit(0)))
+    known = local.join(carried.select("file", "_segment", "_entries_0", "_bytes_0", "_begun_0"), ["file", "_segment"])
+    return known.select(
+        "file", *_ORDER, "tail_opens", (F.col("_entries_0") + F.col("_entry")).alias("entry"), (F.col("_bytes_0") + F.col("_before")).alias("before"),
+        F.coalesce(F.col("_bytes_0") + F.col("_begun"), F.col("_begun_0")).alias("begun"))
+
+
+def _joined(pieces: DataFrame, numbered: DataFrame, piece_bytes: int) -> DataFrame:
+    """Neighbouring pieces of one statement as one row, as long as they are no larger than a piece."""
+    place = F.struct(*_ORDER)
+    # Pieces that begin in the same stretch of ``piece_bytes`` of their statement are one part.
+    placed = numbered.withColumn("_stretch", F.floor((F.col("before") - F.col("begun")) / piece_bytes))
+    stretches = placed.groupBy("file", "entry", "_stretch").agg(
+        F.min(place).alias("_from"), F.max_by("tail_opens", place).alias("tail_opens"))
+    by_entry = Window.partitionBy("file", "entry")
+    # One row per part; a statement of many parts has one row for each MB of it here.
+    counted = stretches.withColumns({
+        "part": F.row_number().over(by_entry.orderBy("_stretch")).cast("bigint") - 1, "parts": F.count("*").over(by_entry),
+        "_head": F.min("_from").over(by_entry), "_tail": F.max_by("tail_opens", "_stretch").over(by_entry)})
+    told = pieces.select("file", *_ORDER, "open_lines").join(placed.select("file", *_ORDER, "entry", "_stretch"), ["file", *_ORDER])
+    texts = told.groupBy("file", "entry", "_stretch").agg(F.sort_array(F.collect_list(F.struct(*_ORDER, "open_lines"))).alias("_texts"))
+    return texts.join(counted, ["file", "entry", "_stretch"]).select(
+        "file", F.col("_head.block").alias("block"), F.col("_head.pos").alias("pos"), "part", "parts",
+        F.flatten(F.transform("_texts", lambda t: t["open_lines"])).alias("lines"), F.col("_tail").alias("tail_opens"))
+
+
+def _cut_pieces(batches: Iterator[pa.RecordBatch], after_body_only: bool, piece_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Pieces of the lines of one partition; the open one waits for the next batch."""
     waiting: list[pa.RecordBatch] = []
-    at_split_start = True
+    last = None  # (file, block, opens) of the row before
+    inside, held, part = False, 0, 0  # whether the open piece began with its run; bytes of the run; its number of pieces
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        rows = pa.Table.from_batches([*waiting[-1:], batch]) if waiting else pa.Table.from_batches([batch])
-        skip = waiting[-1].num_rows if waiting else 0
-        starts, new_split = _run_starts(rows, after_body_only)
-        fresh = starts[starts >= skip] if waiting else starts[starts > 0]
-        if fresh.size == 0:
+        opens, new_split = batch.column("opens").to_numpy(zero_copy_only=False), _new_splits(batch, last)
+        before = np.concatenate([[bool(last and last[2])], opens[:-1]])
+        starts = opens & ~before if after_body_only else opens.copy()
+        fresh = starts | new_split
+        sizes = pc.fill_null(pc.binary_length(batch.column("value")), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        ahead = np.cumsum(sizes) - sizes
+        run_from = np.maximum.accumulate(np.where(fresh, ahead, -held))
+        number = (ahead - run_from) // piece_bytes
+        cut = fresh | (number != np.concatenate([[part], number[:-1]]))
+        last = (batch.column("file")[-1].as_py(), batch.column("block")[-1].as_py(), bool(opens[-1]))
+        held, part = int(ahead[-1] + sizes[-1] - run_from[-1]), int(number[-1])
+        at = np.flatnonzero(cut)
+        if at.size == 0:
             waiting.append(batch)
             continue
         table = pa.Table.from_batches([*waiting, batch]).combine_chunks()
-        shift = table.num_rows - rows.num_rows
-        first = np.concatenate([[0], fresh + shift])
-        is_first = np.concatenate([[at_split_start], new_split[fresh]])
-        yield _as_runs(table, first, is_first[:-1], is_first[1:])
-        waiting = table.slice(int(first[-1])).to_batches()
-        waiting = [pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]]
-        at_split_start = bool(is_first[-1])
+        shift = table.num_rows - batch.num_rows
+        ends_whole = (starts & ~new_split)[at]
+        first = at + shift
+        if shift:
+            first, whole = np.concatenate([[0], first]), np.concatenate([[inside], ends_whole])
+        else:
+            whole = ends_whole
+        # A piece is a whole run if it begins and ends where runs of the same split do.
+        yield from _as_pieces(table, first, whole[:-1] & whole[1:])
+        inside = bool(whole[-1])
+        waiting = [pa.Table.from_batches(table.slice(int(first[-1])).to_batches()).combine_chunks().to_batches()[0]]
     if waiting:
         table = pa.Table.from_batches(waiting).combine_chunks()
-        yield _as_runs(table, np.array([0, table.num_rows]), np.array([at_split_start]), np.array([True]))
-
-
-def _run_starts(rows: pa.Table, after_body_only: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of rows that start a run, and for every row whether its split is new."""
-    opens = rows.column("opens").to_numpy()
-    file, block = rows.column("file").combine_chunks(), rows.column("block").to_numpy()
-    new_split = np.zeros(len(opens), dtype=bool)
-    if len(opens) > 1:
-        other_file = pc.not_equal(file.slice(1), file.slice(0, len(file) - 1)).to_numpy(zero_copy_only=False)
-        new_split[1:] = other_file | (block[1:] != block[:-1])
-    starts = opens.copy()
-    if after_body_only:
-        starts[1:] &= ~opens[:-1]
-    starts[0] = False
-    return np.flatnonzero(starts | new_split), new_split
-
-
-def _as_runs(table: pa.Table, first: np.ndarray, is_first: np.ndarray, is_last: np.ndarray) -> pa.RecordBatch:
-    """Runs ``first[i]:first[i + 1]`` as one row each; their lines stay one Arrow buffer."""
-    heads, tails = pa.array(first[:-1]), pa.array(first[1:] - 1)
-    values = table.column("value").combine_chunks().slice(0, int(first[-1]))
-    if isinstance(values, pa.ChunkedArray):
-        values = pa.concat_arrays(values.chunks)
-    lines = pa.ListArray.from_arrays(pa.array(first, pa.int32()), values)
-    columns = {
-        **{c: pc.take(table.column(c), heads).combine_chunks() for c in ("file", "block", "pos")},
-        "lines": lines,
-        "opens": pc.take(table.column("opens"), heads).combine_chunks(),
-        "tail_opens": pc.take(table.column("opens"), tails).combine_chunks(),
-        "at_edge": pa.array(is_first | is_last),
-    }
-    arrays = [pa.concat_arrays(a.chunks) if isinstance(a, pa.ChunkedArray) else a for a in columns.values()]
-    return pa.RecordBatch.from_arrays(arrays, names=list(columns))
-
-
-def _merge(runs: DataFrame, by: list[str], after_body_only: bool) -> DataFrame:
-    """Number the runs of each group, join their lines, mark first and last run."""
-    in_order = Window.partitionBy(*by).orderBy(*_ORDER)
-    before = F.lag("tail_opens").over(in_order)
-    starts = F.col("opens") & (~before if after_body_only else before.isNotNull())
-    numbered = runs.withColumn("_start", F.coalesce(starts, F.lit(False)).cast("int")).withColumn(
-        "run", F.sum("_start").over(in_order)
-    )
-    place = F.struct(*_ORDER)
-    joined = numbered.groupBy(*by, "run").agg(
-        F.min(place).alias("_place"),
-        F.array_sort(F.collect_list(F.struct(*_ORDER, "lines"))).alias("_parts"),
-        F.min_by("opens", place).alias("opens"),
-        F.max_by("tail_opens", place).alias("tail_opens"),
-    )
-    last = F.max("run").over(Window.partitionBy(*by))
-    return joined.select(
-        *by,
-        F.col("_place.block").alias("block"),
-        F.col("_place.pos").alias("pos"),
-        F.flatten(F.transform("_parts", lambda p: p["lines"])).alias("lines"),
-        "opens",
-        "tail_opens",
-        "run",
-        ((F.col("run") == 0) | (F.col("run") == last)).alias("at_edge"),
-    )
+        yield from _as_pieces(table, np.array([0, table.num_rows]), np.array([False]))
+
+
+def _new_splits(batch: pa.RecordBatch, last: tuple | None) -> np.ndarray:
+    """For every row whether it is the first of its split."""
+    file, block = batch.column("file"), batch.column("block").to_numpy()
+    out = np.zeros(len(block), dtype=bool)
+    if len(block) > 1:
+        other = pc.not_equal(file.slice(1), file.slice(0, len(file) - 1)).to_numpy(zero_copy_only=False)
+        out[1:] = other | (block[1:] != block[:-1])
+    out[0] = last is None or (file[0].as_py(), int(block[0])) != last[:2]
+    return out
+
+
+def _as_pieces(table: pa.Table, first: np.ndarray, whole: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows ``first[i]:first[i + 1]`` as one piece each; whole ones and open ones in batches of their own."""
+    if not len(whole):
+        return
+    groups = np.flatnonzero(np.concatenate([[True], whole[1:] != whole[:-1]]))
+    sizes = pc.fill_null(pc.binary_length(table.column("value")), 0).to_numpy().astype(np.int64) + 1
+    ahead = np.concatenate([[0], np.cumsum(sizes)])
+    for a, b in zip(groups, [*groups[1:], len(whole)], strict=True):
+        at = first[a : b + 1]
+        heads, tails = pa.array(at[:-1]), pa.array(at[1:] - 1)
+        values = table.column("value").slice(int(at[0]), int(at[-1] - at[0])).combine_chunks()
+        held = pa.ListArray.from_arrays(pa.array(at - at[0], pa.int32()), values)
+        nothing = pa.nulls(b - a, held.type)
+        done = bool(whole[a])
+        columns = [
+            *[table.column(c).take(heads).combine_chunks() for c in ("file", "block", "pos")], pa.array(ahead[at[1:]] - ahead[at[:-1]]),
+            table.column("opens").take(heads).combine_chunks(), table.column("opens").take(tails).combine_chunks(),
+            pa.array(whole[a:b]), held if done else nothing, nothing if done else held,
+        ]
+        names = [c.split()[0] for c in _PIECES.split(", ")]
+        yield pa.RecordBatch.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns], names=names)
 
 
 def carry_forward(

@@ -30,8 +30,16 @@ def sample_lines(lines: DataFrame, rate: int, seed: int | None = None) -> DataFr
 
 
 def sample_entries(entries: DataFrame, rate: int, seed: int | None = None) -> DataFrame:
-    """Keep one of ``rate`` whole statements; use it after grouping."""
-    return sample_lines(entries, rate, seed).withColumn("sample_rate", F.lit(rate))
+    """Keep one of ``rate`` whole statements; use it after grouping.
+
+    The rows of a statement in several parts stay or go together, by a hash of its place.
+    """
+    _one_of(rate)
+    if "parts" not in entries.columns:
+        return sample_lines(entries, rate, seed).withColumn("sample_rate", F.lit(rate))
+    place = F.pmod(F.xxhash64("file", "block", "pos", F.lit(seed or 0)), F.lit(rate)) == 0
+    kept = entries.filter(F.when(F.col("parts") == 1, F.rand(seed) < 1.0 / rate).otherwise(place)) if rate > 1 else entries
+    return kept.withColumn("sample_rate", F.lit(rate))
 
 
 def hash_position(key: Column) -> Column:

@@ -27,12 +27,10 @@ def parse(lines: DataFrame, cfg: IngestConfig, ingest_time: Column | None = None
         options.setdefault("reference_time", ingest_time)
     if cfg.format in TAKES_INGEST_TIME and ingest_time is not None:
         options.setdefault("ingest_time", ingest_time)
-    if cfg.format == "mysql_slow" and cfg.entry_rate > 1:
+    if cfg.entry_rate > 1:
         options |= {"rate": cfg.entry_rate, "seed": cfg.sample_seed}
     sampled = sample_lines(lines, cfg.line_rate, cfg.sample_seed)
     parsed = get_format(cfg.format)(sampled, **options)
-    if cfg.format == "postgres" and cfg.entry_rate > 1:
-        parsed = sample_lines(parsed, cfg.entry_rate, cfg.sample_seed)
     if "sample_rate" not in parsed.columns:
         parsed = parsed.withColumn("sample_rate", F.lit(1 if cfg.dynamic else cfg.sample_rate))
     return parsed

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loglake.formats.mongo import carry_replica_set, mongo_events
-from loglake.formats.slow_log import mysql_slow_events
+from loglake.formats.slow_log import fold_entry, fold_parts, mysql_slow_events
 from loglake.operators.grouping import (
     carry_forward, group_continuations, group_slow_log, in_file_order,
 )
@@ -92,6 +92,65 @@ def test_real_files_at_any_split_size(spark, tmp_path):
     assert seen[0][0][1].startswith("select ")
 
 
+def joined_parts(entries):
+    """Lines of every entry, its parts put together."""
+    out = {}
+    for r in entries.orderBy("file", "block", "pos", "part").collect():
+        out.setdefault((r.file, r.block, r.pos), []).append(r)
+    for rows in out.values():
+        assert [r.part for r in rows] == list(range(len(rows))) and {r.parts for r in rows} == {len(rows)}
+    return [[line for r in rows for line in r.lines] for rows in out.values()], max(len(r.lines) for rows in out.values() for r in rows)
+
+
+@pytest.mark.parametrize("split, batch", [(1000, "10000"), (7, "10000"), (30, "5")])
+def test_long_runs_stay_in_bounded_rows(spark, lines, split, batch):
+    texts = SAMPLE[:-1] + ["# Time: x"] + [f"body {i}" for i in range(300)] + ["end;"] + SAMPLE[1:] + [f"more {i}" for i in range(200)]
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, batch)
+    try:
+        cut = lines(texts).withColumn("block", F.floor(F.col("pos") / split))
+        got, longest = joined_parts(group_slow_log(cut, segment_bytes=4, piece_bytes=100))
+        assert got == serial(texts, True) and longest <= 30
+        got, longest = joined_parts(group_continuations(lines(["a"] + ["\t" + "b" * 30] * 50 + ["c", "\td"]), piece_bytes=100))
+        assert got == [["a"] + ["\t" + "b" * 30] * 50, ["c", "\td"]] and longest <= 6
+    finally:
+        spark.conf.set(key, before)
+
+
+def folded(entries):
+    names = ["reject_reason", "query", "user", "query_time", "database", "_time", "rows_sent"]
+    return sorted((tuple(str(r[n]) for n in names) for r in entries.collect()), key=str)
+
+
+LONG_ENTRIES = [
+    "select before any header;", "use shop;", "# Time: 2031-07-19T21:40:08Z", "# User@Host: ada[ada] @ web1 [10.0.0.1]  Id: 7", "# Query_time: 1.5",
+    *[f"drop {i}" for i in range(20)], "# Query_time: 2.5  Lock_time: 0.1 Rows_sent: 3  Rows_examined: 4", "use books;", "SET timestamp=1942538408;",
+    *[f"first {i};" for i in range(30)], "select", *[f" c{i}," for i in range(40)], "1 from t;", "never closed", "# Time: 2031-07-20T21:40:08Z", "a;",
+    "# administrator command: Ping;", *[f"x {i};" for i in range(40)], "# Time: 2031-07-21T21:40:08Z", *[f"open {i}" for i in range(90)],
+]
+
+
+@pytest.mark.parametrize("split, piece", [(1000, 60), (5, 60), (9, 200)])
+def test_states_of_parts_fold_like_the_whole(lines, split, piece):
+    """Every way of cutting gives the events of the uncut entries, and rejects keep every line."""
+    whole = fold_entry(group_slow_log(lines(LONG_ENTRIES)))
+    cut = lines(LONG_ENTRIES).withColumn("block", F.floor(F.col("pos") / split))
+    parts = fold_entry(group_slow_log(cut, segment_bytes=3, piece_bytes=piece))
+    assert folded(parts.filter("reject_reason IS NULL")) == folded(whole.filter("reject_reason IS NULL"))
+    texts = [sorted(line for r in f.filter("reject_reason IS NOT NULL").collect() for line in r.value.split("\n")) for f in (parts, whole)]
+    assert texts[0] == texts[1] and len(texts[0]) > 100
+
+
+def test_a_statement_beyond_the_limit_is_rejected_in_parts(lines):
+    texts = ["# Time: 2031-07-19T21:40:08Z", *[f"part {i}" for i in range(500)], "end;", "short;", "# Time: 2031-07-19T21:40:08Z", *[f"part {i}" for i in range(500)], "end;"]
+    entries = group_slow_log(lines(texts), piece_bytes=200)
+    several = entries.filter("parts > 1")
+    got = {tuple(r.lines) for r in fold_parts(several, 100, limit=1000).collect()}
+    assert {len(lines) for lines in got} <= {3, 4, 5} and max(sum(map(len, g)) for g in got) < 100
+    assert {r.query for r in fold_entry(entries).collect()} == {"short", " ".join(texts[1:501]) + " end"}
+
+
 @pytest.mark.parametrize("bits", [0, 1, 3, 16])
 def test_carry_forward(spark, bits):
     values = [None, "a", None, None, None, "b", None, "c", None, None, None, None]
