@@ -4,6 +4,10 @@ Tokenizer A is a byte-level vocabulary, B a SentencePiece model with byte pieces
 the bytes of a blank and the text, so their tokens are intervals of the same bytes. Texts whose
 tokens give other bytes (a U+2581 in the text, say) have no tokens here.
 
+Neither tokenizer joins a character and a blank after it: A cuts its text there before it
+merges, and no piece of B holds a blank after another character. So texts are cut before
+single blanks between visible characters, and a segment that comes again is encoded once.
+
 Lockstep merging. The texts of a chunk, a few MB, are encoded together; a state vector holds
 one A and one B pointer for each of them. Every step emits the link of each pair of tokens
 pointed at, marks a cut where both end at the same byte, and advances the pointer of the token
@@ -28,11 +32,13 @@ import hashlib
 import itertools
 import json
 import os
+import re
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext, cloudpickle
@@ -46,10 +52,15 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 A_PATH, B_PATH = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK_BYTES = 4 << 20
-ENCODE_BYTES = 1 << 18
+MOST_KNOWN, AT_ONCE = 1 << 19, 1 << 12
 LANE_TOKENS = 1024
 SLICE_PAIRS = 4096
 READ = "text read by alignment"
+# Before a blank between two characters that no reading takes for white space or a control character.
+_VISIBLE = r"[^\s\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]"
+CUT = re.compile(rf"(?<={_VISIBLE})(?= {_VISIBLE})")
+SEGMENT = re.compile(rf"(?:{_VISIBLE}(?s:.)*)?{_VISIBLE}\Z")
+WHOLE = "whole"
 
 
 def byte_of_char() -> dict[str, int]:
@@ -91,16 +102,106 @@ class Coders:
             self.ready = True
         return self
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of A and of B for every text; none where the tokens do not give its bytes."""
-        a = [e.ids for e in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
-        for k, text in enumerate(texts):
-            raw = (" " + text).encode()
-            if not text or any(b"".join(map(table.__getitem__, ids)) != raw for table, ids in ((self.a_bytes, a[k]), (self.b_bytes, b[k]))):
+    def encode(self, segments: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of A and of B for a blank and each text; none where the tokens do not give its bytes."""
+        a = [e.ids for e in self.a.encode_batch([" " + s for s in segments], add_special_tokens=False)]
+        b = self.b.encode(segments, num_threads=1)
+        for k, segment in enumerate(segments):
+            raw = (" " + segment).encode()
+            if any(b"".join(map(table.__getitem__, ids[k])) != raw for table, ids in ((self.a_bytes, a), (self.b_bytes, b))):
                 a[k], b[k] = [], []
         return a, b
 
+    def encode_row(self, words: list[str]) -> tuple[tuple[np.ndarray, np.ndarray], ...] | None:
+        """As (ids, ends of each word) of A and B, for words that nothing is joined across; None if bytes are lost."""
+        row = " ".join(words)
+        raw = (" " + row).encode()
+        ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        out = []
+        for ids, table, sizes in (
+            (self.a.encode(" " + row, add_special_tokens=False).ids, self.a_bytes, self.a_sizes), (self.b.encode(row), self.b_bytes, self.b_sizes)):
+            if b"".join(map(table.__getitem__, ids)) != raw:
+                return None
+            ids = np.array(ids, np.int32)
+            out.append((ids, np.searchsorted(np.cumsum(sizes[ids]), ends) + 1))
+        return tuple(out)
+
+
+class Segments:
+    """Numbers of the segments of texts, without their blank, and the ids of each; emptied when it holds much."""
+
+    def __init__(self, coders: Coders) -> None:
+        self.coders = coders
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.regular: list[bool] = []
+        self.ids = [np.zeros(0, np.int32), np.zeros(0, np.int32)]
+        self.at = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+
+    def read(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(ids, first token of every text) of A and of B."""
+        if len(self.number) > MOST_KNOWN:
+            self.clear()
+        parts = [t.split(" ") if t else [] for t in texts]
+        self._learn({w for p in parts for w in p})
+        numbers = [list(map(self.number.__getitem__, p)) for p in parts]
+        # Blanks beside blanks or line ends are cut nowhere: such texts are cut with care.
+        odd = set(np.flatnonzero(~np.array(self.regular, bool)).tolist())
+        if odd:
+            careful = [k for k, found in enumerate(numbers) if not odd.isdisjoint(found)]
+            cut = {k: [s[1:] for s in CUT.split(" " + texts[k])] for k in careful}
+            self._learn({s for p in cut.values() for s in p}, whole=True)
+            for k, p in cut.items():
+                numbers[k] = [self.number[s] if self.regular[self.number[s]] else self.number[WHOLE, s] for s in p]
+        return self._gather(numbers)
+
+    def _gather(self, numbers: list[list[int]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        flat, at = _flat(numbers)
+        text_of = np.repeat(np.arange(len(numbers)), np.diff(at))
+        sizes = [np.diff(begin) for begin in self.at]
+        # A text with a segment that is not given back has no tokens.
+        good = ~np.isin(text_of, np.unique(text_of[sizes[0][flat] == 0]))
+        flat, text_of = flat[good], text_of[good]
+        out = []
+        for ids, begin, size in zip(self.ids, self.at, sizes, strict=True):
+            n = size[flat]
+            ends = np.cumsum(n)
+            take = np.arange(int(n.sum())) + np.repeat(begin[:-1][flat] - (ends - n), n)
+            first = np.zeros(len(numbers) + 1, np.int64)
+            np.cumsum(np.bincount(text_of, n, len(numbers)).astype(np.int64), out=first[1:])
+            out.append((ids[take].astype(np.int64), first))
+        return out
+
+    def _learn(self, found: set[str], whole: bool = False) -> None:
+        """Encode what is new. A word with a blank, a line end or nothing at one of its ends is no segment
+        by itself; it only gets a number, and the segments it is part of come as ``whole``."""
+        new = [w for w in found if w not in self.number]
+        plain = [w for w in new if SEGMENT.match(w)]
+        for begin in range(0, len(plain), AT_ONCE):
+            part = plain[begin : begin + AT_ONCE]
+            row = self.coders.encode_row(part)
+            if row is None:
+                self._add(part, [_flat(ids) for ids in self.coders.encode(part)], True)
+            else:
+                self._add(part, [(ids, np.concatenate([[0], ends])) for ids, ends in row], True)
+        others = [w for w in new if not SEGMENT.match(w)]
+        self._add(others, [(np.zeros(0, np.int32), np.zeros(len(others) + 1, np.int64))] * 2, False)
+        if whole:
+            odd = [(WHOLE, s) for s in found if not self.regular[self.number[s]] and (WHOLE, s) not in self.number]
+            for begin in range(0, len(odd), AT_ONCE):
+                part = odd[begin : begin + AT_ONCE]
+                self._add(part, [_flat(ids) for ids in self.coders.encode([s for _, s in part])], True)
+
+    def _add(self, names: list, found: list[tuple[np.ndarray, np.ndarray]], regular: bool) -> None:
+        for side, (ids, at) in enumerate(found):
+            self.at[side] = np.concatenate([self.at[side], at[1:] + len(self.ids[side])])
+            self.ids[side] = np.concatenate([self.ids[side], ids.astype(np.int32)])
+        for name in names:
+            self.number[name] = len(self.number)
+        self.regular.extend([regular] * len(names))
+
 
 def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     at = np.zeros(len(ids) + 1, np.int64)
@@ -125,22 +226,10 @@ class Chunk:
     b_cuts: np.ndarray
 
 
-def merge(coders: Coders, texts: list[str]) -> Chunk:
+def merge(segments: Segments, texts: list[str]) -> Chunk:
     """Encode the texts and merge their two token streams in lockstep."""
-    all_a, all_b, part, size = [], [], [], 0
-    for text in texts:
-        part.append(text)
-        size += len(text)
-        if size >= ENCODE_BYTES:
-            for out, ids in zip((all_a, all_b), coders.encode(part), strict=True):
-                out.extend(ids)
-            part, size = [], 0
-    if part:
-        for out, ids in zip((all_a, all_b), coders.encode(part), strict=True):
-            out.extend(ids)
-    a, a_at = _flat(all_a)
-    b, b_at = _flat(all_b)
-    a_end, b_end = np.cumsum(coders.a_sizes[a]), np.cumsum(coders.b_sizes[b])
+    (a, a_at), (b, b_at) = segments.read(texts)
+    a_end, b_end = np.cumsum(segments.coders.a_sizes[a]), np.cumsum(segments.coders.b_sizes[b])
     link_a, link_b, a_cuts, b_cuts = lockstep(a_end, a_at, b_end, b_at)
     return Chunk(a, a_at, a_end, b, b_at, b_end, link_a, link_b, np.searchsorted(link_a, a_at), a_cuts, b_cuts)
 
@@ -186,25 +275,27 @@ def lockstep(a_end: np.ndarray, a_at: np.ndarray, b_end: np.ndarray, b_at: np.nd
     return found_a[there], found_b[there], a_cuts, b_cuts
 
 
-def group_texts(chunk: Chunk, n_a: int, n_b: int) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of ``a1,a2|b1;a3|b2`` of all texts after one another, and where each begins."""
-    digits = len(str(max(n_a, n_b)))
-    table = np.char.encode(np.arange(max(n_a, n_b)).astype(str), "ascii").astype(f"S{digits}").view(np.uint8).reshape(-1, digits)
-    widths = (table != 0).sum(axis=1)
-    a_group = np.cumsum(chunk.a_cuts) - chunk.a_cuts
-    b_group = np.cumsum(chunk.b_cuts) - chunk.b_cuts
-    n_groups = int(chunk.a_cuts.sum())
-    b_before = np.searchsorted(b_group, np.arange(n_groups))
-    a_until = np.searchsorted(a_group, np.arange(n_groups), side="right")
-    a_place, b_place = np.arange(len(chunk.a)) + b_before[a_group], np.arange(len(chunk.b)) + a_until[b_group]
-    rows = np.zeros((len(chunk.a) + len(chunk.b), digits + 1), np.uint8)
-    sizes = np.zeros(len(rows) + 1, np.int64)
-    b_mark = np.where(chunk.b_cuts, ord(";"), ord(","))
-    b_mark[chunk.b_at[1:][chunk.b_at[1:] > chunk.b_at[:-1]] - 1] = 0
-    for ids, place, mark in ((chunk.a, a_place, np.where(chunk.a_cuts, ord("|"), ord(","))), (chunk.b, b_place, b_mark)):
-        rows[place, :digits], rows[place, digits] = table[ids], mark
-        sizes[place + 1] = widths[ids] + (mark > 0)
-    return rows[rows != 0], np.cumsum(sizes)[chunk.a_at + chunk.b_at]
+class Writer:
+    """Writes the groups of a text as ``a1,a2|b1;a3|b2``."""
+
+    def __init__(self, n_a: int, n_b: int) -> None:
+        numbers = [str(k).encode() for k in range(max(n_a, n_b))]
+        self.b_from = 2 * n_a
+        self.words = [n + mark for n in numbers[:n_a] for mark in (b",", b"|")] + [n + mark for n in numbers[:n_b] for mark in (b",", b";", b"")]
+
+    def texts(self, chunk: Chunk) -> Iterator[bytes]:
+        a_group = np.cumsum(chunk.a_cuts) - chunk.a_cuts
+        b_group = np.cumsum(chunk.b_cuts) - chunk.b_cuts
+        groups = np.arange(int(chunk.a_cuts.sum()))
+        b_before, a_until = np.searchsorted(b_group, groups), np.searchsorted(a_group, groups, side="right")
+        last = np.zeros(len(chunk.b), bool)
+        last[chunk.b_at[1:][chunk.b_at[1:] > chunk.b_at[:-1]] - 1] = True
+        words = np.empty(len(chunk.a) + len(chunk.b), np.int64)
+        words[np.arange(len(chunk.a)) + b_before[a_group]] = 2 * chunk.a + chunk.a_cuts
+        words[np.arange(len(chunk.b)) + a_until[b_group]] = self.b_from + 3 * chunk.b + chunk.b_cuts + last
+        at = (chunk.a_at + chunk.b_at).tolist()
+        for begin, end in zip(at[:-1], at[1:], strict=True):
+            yield b"".join(map(self.words.__getitem__, words[begin:end].tolist()))
 
 
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -237,9 +328,9 @@ def aligned(docs: DataFrame, text: str = "text", a_path: str = A_PATH, b_path: s
     names = added.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coders.open()
+        segments = Segments(coders.open())
         for rows, texts in text_chunks(batches, READ):
-            chunk = merge(coders, texts)
+            chunk = merge(segments, texts)
             columns = [_spans(chunk.a, chunk.a_at, chunk.a_end, coders.a_sizes), _spans(chunk.b, chunk.b_at, chunk.b_end, coders.b_sizes)]
             local = [found - np.repeat(at[:-1], np.diff(chunk.link_at)) for found, at in ((chunk.link_a, chunk.a_at), (chunk.link_b, chunk.b_at))]
             pairs = pa.StructArray.from_arrays([pa.array(x, pa.int32()) for x in local], names=["a", "b"])
@@ -302,16 +393,15 @@ def _found(batches: Iterator[pa.RecordBatch], coders: Coders) -> Iterator[pa.Rec
     names = [part.split()[0] for part in _FOUND.split(", ")]
     number = TaskContext.get().partitionId() << 32
     pack = zstandard.ZstdCompressor(level=1).compress
+    segments, writer = Segments(coders), Writer(len(coders.a_bytes), len(coders.b_bytes))
     for rows, texts in text_chunks(batches, "text"):
-        chunk = merge(coders, texts)
+        chunk = merge(segments, texts)
         n = len(texts)
-        codes = (chunk.a[chunk.link_a] << 32) | chunk.b[chunk.link_b]
-        pairs, place = np.unique(codes, return_inverse=True)
+        place, pairs = pd.factorize((chunk.a[chunk.link_a] << 32) | chunk.b[chunk.link_b])
         counts = np.bincount(place, minlength=len(pairs))
         row_of = np.repeat(np.arange(n), np.diff(chunk.link_at))
         place = np.sort(row_of * (len(pairs) + 1) + place) - row_of * (len(pairs) + 1)
-        raw, at = group_texts(chunk, len(coders.a_bytes), len(coders.b_bytes))
-        digests = [hashlib.sha256(raw[at[k] : at[k + 1]]).hexdigest() if at[k + 1] > at[k] else "" for k in range(n)]
+        digests = [hashlib.sha256(raw).hexdigest() if raw else "" for raw in writer.texts(chunk)]
         groups = np.diff(np.concatenate([[0], np.cumsum(chunk.a_cuts)])[chunk.a_at])
         bodies = [pack_places(place[chunk.link_at[k] : chunk.link_at[k + 1]], pack) for k in range(n)]
         slices = range(0, len(pairs), SLICE_PAIRS)

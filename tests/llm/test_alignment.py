@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter
 
 import duckdb
@@ -90,12 +91,29 @@ def test_report_on_documents(spark):
     assert report(alignment.alignment_report(df)) == digest_rows(*zip(*docs, strict=True))
 
 
+def test_segments_encode_like_whole_texts():
+    """Texts of letters, marks, digits, blanks and line ends in all orders; the table of segments is emptied now and then."""
+    pick = random.Random(5)
+    texts = ["".join(pick.choice("ab'é\u0301 . 12  \n\t\u3000\u200b日\x1c🙂s'lt") for _ in range(pick.randint(0, 40))) for _ in range(4000)] + TEXTS
+    a_coder = Tokenizer.from_file(alignment.A_PATH)
+    a_coder.encode_special_tokens = True
+    b_coder = sentencepiece.SentencePieceProcessor(model_file=alignment.B_PATH)
+    segments = alignment.Segments(alignment.Coders().open())
+    for begin in range(0, len(texts), 500):
+        part = [t or "" for t in texts[begin : begin + 500]]
+        (a, a_at), (b, b_at) = segments.read(part)
+        for k, text in enumerate(part):
+            if "▁" in text or not text:
+                assert a_at[k] == a_at[k + 1] and b_at[k] == b_at[k + 1]
+            else:
+                assert a[a_at[k] : a_at[k + 1]].tolist() == a_coder.encode(" " + text, add_special_tokens=False).ids
+                assert b[b_at[k] : b_at[k + 1]].tolist() == b_coder.encode(text)
+
+
 @pytest.mark.parametrize("size", [1, 2, 7, 1024])
 def test_lanes_change_nothing(size):
     coders = alignment.Coders().open()
-    ids = coders.encode([t or "" for t in TEXTS])
-    a, a_at = alignment._flat(ids[0])
-    b, b_at = alignment._flat(ids[1])
+    (a, a_at), (b, b_at) = alignment.Segments(coders).read([t or "" for t in TEXTS])
     a_end, b_end = np.cumsum(coders.a_sizes[a]), np.cumsum(coders.b_sizes[b])
     link_a, link_b, a_cuts, b_cuts = alignment.lockstep(a_end, a_at, b_end, b_at, size)
     spans = [[(k, end - coders_size, end) for k, (end, coders_size) in enumerate(zip(e.tolist(), s[i].tolist(), strict=True))]
@@ -120,10 +138,9 @@ def test_aligned_gives_spans_links_and_cuts(spark, odd_docs):
 
 def test_small_chunks_give_the_same_counts(spark, monkeypatch):
     rows = [(i, t) for i, t in enumerate(TEXTS)]
-    found = alignment._found
     real = alignment.text_chunks
     monkeypatch.setattr(alignment, "text_chunks", lambda batches, column: real(batches, column, 50))
     monkeypatch.setattr(alignment, "SLICE_PAIRS", 3)
-    assert found is alignment._found
+    monkeypatch.setattr(alignment, "MOST_KNOWN", 20)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert report(alignment.alignment_report(df)) == digest_rows(*zip(*rows, strict=True))
