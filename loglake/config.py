@@ -39,11 +39,18 @@ class IngestConfig:
     dynamic_keys: list[str] = field(default_factory=list)
     dynamic_window_seconds: int = 30
     dynamic_min_per_second: int = 1
+    host_status: str | None = None
+    host_field: str = "host"
+    host_pattern: str | None = None
+    host_status_host: str = "host"
+    host_status_time: str = "at"
     read_from: str = "last"
     stop: bool = False
     backfill: bool = False
     flush_seconds: float = 10.0
     max_files_per_trigger: int | None = None
+    max_bytes_per_trigger: int | None = None
+    rotated: str | None = None
     status_seconds: int = 60
     checkpoint: str | None = None
 
@@ -95,6 +102,9 @@ class IngestConfig:
             line_pattern(self.log_prefix)
         for pattern in self.request_patterns:
             path_pattern(pattern)
+        need(not (self.max_files_per_trigger and self.max_bytes_per_trigger), "a batch is bounded by files or by bytes, not by both")
+        if self.host_pattern:
+            line_pattern(self.host_pattern)
 
     @staticmethod
     def parse_add_fields(pairs: list[str]) -> dict[str, str]:

@@ -14,6 +14,7 @@ from loglake.operators.lines import strip_prefix
 
 _STAMPS = (TimeFormat("yyyy-M-d'T'H:m:s[.SSSSSSSSS]'Z'"), ISO_LOCAL)
 TOPIC = "{requests}"
+PAIR_SECONDS = 600
 
 
 def arango_requests(
@@ -65,28 +66,38 @@ def arango_requests(
     )
 
 
-def pair_requests(events: DataFrame, keys: Sequence[str] = ("file", "id")) -> DataFrame:
+def pair_requests(events: DataFrame, keys: Sequence[str] = ("file", "id"), bucket_seconds: int = PAIR_SECONDS) -> DataFrame:
     """Begin and end of a request on one row, one row for each use of an id.
 
     An end belongs to the newest begin of its id before it; an end without one is a row
     of its own. Pass ``keys=("id",)`` where a request may span rotated files.
+
+    Uses are numbered inside time buckets, where an id that holds much of the log has
+    bounded groups. A use that begins and ends between others of its bucket is complete. The first
+    ends of a bucket, which may belong to an older begin, and its last use, which may go on, are
+    the bucket's summary; only these two rows of a bucket meet in the id's order.
     """
     begin = F.col("logLevel") == "DEBUG"
-    at = F.struct("_time", "block", "pos")
-    ordered = Window.partitionBy(*keys).orderBy("_time", F.when(begin, 0).otherwise(1), "file", "block", "pos")
-    use = F.sum(F.when(begin, 1).otherwise(0)).over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    events = events.withColumn("_use", use)
-
-    def newest(name: str, side: Column) -> Column:
-        return F.max_by(name, F.when(side, at)).alias(name)
-
-    return events.groupBy(*keys, "_use").agg(
+    side = F.when(begin, 0).otherwise(1)
+    timed = events.withColumn("_bucket", F.floor(F.unix_seconds("_time") / bucket_seconds))
+    in_bucket = Window.partitionBy(*keys, "_bucket").orderBy("_time", side, "file", "block", "pos")
+    begun = F.sum(F.when(begin, 1).otherwise(0)).over(in_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    at = [F.col(c) for c in ("_time", "file", "block", "pos")]
+    used = timed.withColumn("_use", begun).groupBy(*keys, "_bucket", "_use").agg(
         F.count_if(begin).alias("n_begin"),
         F.count_if(~begin).alias("n_end"),
         F.min(F.when(begin, F.col("_time"))).alias("begin_time"),
         F.max(F.when(~begin, F.col("_time"))).alias("end_time"),
-        F.max_by("method", at).alias("method"),
-        F.max_by("fullURL", at).alias("fullURL"),
-        newest("responseCode", ~begin),
-        newest("totalTime", ~begin),
-    ).drop("_use")
+        F.max(F.struct(*at, "method", "fullURL")).alias("_newest"),
+        F.max(F.when(~begin, F.struct(*at, "responseCode", "totalTime"))).alias("_ended"),
+    )
+    last = F.max("_use").over(Window.partitionBy(*keys, "_bucket"))
+    used = used.withColumn("_open", (F.col("_use") == 0) | (F.col("_use") == last))
+    by_id = Window.partitionBy(*keys).orderBy("_bucket", "_use").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    across = used.filter("_open").withColumn("_use", F.sum(F.col("n_begin")).over(by_id)).groupBy(*keys, "_use").agg(
+        *[F.sum(c).alias(c) for c in ("n_begin", "n_end")], F.min("begin_time").alias("begin_time"), F.max("end_time").alias("end_time"),
+        F.max("_newest").alias("_newest"), F.max("_ended").alias("_ended"))
+    out = [*keys, "n_begin", "n_end", "begin_time", "end_time", "_newest", "_ended"]
+    both = used.filter("NOT _open").select(out).unionByName(across.select(out))
+    told = [F.col("_newest.method"), F.col("_newest.fullURL"), F.col("_ended.responseCode"), F.col("_ended.totalTime")]
+    return both.select(*out[:-2], *told)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loglake.functions.text import settled, trim_space
+from loglake.functions.text import last_wins, settled, trim_space
 from loglake.functions.times import resolve_time
 from loglake.operators.lines import filter_lines, has_content, over, strip_prefix
 
@@ -24,7 +24,8 @@ def keyval_fields(text: Column) -> Column:
     """The pairs of a line as a map; the last value of a repeated key wins."""
     keys = F.regexp_extract_all(text, F.lit(_PAIR), F.lit(1))
     values = F.transform(F.regexp_extract_all(text, F.lit(_PAIR), F.lit(2)), _unescape)
-    return F.map_from_arrays(keys, values)
+    pairs = F.zip_with(keys, values, lambda k, v: F.struct(k.alias("key"), v.alias("value")))
+    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.map_from_arrays(keys, values)).otherwise(last_wins(pairs))
 
 
 def open_quote(text: Column) -> Column:

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from loglake.functions.documents import balanced, document_shape, parse_doc
 from loglake.functions.regexes import is_match, line_pattern
-from loglake.functions.text import settled, trim_space
+from loglake.functions.text import last_wins, settled, trim_space
 from loglake.functions.times import ISO_LOCAL, ISO_OFFSET, TimeFormat, infer_year
 from loglake.functions.typing import as_double
-from loglake.operators.grouping import carry_forward
+from loglake.operators.grouping import carry_forward, carry_in_scan
 from loglake.operators.lines import strip_prefix
 from loglake.operators.transforms import split_namespace
 
@@ -59,7 +59,8 @@ def mongo_events(
 
     Documents come as variants. A line whose documents cannot be read is rejected
     with reason ``body``; with ``log_partials`` it stays an event with what was read,
-    and ``partial`` is set. ``reference_time`` gives the year to stamps without one.
+    and ``partial`` is set. ``reference_time`` gives the year to stamps without one. A column
+    ``replica_set`` of the lines stays.
     """
     header = line_pattern(HEADER)
     operation = line_pattern(OPERATION)
@@ -123,6 +124,7 @@ def mongo_events(
         F.coalesce(broken, F.lit(False)).alias("partial"),
         is_match(F.col("_cap")).alias("_header"),
         "prefix",
+        *(["replica_set"] if "replica_set" in lines.columns else []),
     )
     shaped = with_document_shape(command_query(split_namespace(flatten_changelog(out))))
     return shaped.withColumn("reject_reason", settled(reason)).drop("_header")
@@ -204,8 +206,46 @@ def _named(col: Column, names: dict[str, str]) -> Column:
     return out
 
 
+def lock_counts(df: DataFrame) -> DataFrame:
+    """Add ``lock_counts``, the names and counts of ``flatten_locks`` as a map on the event itself."""
+    def entries(col: Column, kind: str) -> Column:
+        return F.coalesce(F.map_entries(col.try_cast(f"map<string,{kind}>")), F.array().cast(f"array<struct<key:string,value:{kind}>>"))
+
+    def of_metric(scope: Column, metric: Column) -> Column:
+        suffix = _named(metric["key"], LOCK_METRICS)
+        return F.transform(entries(metric["value"], "bigint"), lambda c: F.struct(
+            F.when(suffix.isNotNull(), F.concat_ws("_", F.lower(scope["key"]), _mode(c["key"]), suffix)).alias("key"), c["value"].alias("value")))
+
+    def of_scope(scope: Column) -> Column:
+        return F.flatten(F.transform(entries(scope["value"], "variant"), lambda metric: of_metric(scope, metric)))
+
+    counted = F.flatten(F.transform(entries(F.col("locks"), "variant"), of_scope))
+    held = F.transform(
+        F.coalesce(F.map_entries("locks_held"), F.array().cast("array<struct<key:string,value:bigint>>")),
+        lambda c: F.struct(F.concat(_mode(c["key"]), F.lit("_lock_held_us")).alias("key"), c["value"].alias("value")))
+    named = F.filter(F.concat(counted, held), lambda e: e["key"].isNotNull() & e["value"].isNotNull())
+    return df.withColumn("_counts", named).withColumn("lock_counts", F.when(F.size("_counts") > 0, last_wins(F.col("_counts")))).drop("_counts")
+
+
+def _mode(col: Column) -> Column:
+    return F.coalesce(_named(col, LOCK_MODES), col)
+
+
+# Fixed value: the line in which a server names its set.
+HEARTBEAT = r'\] command admin\.\$cmd (?:.* )?command: replSetHeartbeat \{ replSetHeartbeat: "((?:[^"\\]|\\.)*)"'
+
+
+def with_replica_set(lines: DataFrame) -> DataFrame:
+    """Stamp the set name of the last heartbeat on its line and the later lines of its file, before they are parsed."""
+    name = F.regexp_extract("value", HEARTBEAT, 1)
+    return carry_in_scan(lines, F.when(F.col("value").contains("replSetHeartbeat") & (name != ""), name), "replica_set")
+
+
 def carry_replica_set(df: DataFrame, **sizes: int) -> DataFrame:
-    """Stamp the set name of the last heartbeat on it and on the later lines of its file."""
+    """Stamp the set name of the last heartbeat on it and on the later lines of its file.
+
+    For parsed tables in any order of rows; a job over log files uses ``with_replica_set``.
+    """
     heartbeat = (F.col("namespace") == "admin.$cmd") & (F.col("command_type") == "replSetHeartbeat")
     name = F.when(heartbeat, F.try_variant_get(F.col("command"), "$.replSetHeartbeat", "string"))
     return carry_forward(df, name, "replica_set", **sizes)

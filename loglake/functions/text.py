@@ -37,3 +37,14 @@ def settled(col: Column) -> Column:
     random number always holds; it only keeps the optimizer from copying.
     """
     return F.when(F.rand(0) != 2.0, col)
+
+
+def last_wins(entries: Column) -> Column:
+    """A map of ``(key, value)`` entries; of entries with one key the last counts, whatever the session says."""
+    keys = F.transform(entries, lambda e: e["key"])
+
+    def is_last(entry: Column, i: Column) -> Column:
+        return ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), entry["key"])
+
+    single = F.size(F.array_distinct(keys)) == F.size(keys)
+    return F.map_from_entries(F.when(single, entries).otherwise(F.filter(entries, is_last)))

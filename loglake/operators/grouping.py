@@ -23,6 +23,7 @@ as ``order_lines`` delivers them. For other line tables use ``in_file_order`` fi
 
 from __future__ import annotations
 
+import bisect
 import sys
 from collections.abc import Iterator
 
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 from loglake.functions.regexes import line_pattern
 from loglake.functions.text import trim_space
 from loglake.session import staged
+from loglake.streaming.state import Slots
 
 # The cutting functions travel with the job, so workers need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -53,6 +55,9 @@ CHUNK_BITS = 16
 SEGMENT_BYTES = 16 * 1024**3
 PIECE_BYTES = 1024**2
 STATEMENT_BYTES = 16 * 1024**2
+BEFORE_ALL = -1
+# No file is longer; files of a series take one such span each.
+FILE_SPAN = 1 << 46
 
 _ORDER = ("block", "pos")
 
@@ -67,7 +72,7 @@ def is_header(value: Column) -> Column:
     return value.startswith(COMMENT_MARK) | is_banner(value)
 
 
-def group_slow_log(lines: DataFrame, prefix: str | None = None, **sizes: int) -> DataFrame:
+def group_slow_log(lines: DataFrame, prefix: str | None = None, **sizes) -> DataFrame:
     """Entries of a slow log: one starts at a header line that follows a body line.
 
     A trailing run of headers without any body is not an entry. An entry longer than a
@@ -81,7 +86,7 @@ def group_slow_log(lines: DataFrame, prefix: str | None = None, **sizes: int) ->
     return assemble(opens, after_body_only=True, **sizes).filter(~F.col("tail_opens")).drop("tail_opens")
 
 
-def group_continuations(lines: DataFrame, prefix: str | None = None, **sizes: int) -> DataFrame:
+def group_continuations(lines: DataFrame, prefix: str | None = None, **sizes) -> DataFrame:
     """Entries of a log in which a line that starts with a tab belongs to the line above."""
     clean = lines
     if prefix:
@@ -91,6 +96,12 @@ def group_continuations(lines: DataFrame, prefix: str | None = None, **sizes: in
     return assemble(opens, after_body_only=False, **sizes).drop("tail_opens")
 
 
+def left_over(pieces: DataFrame, after_body_only: bool, piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """The entries that a memory holds, once nothing more is to come."""
+    numbered = _numbered(pieces, after_body_only, SEGMENT_BYTES)
+    return staged(_joined(pieces, numbered, piece_bytes), "open-entries")
+
+
 def rejoined(entries: DataFrame, limit: int = STATEMENT_BYTES, piece_bytes: int = PIECE_BYTES) -> DataFrame:
     """Entries of several rows as one row again where they have at most ``limit`` bytes; longer ones stay in parts."""
     several = entries.filter("parts > 1")
@@ -112,15 +123,21 @@ def in_file_order(lines: DataFrame) -> DataFrame:
 
 _PIECES = (
     "file string, block bigint, pos bigint, n_bytes bigint, opens boolean, tail_opens boolean, whole boolean, "
-    "lines array<string>, open_lines array<string>"
+    "lines array<string>, open_lines array<string>, changed bigint"
 )
 
 
 def assemble(
-    lines: DataFrame, after_body_only: bool, segment_bytes: int = SEGMENT_BYTES, piece_bytes: int = PIECE_BYTES
+    lines: DataFrame, after_body_only: bool, segment_bytes: int = SEGMENT_BYTES, piece_bytes: int = PIECE_BYTES,
+    memory: Slots | None = None, rotated: str | None = None,
 ) -> DataFrame:
     """Merge lines to ``entries(file, block, pos, part, parts, lines, tail_opens)``.
 
+    With a ``memory``, entries go on over files and batches. Files whose path differs only by what
+    ``rotated`` matches are one series, in the order of their time of change (column ``changed`` of the
+    lines); ``file`` then is the series. The last entry of a series is left to the next batch, unless it is
+    longer than ``STATEMENT_BYTES``, and what the batch before left comes before the lines of this one.
+
     ``opens`` on a line says it may start an entry; with ``after_body_only`` it does
     so only after a line that may not. ``(block, pos)`` is the place of the first line.
     Runs one job over the lines and a small one over the open pieces.
@@ -128,11 +145,35 @@ def assemble(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _cut_pieces(batches, after_body_only, piece_bytes)
 
-    pieces = staged(lines.select("file", *_ORDER, "value", "opens").mapInArrow(cut, _PIECES), "pieces")
+    lines = lines if "changed" in lines.columns else lines.withColumn("changed", F.lit(0).cast("bigint"))
+    pieces = staged(lines.select("file", *_ORDER, "value", "opens", "changed").mapInArrow(cut, _PIECES), "pieces")
+    open_pieces = pieces.filter("NOT whole").drop("whole", "lines")
+    if memory is not None:
+        # Every file has an open piece, so these few rows know all files.
+        by_time = Window.partitionBy("_series").orderBy("changed", "file")
+        files = open_pieces.groupBy("file").agg(F.max("changed").alias("changed")).withColumn("_series", F.regexp_replace("file", rotated or "^$", ""))
+        ranked = files.select("file", "_series", F.row_number().over(by_time).cast("bigint").alias("_rank"))
+        open_pieces = open_pieces.join(ranked, "file").withColumns({"file": F.col("_series"), "block": F.col("_rank") * FILE_SPAN + F.col("block")})
+        open_pieces = open_pieces.drop("_series", "_rank")
+        pieces = pieces.withColumn("file", F.regexp_replace("file", rotated or "^$", ""))
     whole = pieces.filter("whole").select(
         "file", *_ORDER, F.lit(0).cast("bigint").alias("part"), F.lit(1).cast("bigint").alias("parts"), "lines", F.lit(False).alias("tail_opens"))
-    open_pieces = pieces.filter("NOT whole")
-    joined = _joined(open_pieces, _numbered(open_pieces, after_body_only, segment_bytes), piece_bytes)
+    earlier = memory.read() if memory is not None else None
+    if earlier is not None:
+        open_pieces = open_pieces.unionByName(earlier)
+    numbered = _numbered(open_pieces, after_body_only, segment_bytes)
+    if memory is not None:
+        numbered = staged(numbered, "numbered")
+        newest = numbered.groupBy("file").agg(F.max_by(F.struct("entry", "begun"), "entry").alias("_last"), F.max(F.col("before") + F.col("n_bytes")).alias("_end"))
+        newest = newest.filter(F.col("_end") - F.col("_last.begun") <= STATEMENT_BYTES).select("file", F.col("_last.entry").alias("entry"))
+        left = numbered.join(newest, ["file", "entry"], "left_semi")
+        # What goes on is placed before all lines to come, in its order.
+        in_order = Window.partitionBy("file").orderBy(*_ORDER)
+        later = open_pieces.join(left.select("file", *_ORDER), ["file", *_ORDER], "left_semi")
+        memory.write(later.withColumns({"pos": F.row_number().over(in_order).cast("bigint"), "block": F.lit(BEFORE_ALL)}))
+        numbered = numbered.join(newest, ["file", "entry"], "left_anti")
+        open_pieces = open_pieces.join(numbered.select("file", *_ORDER), ["file", *_ORDER], "left_semi")
+    joined = _joined(open_pieces, numbered, piece_bytes)
     return whole.unionByName(staged(joined, "open-entries"))
 
 
@@ -158,7 +199,7 @@ def _numbered(pieces: DataFrame, after_body_only: bool, segment_bytes: int) -> D
     carried = carried.withColumn("_begun_0", F.coalesce(F.last(F.col("_bytes_0") + F.col("_last"), ignorenulls=True).over(base), F.lit(0)))
     known = local.join(carried.select("file", "_segment", "_entries_0", "_bytes_0", "_begun_0"), ["file", "_segment"])
     return known.select(
-        "file", *_ORDER, "tail_opens", (F.col("_entries_0") + F.col("_entry")).alias("entry"), (F.col("_bytes_0") + F.col("_before")).alias("before"),
+        "file", *_ORDER, "n_bytes", "tail_opens", (F.col("_entries_0") + F.col("_entry")).alias("entry"), (F.col("_bytes_0") + F.col("_before")).alias("before"),
         F.coalesce(F.col("_bytes_0") + F.col("_begun"), F.col("_begun_0")).alias("begun"))
 
 
@@ -249,7 +290,7 @@ def _as_pieces(table: pa.Table, first: np.ndarray, whole: np.ndarray) -> Iterato
         columns = [
             *[table.column(c).take(heads).combine_chunks() for c in ("file", "block", "pos")], pa.array(ahead[at[1:]] - ahead[at[:-1]]),
             table.column("opens").take(heads).combine_chunks(), table.column("opens").take(tails).combine_chunks(),
-            pa.array(whole[a:b]), held if done else nothing, nothing if done else held,
+            pa.array(whole[a:b]), held if done else nothing, nothing if done else held, table.column("changed").take(heads).combine_chunks(),
         ]
         names = [c.split()[0] for c in _PIECES.split(", ")]
         yield pa.RecordBatch.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns], names=names)
@@ -278,3 +319,54 @@ def carry_forward(
     start = ends.select(*by, F.last("_end", ignorenulls=True).over(before).alias("_carried"))
     joined = local.join(start, by, "left")
     return joined.withColumn(out, F.coalesce("_local", "_carried")).drop("_part", "_value", "_local", "_carried")
+
+
+def carry_in_scan(lines: DataFrame, mark: Column, out: str) -> DataFrame:
+    """Stamp the last non-null mark of the file on each line, the line itself included, in the order of the scan.
+
+    A first look at the marks gives one row per split, its last mark; from these follows what
+    each split begins with. Only the splits at which that changes, at most as many as the driver lists files
+    and splits for the scan, go along with the tasks. Then every split fills in its own lines: no line is shuffled.
+    """
+    marked = lines.withColumn("_mark", mark.cast("string"))
+    last = F.max_by("_mark", F.when(F.col("_mark").isNotNull(), F.col("pos")))
+    ends = marked.groupBy("file", "block").agg(last.alias("_end"))
+    in_file = Window.partitionBy("file").orderBy("block")
+    start = ends.select("file", "block", F.last("_end", ignorenulls=True).over(in_file.rowsBetween(Window.unboundedPreceding, -1)).alias("_start"))
+    changes = start.withColumn("_before", F.lag("_start").over(in_file)).filter("NOT _start <=> _before").orderBy("file", "block")
+    known: dict[str, tuple[list[int], list[str]]] = {}
+    for row in changes.toLocalIterator():
+        blocks, values = known.setdefault(row.file, ([], []))
+        blocks.append(row.block)
+        values.append(row["_start"])
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _filled(batches, known, out)
+
+    kept = [f for f in lines.schema.fields if f.name != out]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + f", `{out}` string"
+    return marked.select([f.name for f in kept] + ["_mark"]).mapInArrow(fill, schema)
+
+
+def _filled(batches: Iterator[pa.RecordBatch], known: dict, out: str) -> Iterator[pa.RecordBatch]:
+    last, state = None, None
+    for batch in batches:
+        n = batch.num_rows
+        if n == 0:
+            continue
+        marks = batch.column("_mark")
+        new, valid = _new_splits(batch, last), marks.is_valid().to_numpy(zero_copy_only=False)
+        starts = np.flatnonzero(new & ~valid)
+        begin = []
+        for i in starts.tolist():
+            blocks, values = known.get(batch.column("file")[i].as_py(), ([], []))
+            at = bisect.bisect_right(blocks, batch.column("block")[i].as_py())
+            begin.append(values[at - 1] if at else None)
+        pool = pa.concat_arrays([marks, pa.array(begin, pa.string()), pa.array([state], pa.string())])
+        source = np.arange(n)
+        source[starts] = n + np.arange(len(starts))
+        latest = np.maximum.accumulate(np.where(valid | new, np.arange(n), -1))
+        filled = pool.take(pa.array(np.where(latest < 0, len(pool) - 1, source[latest])))
+        last, state = (batch.column("file")[-1].as_py(), batch.column("block")[-1].as_py(), False), filled[-1].as_py()
+        names = [c for c in batch.schema.names if c != "_mark"]
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], filled], names=[*names, out])

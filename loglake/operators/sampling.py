@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from loglake.operators.transforms import sample_key
 from loglake.session import staged
+from loglake.streaming.state import Slots
 
 _HASH_SPAN = 16**8
+# A late file may still count for a window this many windows back.
+KEPT_WINDOWS = 120
 
 
 def _one_of(rate: int) -> None:
@@ -86,9 +89,14 @@ def dynamic_sample(
     min_per_second: int = 1,
     row_key: Sequence[str] = ("file", "pos"),
     time: str = "_time",
+    memory: Slots | None = None,
 ) -> DataFrame:
     """Thin frequent keys by the counts of the window before; keep rare ones.
 
+    With a ``memory``, the counts that batches before this one left are added to its own, and the
+    sum is left for the next: the first window of a batch gets the rates of the last window of the
+    batch before, and a window whose rows come in several batches is counted over all that came.
+
     A key not seen in that window has rate 1; where that window has no rows at all,
     the rate is ``goal``. Rows without a time are all kept, at rate 1. The join is on window and key: the rate table holds one row
     per pair, and AQE splits a pair with many events. The counts are taken by a job of
@@ -99,8 +107,9 @@ def dynamic_sample(
     start = (F.floor(F.unix_seconds(time) / seconds) * seconds).cast("bigint")
     key = sample_key([F.col(k) for k in keys])
     counts = staged(window_counts(events, key, seconds, time), "window-counts")
-    before = window_rates(counts, goal, seconds, min_per_second)
-    counted = counts.select((F.col("window_start") + seconds).alias("window_start")).distinct().withColumn("_counted", F.lit(True))
+    known = counts if memory is None else remembered(counts, memory)
+    before = window_rates(known, goal, seconds, min_per_second)
+    counted = known.select((F.col("window_start") + seconds).alias("window_start")).distinct().withColumn("_counted", F.lit(True))
     # Settled on the counts, which hold every pair the events have: one join of the events.
     rate = F.coalesce("rate", F.when(F.col("_counted"), F.lit(1)).otherwise(F.lit(goal))).cast("int")
     rates = (
@@ -116,6 +125,17 @@ def dynamic_sample(
     return kept.select(*[c for c in events.columns if c != "sample_rate"], "sample_key", "sample_rate")
 
 
+def remembered(counts: DataFrame, memory: Slots, windows: int = KEPT_WINDOWS) -> DataFrame:
+    """The counts of this batch and of the windows kept from those before; leaves the newest windows to the next."""
+    earlier = memory.read()
+    both = counts if earlier is None else counts.unionByName(earlier)
+    known = both.filter("window_start IS NOT NULL").groupBy("window_start", "sample_key").agg(F.sum("n").alias("n"))
+    known = staged(known, "known-counts")
+    newest = known.select("window_start").distinct().orderBy(F.col("window_start").desc()).limit(windows)
+    memory.write(known.join(newest, "window_start", "left_semi"))
+    return known
+
+
 def weighted_rollup(events: DataFrame, by: Sequence[str], measures: Sequence[str] = ()) -> DataFrame:
     """Counts and totals with the weights put back."""
     rate = F.coalesce(F.col("sample_rate"), F.lit(1))

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,14 +77,44 @@ def shared_dir(spark: SparkSession) -> str:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The table written to the shared folder and read back.
 
-    For a small result that several branches of a plan need: they read it instead of
+    For a result that several branches of a plan need: they read it instead of
     each computing it from the start, and lost executors do not bring that work back.
     """
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    scope = _scope.get()
+    path = f"{scope.path}/{len(scope.used)}-{name}" if scope else fresh_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    if scope:
+        scope.used.append((path, df.schema))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@dataclass
+class _Scope:
+    path: str
+    used: list = field(default_factory=list)
+
+
+_scope: ContextVar[_Scope | None] = ContextVar("scope", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str, empty: bool = True) -> Iterator[None]:
+    """What is staged inside is needed until the end of the block only.
+
+    It lies below ``name`` in the shared folder, in places that a block of the same name
+    writes over. At the end the tables are emptied, unless the next block will do that.
+    """
+    scope = _Scope(f"{shared_dir(spark)}/{name}")
+    token = _scope.set(scope)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        if empty:
+            for path, schema in scope.used:
+                spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing has written to."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -56,7 +56,8 @@ def order_lines(lines: DataFrame) -> DataFrame:
     It must sit directly on the scan. A split is read front to back by one task, so
     the id grows along the text; splits of one file are ordered by their start byte.
     """
-    return lines.withColumn("pos", F.monotonically_increasing_id()).select("file", "block", "pos", "value")
+    more = [c for c in ("changed",) if c in lines.columns]
+    return lines.withColumn("pos", F.monotonically_increasing_id()).select("file", "block", "pos", "value", *more)
 
 
 def backfill(spark: SparkSession, paths: str | Sequence[str], exclude: str | None = SIDE_FILES) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loglake.schemas import TableSpec
+from loglake.sources.runs import committed
 
 _HELPERS = {"file", "block", "pos", "value", "reject_reason", "sample_rate", "data", "extra"}
 
@@ -96,8 +97,8 @@ def read_table(
     date_from: date | str | None = None,
     date_to: date | str | None = None,
 ) -> DataFrame:
-    """One inclusive date range; only its folders are listed and read."""
-    table = spark.read.parquet(path)
+    """One inclusive date range; only its folders are read. Of a job's dataset, the committed batches."""
+    table = committed(spark, path)
     if date_from is not None:
         table = table.filter(F.col("_date") >= F.lit(str(date_from)).cast("date"))
     if date_to is not None:
@@ -110,10 +111,10 @@ def read_events(
 ) -> DataFrame:
     """The events of a table written with ``write_outcome``."""
     table = read_table(spark, path, date_from, date_to).filter(F.col("_outcome") == "ok")
-    return table.drop("_outcome", "reject_reason", "value")
+    return table.drop("_outcome", "reject_reason", "value", "_run", "_batch")
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     """What did not parse, with the reason; only its folders are read."""
-    rejected = spark.read.parquet(path).filter(F.col("_outcome") == "rejected")
+    rejected = committed(spark, path).filter(F.col("_outcome") == "rejected")
     return rejected.select("file", "pos", "value", "reject_reason")

@@ -204,7 +204,7 @@ def test_reading_from_the_end_skips_old_files(spark, tmp_path):
         query = lines.writeStream.format("memory").queryName(f"end_{n}").trigger(availableNow=True).start()
         query.awaitTermination()
         assert spark.table(f"end_{n}").count() == n
-    assert resume_point("/c", "last") == "/c" and resume_point("/c", "beginning").startswith("/c/beginning-")
+    assert resume_point("/c", "last") == "/c" and resume_point("/c", "beginning") == "/c/beginning"
 
 
 def test_status_interval_zero_is_off(spark):
