@@ -51,8 +51,8 @@ from loglake.session import staged
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 A_PATH, B_PATH = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
-CHUNK_BYTES = 4 << 20
-MOST_KNOWN, AT_ONCE = 1 << 19, 1 << 12
+CHUNK_BYTES = 2 << 20
+MOST_KNOWN, AT_ONCE = 1 << 18, 1 << 12
 LANE_TOKENS = 1024
 SLICE_PAIRS = 4096
 READ = "text read by alignment"
