@@ -124,7 +124,7 @@ def _write_stream(spark: SparkSession, sf: str) -> DataFrame:
     rows = stream.select("event_id", "event_type", *time_columns(F.col("ts").cast("timestamp")))
     out = fresh_path(spark, "sink")
     write_stream(rows, out, fresh_path(spark, "sink-state"), once=True).awaitTermination()
-    return _dated_columns(spark.read.parquet(out))
+    return _dated_columns(read_batches(spark, out))
 
 
 @query(

@@ -17,6 +17,7 @@ from loglake.formats.keyval import keyval_events
 from loglake.operators import sampling
 from loglake.operators.grouping import group_slow_log
 from loglake.operators.lines import split_rejects
+from loglake.operators.rollups import slow_query_digest
 from loglake.plans.jobs import run_batch
 from loglake.session import fresh_path
 from loglake.sources.tables import read_events, read_table
@@ -187,3 +188,36 @@ def _mongo_job(spark: SparkSession, sf: str) -> DataFrame:
     stored = read_events(spark, out).withColumn("event_id", F.coalesce(counter("keysExamined"), counter("nscanned"), changed))
     return stored.filter("event_id IS NOT NULL").select(
         "event_id", stamp_text(F.col("_time")).alias("at"), "replica_set", lock("global_read_lock").alias("read_locks"), lock("read_lock_held_us").alias("held_us"))
+
+
+@query(
+    "mongo_quoted_markers",
+    """SELECT event_id, 'query' AS operation, '{"note":"see command: find { locks:{ r: 1 } update: { a: 2 }","user":' || event_id || '}' AS query,
+       0 AS n_locks, CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END AS in_past FROM events WHERE event_id % 5 < 2""",
+)
+def _mongo_quoted_markers(spark: SparkSession, sf: str) -> DataFrame:
+    # Marks and braces inside a text are no documents; half of the stamps have no year, and the job gets no time.
+    events = events_table(spark, sf).filter(F.col("event_id") % 5 < 2)
+    new = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'+0000'")
+    old = F.date_format("ts", "EEE MMM dd HH:mm:ss.SSS")
+    body = F.concat(L(' [conn1] query shop.items query: { user: '), text("event_id"),
+                    L(', note: "see command: find { locks:{ r: 1 } update: { a: 2 }" } nscanned:'), text("event_id"), L(" 3ms"))
+    stamp = F.when(F.col("event_id") % 2 == 0, old).otherwise(new)
+    path = written(spark, sf, "mongo-quoted", lambda: events.select(F.concat(stamp, body).alias("value")))
+    out = fresh_path(spark, "mongo-quoted-table")
+    run_batch(spark, IngestConfig("mongo", [path], out))
+    dated = F.when((F.col("_time") <= F.current_timestamp()) & (F.year("_time") > 2024), 1).otherwise(0)
+    return read_events(spark, out).select(
+        F.element_at("counters", L("nscanned")).cast("bigint").alias("event_id"), "operation", F.to_json("query").alias("query"),
+        F.size(F.coalesce("lock_counts", F.create_map().cast("map<string,bigint>"))).alias("n_locks"), dated.alias("in_past"))
+
+
+@query("digest_untimed_calls", """SELECT 'q' || (event_id % 3) AS normalized_query, count(*) AS calls, avg(CASE WHEN event_id % 4 <> 0 THEN event_id % 7 + 1 END) AS avg_time,
+  quantile_disc(CASE WHEN event_id % 4 <> 0 THEN event_id % 7 + 1 END, 0.95)::DOUBLE AS p95_time FROM events GROUP BY 1""")
+def _digest_untimed_calls(spark: SparkSession, sf: str) -> DataFrame:
+    # Every fourth call has no time: it counts as a call, and takes no part in the average.
+    told = events_table(spark, sf).select(
+        F.concat(L("q"), text(F.col("event_id") % 3)).alias("normalized_query"),
+        F.when(F.col("event_id") % 4 != 0, (F.col("event_id") % 7 + 1).cast("double")).alias("query_time"),
+        L(1).cast("bigint").alias("rows_examined"), L(1).cast("bigint").alias("rows_sent"))
+    return slow_query_digest(told).select("normalized_query", "calls", "avg_time", "p95_time")

@@ -65,6 +65,7 @@ def json_profile(lines: DataFrame) -> DataFrame:
 
 
 def json_schema(lines: DataFrame) -> DataFrame:
-    """One schema that fits all lines, as DDL text."""
-    parsed = F.try_parse_json(trim_space(F.col("value")))
+    """One schema that fits all lines that hold an object and nothing else, as DDL text."""
+    text = trim_space(F.col("value"))
+    parsed = F.when(object_fields(text).isNotNull(), parse_whole(text))
     return lines.select(parsed.alias("v")).agg(F.schema_of_variant_agg("v").alias("schema"))

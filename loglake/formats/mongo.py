@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loglake.functions.documents import balanced, document_shape, parse_doc
+from loglake.functions.documents import balanced, document_shape, masked, parse_doc
 from loglake.functions.regexes import is_match, line_pattern
 from loglake.functions.text import last_wins, settled, trim_space
 from loglake.functions.times import ISO_LOCAL, ISO_OFFSET, TimeFormat, infer_year
@@ -42,10 +42,22 @@ DOCUMENTS = {
 
 
 def _from_doc(body: Column, name: str) -> Column:
-    """The text from the first brace after a marker on; NULL if there is none."""
+    """The text from the first brace after a marker on; NULL if there is none.
+
+    A marker inside a string literal is none: where a quote stands before the place found, the
+    place is looked for again with the literals masked.
+    """
     mark, pattern = DOCUMENTS[name]
-    rest = F.when(body.contains(mark), F.regexp_extract(body, rf"(?s)(?:^|\s){pattern}(\{{.*)$", 1))
-    return F.when(rest != "", rest)
+    place = rf"(?s)(?:^|\s){pattern}(\{{.*)$"
+
+    def from_end(size: Column) -> Column:
+        return F.when(size > 0, F.substring(body, F.length(body) - size + 1, size))
+
+    plain = F.length(F.regexp_extract(body, place, 1))
+    quote = F.instr(body, '"')
+    doubtful = (quote > 0) & (quote <= F.length(body) - plain) & (plain > 0)
+    hidden = F.length(F.regexp_extract(masked(body), place, 1))
+    return F.when(body.contains(mark), from_end(F.when(doubtful, hidden).otherwise(plain)))
 
 
 def mongo_events(

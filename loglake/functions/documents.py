@@ -37,6 +37,14 @@ def parse_whole(text: Column) -> Column:
     return F.get(F.transform(pair, first), F.lit(0))
 
 
+def masked(text: Column) -> Column:
+    """The text with every letter inside string literals written as ``x``: same length, no marks or braces inside."""
+    pieces = F.regexp_extract_all(text, F.lit(_TEXT_OR_REST), F.lit(0))
+    quoted = lambda p: p.startswith('"') & (F.length(p) > 1)
+    hidden = F.transform(pieces, lambda p: F.when(quoted(p), F.concat(F.lit('"'), F.repeat(F.lit("x"), F.length(p) - 2), F.lit('"'))).otherwise(p))
+    return F.array_join(hidden, "")
+
+
 def balanced(text: Column) -> Column:
     """The leading ``{...}`` of a text with its braces balanced; NULL if it never closes."""
     tokens = F.regexp_extract_all(text, F.lit(_BRACES), F.lit(0))

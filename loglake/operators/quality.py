@@ -67,21 +67,14 @@ def ingest_quality(lines: DataFrame, parsed: DataFrame) -> DataFrame:
     Lines carry no day, so their count stands on the row of the file with day NULL;
     rejects without a time stand there too.
     """
-    read = lines.groupBy(F.col("file").alias("_read_file")).agg(F.count("*").alias("lines"))
+    read = lines.groupBy("file").agg(F.count("*").alias("_lines"))
     made = parsed.groupBy("file", F.to_date("_time").alias("_date"), "reject_reason").agg(F.count("*").alias("_n"))
-    outcome = made.groupBy("file", "_date").agg(
-        F.coalesce(F.sum(F.when(F.col("reject_reason").isNull(), F.col("_n"))), F.lit(0)).alias("events"),
-        F.coalesce(F.sum(F.when(F.col("reject_reason").isNotNull(), F.col("_n"))), F.lit(0)).alias("rejects"),
-        F.map_from_entries(F.collect_list(F.when(
-            F.col("reject_reason").isNotNull(), F.struct("reject_reason", "_n")
-        ))).alias("reasons"),
-    )
-    same = (F.col("file") == F.col("_read_file")) & F.col("_date").isNull()
-    return outcome.join(read, same, "full").select(
-        F.coalesce("file", "_read_file").alias("file"),
-        "_date",
-        F.coalesce("lines", F.lit(0)).alias("lines"),
-        F.coalesce("events", F.lit(0)).alias("events"),
-        F.coalesce("rejects", F.lit(0)).alias("rejects"),
-        "reasons",
+    # Both are counts by now; they are put under one another and added up, not joined.
+    both = made.unionByName(read.withColumn("_date", F.lit(None).cast("date")), allowMissingColumns=True)
+    good, bad = F.col("reject_reason").isNull(), F.col("reject_reason").isNotNull()
+    return both.groupBy("file", "_date").agg(
+        F.coalesce(F.sum("_lines"), F.lit(0)).alias("lines"),
+        F.coalesce(F.sum(F.when(good, F.col("_n"))), F.lit(0)).alias("events"),
+        F.coalesce(F.sum(F.when(bad, F.col("_n"))), F.lit(0)).alias("rejects"),
+        F.map_from_entries(F.collect_list(F.when(bad, F.struct("reject_reason", "_n")))).alias("reasons"),
     )

@@ -34,8 +34,10 @@ def parse(lines: DataFrame, cfg: IngestConfig, ingest_time: Column | None = None
         options["prefix"] = cfg.log_prefix
     if cfg.format in TAKES_TZ:
         options.setdefault("tz", cfg.timezone)
-    if cfg.format == "mongo" and ingest_time is not None:
-        options.setdefault("reference_time", ingest_time)
+    if cfg.format == "mongo":
+        # A stamp without a year lies before the last change of its file.
+        changed = F.timestamp_micros("changed") if "changed" in lines.columns else None
+        options.setdefault("reference_time", ingest_time if ingest_time is not None else changed)
     if cfg.format in TAKES_INGEST_TIME and ingest_time is not None:
         options.setdefault("ingest_time", ingest_time)
     if cfg.entry_rate > 1:
@@ -146,6 +148,6 @@ def run_batch(spark: SparkSession, cfg: IngestConfig, ingest_time: Column | None
     tune(spark)
     run = batch_run()
     with scratch(spark, run):
-        table, sort_by = ingested(backfill(spark, cfg.paths), cfg, ingest_time)
+        table, sort_by = ingested(backfill(spark, cfg.paths, changed=cfg.format == "mongo"), cfg, ingest_time)
         write_table(table, folder(cfg.dataset, run, 0), sort_by, extra_partitions=["_outcome"])
     note(spark, cfg.dataset, run, 0)

@@ -17,10 +17,12 @@ def read_lines(
     paths: str | Sequence[str],
     exclude: str | None = SIDE_FILES,
     require_input: bool = True,
+    changed: bool = False,
 ) -> DataFrame:
     """All lines of all files under the paths or globs, one row each, without order.
 
-    Only a line feed ends a line, so a carriage return stays part of the text.
+    Only a line feed ends a line, so a carriage return stays part of the text. With ``changed``
+    each line carries the time its file was changed, in microseconds.
     """
     wanted = [paths] if isinstance(paths, str) else list(paths)
     raw = spark.read.option("lineSep", "\n").text(wanted)
@@ -30,6 +32,7 @@ def read_lines(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         "value",
+        *([F.unix_micros("_metadata.file_modification_time").alias("changed")] if changed else []),
     )
 
 
@@ -60,9 +63,9 @@ def order_lines(lines: DataFrame) -> DataFrame:
     return lines.withColumn("pos", F.monotonically_increasing_id()).select("file", "block", "pos", "value", *more)
 
 
-def backfill(spark: SparkSession, paths: str | Sequence[str], exclude: str | None = SIDE_FILES) -> DataFrame:
+def backfill(spark: SparkSession, paths: str | Sequence[str], exclude: str | None = SIDE_FILES, changed: bool = False) -> DataFrame:
     """Everything that is there now, once, in file order."""
-    return order_lines(read_lines(spark, paths, exclude))
+    return order_lines(read_lines(spark, paths, exclude, changed=changed))
 
 
 def lines_from(df: DataFrame, value, source=None, order=None) -> DataFrame:

@@ -81,12 +81,11 @@ def pace(writer, seconds: float = 10.0, once: bool = False):
 def write_stream(
     events: DataFrame, path: str, checkpoint: str, once: bool = False, seconds: float = 10.0
 ) -> StreamingQuery:
-    """Rows that need no file order straight to a table; the file sink writes each once.
+    """Rows that need no file order to a table, laid out by date as every other job's.
 
     Late rows are accepted however late they are: there is no watermark on this path.
     """
-    writer = events.writeStream.format("parquet").partitionBy("_date").option("path", path)
-    return pace(writer.option("checkpointLocation", checkpoint).outputMode("append"), seconds, once).start()
+    return write_batches(events, lambda batch: batch, path, checkpoint, once, seconds)
 
 
 def write_batches(
@@ -106,7 +105,7 @@ def write_batches(
     def one_batch(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         with scratch(spark, run, empty=False):
-            ordered = order_lines(batch)
+            ordered = order_lines(batch) if "block" in batch.columns else batch
             done = parse_batch(ordered, number) if numbered else parse_batch(ordered)
             parts = ["_outcome"] if "_outcome" in done.columns else []
             write_table(done, folder(path, run, number), sort_by, mode="overwrite", extra_partitions=parts)
