@@ -23,6 +23,7 @@ from loglake.session import fresh_path
 from loglake.sources.tables import read_events, read_table
 from loglake.streaming.ingest import close_series, group_stream, ingest_stream, read_batches, run_stream, write_batches
 from loglake.streaming.state import Slots
+from loglake.streaming.status import read_status
 
 L = F.lit
 
@@ -221,3 +222,25 @@ def _digest_untimed_calls(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("event_id") % 4 != 0, (F.col("event_id") % 7 + 1).cast("double")).alias("query_time"),
         L(1).cast("bigint").alias("rows_examined"), L(1).cast("bigint").alias("rows_sent"))
     return slow_query_digest(told).select("normalized_query", "calls", "avg_time", "p95_time")
+
+
+@query(
+    "status_beside_table",
+    """WITH e AS (SELECT epoch(date_trunc('second', ts))::BIGINT AS t, CASE WHEN event_id % 50 = 0 THEN 2 WHEN ts < TIMESTAMP '2024-01-15' THEN 0 ELSE 1 END AS b FROM events),
+    m AS (SELECT max(t) FILTER (b = 0) - 3600 AS w0, max(t) FILTER (b < 2) - 3600 AS w1, max(t) - 3600 AS w2 FROM e),
+    c AS (SELECT t // 7200 * 7200 AS start, b, w0, w1, w2 FROM e, m)
+    SELECT strftime(to_timestamp(start) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S.%f') AS w, count(*) AS n FROM c
+    WHERE (b = 0 OR b = 1 AND start + 7200 > w0 OR b = 2 AND start + 7200 > w1) AND start + 7200 <= w2 GROUP BY 1
+    UNION ALL SELECT 'table', count(*) FROM events""",
+)
+def _status_beside_table(spark: SparkSession, sf: str) -> DataFrame:
+    # Three batches; the third brings rows of all days, most of them long after their windows have closed.
+    line = F.concat(L("id="), text("event_id"), L(" time="), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    late, half = F.col("event_id") % 50 == 0, L("2024-01-15").cast("timestamp")
+    path, out, state = fresh_path(spark, "status-lines"), fresh_path(spark, "status-table"), fresh_path(spark, "status-state")
+    for part in (~late & (F.col("ts") < half), ~late & (F.col("ts") >= half), late):
+        events_table(spark, sf).filter(part).select(line.alias("value")).write.mode("append").text(path)
+        cfg = IngestConfig("keyval", [path], out, checkpoint=state, stop=True, status_seconds=7200, status_delay_seconds=3600)
+        run_stream(spark, cfg).awaitTermination()
+    windows = read_status(spark, out).select(stamp_text(F.col("window_start")).alias("w"), "n")
+    return windows.unionByName(read_events(spark, out).agg(F.count("*").alias("n")).withColumn("w", L("table")))

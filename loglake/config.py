@@ -52,6 +52,7 @@ class IngestConfig:
     max_bytes_per_trigger: int | None = None
     rotated: str | None = None
     status_seconds: int = 60
+    status_delay_seconds: int = 60
     checkpoint: str | None = None
 
     def __post_init__(self) -> None:

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import json
 import re
+import zlib
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loglake.functions.regexes import PatternError
 
+# Up to so many patterns are tried one by one.
+FEW_PATTERNS = 16
 _HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*"
 
 
@@ -28,14 +33,84 @@ def path_pattern(pattern: str) -> tuple[str, list[str]]:
     return "^/" + "/".join(parts) + "/?$", names
 
 
+def segments_of(path: Column) -> Column:
+    """The parts of a path between its slashes; one slash at the end counts for nothing."""
+    return F.split(F.regexp_replace(path, "^/|/$", ""), "/")
+
+
 def match_path(path: Column, patterns: Sequence[str]) -> tuple[Column, dict[str, Column]]:
     """First pattern in the given order that fits: its text, and ``{variable: value}``.
 
-    A path that fits none keeps its own text. Patterns are tried only against paths
-    with their number of segments.
+    A path that fits none keeps its own text. A few patterns are tried one by one; many
+    are looked up in a table, with the same result.
     """
+    return match_chain(path, patterns) if len(patterns) <= FEW_PATTERNS else match_table(path, patterns)
+
+
+def pattern_table(patterns: Sequence[str]) -> tuple[dict[int, list[list[int]]], list[list[list]]]:
+    """For each number of segments the sets of places that are literal in some pattern; and buckets of
+    ``[key, rank]``, where the key is the segment count, the literal places and their text."""
+    masks: dict[int, list[list[int]]] = {}
+    entries: dict[str, int] = {}
+    for rank, pattern in enumerate(patterns):
+        path_pattern(pattern)
+        parts = pattern.strip("/").split("/")
+        literal = [k for k, part in enumerate(parts) if not part.startswith(":")]
+        if literal not in masks.setdefault(len(parts), []):
+            masks[len(parts)].append(literal)
+        entries.setdefault(_key_text(len(parts), literal, [parts[k] for k in literal]), rank)
+    buckets: list[list[list]] = [[] for _ in range(1 << max(1, len(entries) - 1).bit_length())]
+    for key, rank in entries.items():
+        buckets[zlib.crc32(key.encode()) % len(buckets)].append([key, rank])
+    return masks, buckets
+
+
+def _key_text(size: int, literal: list[int], texts: list[str]) -> str:
+    return "/".join([str(size), ",".join(map(str, literal)), *texts])
+
+
+def match_table(path: Column, patterns: Sequence[str]) -> tuple[Column, dict[str, Column]]:
+    """``match_path`` by a look-up for each set of literal places, not for each pattern.
+
+    The patterns are one constant array of hash buckets. The plan grows with the number of
+    different sets of literal places, of which paths of a few segments have few.
+    """
+    masks, buckets = pattern_table(patterns)
+    table = F.from_json(F.lit(json.dumps([[{"k": k, "r": r} for k, r in b] for b in buckets])), "array<array<struct<k:string,r:int>>>")
+
+    def rank_of(parts: Column, size: int, literal: list[int]) -> Column:
+        key = F.concat_ws("/", F.lit(str(size)), F.lit(",".join(map(str, literal))), *[F.get(parts, F.lit(k)) for k in literal])
+        bucket = F.get(table, (F.crc32(key) % len(buckets)).cast("int"))
+        found = F.get(F.transform(F.filter(bucket, lambda e: e["k"] == key), lambda e: e["r"]), F.lit(0))
+        # A variable takes at least one character.
+        filled = [F.get(parts, F.lit(k)) != "" for k in range(size) if k not in literal]
+        return F.when(reduce(Column.__and__, filled), found) if filled else found
+
+    def best_of(parts: Column) -> Column:
+        best = F.lit(None).cast("int")
+        for size, literals in sorted(masks.items()):
+            best = F.when(F.size(parts) == size, F.array_min(F.array(*[rank_of(parts, size, x) for x in literals]))).otherwise(best)
+        return best
+
+    best = F.when(path.startswith("/"), F.get(F.transform(F.array(segments_of(path)), best_of), F.lit(0)))
+    shape = F.coalesce(F.get(F.from_json(F.lit(json.dumps(list(patterns))), "array<string>"), best), path)
+    places: dict[str, list[int]] = {}
+    for rank, pattern in enumerate(patterns):
+        for k, part in enumerate(pattern.strip("/").split("/")):
+            # Of a name that a pattern has twice the first place counts, as in the chain.
+            if part.startswith(":") and places.setdefault(part[1:], [-1] * len(patterns))[rank] < 0:
+                places[part[1:]][rank] = k
+    values = {}
+    for name, at in places.items():
+        place = F.get(F.from_json(F.lit(json.dumps(at)), "array<int>"), best)
+        values[name] = F.when(place >= 0, F.get(segments_of(path), place))
+    return shape, values
+
+
+def match_chain(path: Column, patterns: Sequence[str]) -> tuple[Column, dict[str, Column]]:
+    """``match_path`` by one test after another. Patterns are tried only against paths with their number of segments."""
     compiled = [(p, *path_pattern(p)) for p in patterns]
-    segments = F.size(F.split(F.regexp_replace(path, "^/|/$", ""), "/"))
+    segments = F.size(segments_of(path))
     fits = [(segments == p.strip("/").count("/") + 1) & path.rlike(regex) for p, regex, _ in compiled]
 
     def first_fit(results: list[Column]) -> Column:

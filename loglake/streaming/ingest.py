@@ -24,6 +24,7 @@ from loglake.sources.files import SIDE_FILES, order_lines
 from loglake.sources.runs import committed, folder, note, others_hold_rows, run_note, stream_run
 from loglake.sources.tables import write_table
 from loglake.streaming.state import Slots
+from loglake.streaming.status import DURATIONS, report_status
 
 Parse = Callable[..., DataFrame]
 
@@ -90,14 +91,15 @@ def write_stream(
 
 def write_batches(
     lines: DataFrame, parse_batch: Parse, path: str, checkpoint: str, once: bool = False, seconds: float = 10.0,
-    sort_by: Sequence[str] = ("_time",),
+    sort_by: Sequence[str] = ("_time",), after: Callable[[str, int], None] | None = None,
 ) -> StreamingQuery:
     """Formats that need file order: each micro-batch holds whole files and is one batch job.
 
     The checkpoint and the batch number name the folder and the folder is overwritten, so a
     batch that runs again replaces what it wrote before, and another run's never. Once it
     is written the batch is noted; only noted batches are read. ``parse_batch`` takes the lines
-    and, where it wants one, the number of the batch.
+    and, where it wants one, the number of the batch. ``after`` is called with run and number between
+    the two.
     """
     run = stream_run(checkpoint)
     numbered = len(inspect.signature(parse_batch).parameters) > 1
@@ -109,6 +111,8 @@ def write_batches(
             done = parse_batch(ordered, number) if numbered else parse_batch(ordered)
             parts = ["_outcome"] if "_outcome" in done.columns else []
             write_table(done, folder(path, run, number), sort_by, mode="overwrite", extra_partitions=parts)
+            if after:
+                after(run, number)
         note(spark, path, run, number, checkpoint)
 
     writer = lines.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
@@ -155,7 +159,8 @@ def run_stream(spark: SparkSession, cfg: IngestConfig, ingest_time: Column | Non
 
     A job that was cut off goes on from its checkpoint, also one that began at the beginning
     or the end. Reading from the beginning into a dataset that holds rows of another job could
-    repeat them, and is refused. ``ingest_time`` is the time of events that carry none.
+    repeat them, and is refused. ``ingest_time`` is the time of events that carry none. With ``status_seconds``
+    the outcomes are counted per interval beside the table (``read_status``).
     """
     if not cfg.checkpoint:
         raise ValueError("a stream needs a checkpoint folder")
@@ -176,4 +181,9 @@ def run_stream(spark: SparkSession, cfg: IngestConfig, ingest_time: Column | Non
         memory = {name: Slots(ordered.sparkSession, f"{checkpoint}/{name}", number) for name in ("window-counts", "open-statements")}
         return ingested(ordered, cfg, ingest_time, memory)[0]
 
-    return write_batches(lines, batch, cfg.dataset, checkpoint, cfg.stop, cfg.flush_seconds, sort_columns(cfg))
+    def status(run: str, number: int) -> None:
+        memory = Slots(spark, f"{checkpoint}/status", number)
+        report_status(spark, cfg.dataset, run, number, memory, cfg.status_seconds, cfg.status_delay_seconds, DURATIONS.get(cfg.format))
+
+    after = status if cfg.status_seconds else None
+    return write_batches(lines, batch, cfg.dataset, checkpoint, cfg.stop, cfg.flush_seconds, sort_columns(cfg), after)

@@ -152,3 +152,31 @@ def test_documents(first):
 def test_json_with_anything_after_it_is_refused(first):
     got = first(lambda c: F.to_json(parse_whole(c)), '{"a":1}', '{"a":1}}', '{"a":1} x', '{"a":1},{"b":2}', '{"a":1}]', "")
     assert got == ['{"a":1}', None, None, None, None, None]
+
+
+def test_a_table_of_patterns_fits_like_the_chain(spark):
+    from loglake.functions.urls import match_chain, match_table
+
+    few = ["/", "/a", "/a/:x", "/:y/b", "/a/b", "/:x/:y/c", "/a/:x/c/", "/:z", "/a/b/c/:x/:x", "/é/:x"]
+    paths = ["/", "", "a", "/a", "/a/", "/a//", "//a", "/a/b", "/q/b", "/q/b/", "/a/q", "/a/q/c", "/q/r/c", "/zz", "/a/b/c/1/2", "/é/1", "/a/b/c", "/x/y/z/w", None]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    got = []
+    for match in (match_chain, match_table):
+        shape, values = match(F.col("p"), few)
+        got.append([tuple(r) for r in df.select(shape.alias("s"), *[F.when(shape != F.col("p"), v).alias(n) for n, v in sorted(values.items())]).collect()])
+    assert got[0] == got[1]
+
+
+def test_a_thousand_patterns_make_no_larger_plan(spark):
+    from loglake.functions.urls import match_path
+
+    def plan(n):
+        many = [f"/s{k % 40}/:id/t{k}" for k in range(n)] + [f"/s{k}/t{k}" for k in range(n)]
+        shape, values = match_path(F.col("p"), many)
+        df = spark.createDataFrame([("/s7/abc/t47",), ("/s5/t5",), ("/s5/t6",)], "p string").select(shape.alias("s"), values["id"].alias("id"))
+        nodes = sum(line.count("get(") for line in df._jdf.queryExecution().analyzed().toString().splitlines())
+        return nodes, [tuple(r) for r in df.collect()]
+
+    small, large = plan(50), plan(1000)
+    assert small[0] == large[0]
+    assert large[1] == [("/s7/:id/t47", "abc"), ("/s5/t5", None), ("/s5/t6", None)]
