@@ -20,6 +20,7 @@ from loglake.operators.lines import split_rejects
 from loglake.operators.rollups import slow_query_digest
 from loglake.plans.jobs import run_batch
 from loglake.session import fresh_path
+from loglake.sources.evolving import read_typed
 from loglake.sources.tables import read_events, read_table
 from loglake.streaming.ingest import close_series, group_stream, ingest_stream, read_batches, run_stream, write_batches
 from loglake.streaming.state import Slots
@@ -244,3 +245,25 @@ def _status_beside_table(spark: SparkSession, sf: str) -> DataFrame:
         run_stream(spark, cfg).awaitTermination()
     windows = read_status(spark, out).select(stamp_text(F.col("window_start")).alias("w"), "n")
     return windows.unionByName(read_events(spark, out).agg(F.count("*").alias("n")).withColumn("w", L("table")))
+
+
+@query(
+    "evolving_types",
+    """SELECT event_id, CASE WHEN event_id % 2 = 0 THEN CAST(user_id AS DOUBLE) ELSE user_id + 0.5 END AS size,
+       CASE WHEN event_id % 2 = 0 THEN CASE WHEN user_id % 2 = 0 THEN 'true' ELSE 'false' END ELSE 'v' || user_id || '.50' END AS mark,
+       CASE WHEN event_id % 2 = 1 THEN lpad(CAST(user_id AS VARCHAR), 6, '0') ELSE CAST(user_id AS VARCHAR) END AS code FROM events""",
+)
+def _evolving_types(spark: SparkSession, sf: str) -> DataFrame:
+    # Two jobs into one dataset: whole numbers and then others, truth values and then texts, numbers with and without zeros in front.
+    events, even = events_table(spark, sf), F.col("event_id") % 2 == 0
+    user = text("user_id")
+    size = F.when(even, user).otherwise(F.concat(user, L(".5")))
+    mark = F.when(even, F.when(F.col("user_id") % 2 == 0, "true").otherwise("false")).otherwise(F.concat(L("v"), user, L(".50")))
+    code = F.when(even, user).otherwise(F.concat(L("x"), F.lpad(user, 6, "0")))
+    line = F.concat(L("id="), text("event_id"), L(" size="), size, L(" mark="), mark, L(" code="), code, L(" rare"), text("event_id"), L("=1"))
+    out = fresh_path(spark, "evolving")
+    for part in (0, 1):
+        path = written(spark, sf, f"evolving-{part}", lambda part=part: events.filter(F.col("event_id") % 2 == part).select(line.alias("value")))
+        run_batch(spark, IngestConfig("keyval", [path], out, promote_share=0.5))
+    typed = read_typed(spark, out, ["id", "size", "mark", "code"])
+    return typed.select(F.col("id").alias("event_id"), "size", "mark", F.regexp_replace("code", "^x", "").alias("code"))

@@ -31,6 +31,7 @@ class IngestConfig:
     scrub_fields: list[str] = field(default_factory=list)
     add_fields: Mapping[str, str] = field(default_factory=dict)
     promote_fields: Mapping[str, str] = field(default_factory=dict)
+    promote_share: float | None = None
     request_shape: list[str] = field(default_factory=list)
     shape_prefix: str = ""
     request_patterns: list[str] = field(default_factory=list)
@@ -92,6 +93,8 @@ class IngestConfig:
         need(not (self.read_from == "end" and self.stop), "reading from the end and stopping there reads nothing")
         need(self.query_mode in ("whitelist", "all"), "query_mode is whitelist or all")
         need(not self.dynamic or self.sample_rate >= 2, "dynamic sampling needs a sample rate of at least 2")
+        need(self.promote_share is None or 0 < self.promote_share <= 1, "the share of rows that promotes a field is above 0 and at most 1")
+        need(not (self.promote_share and self.promote_fields), "fields are promoted by name or by share, not both")
         need(all("=" not in k for k in self.add_fields), "a field name holds no '='")
         try:
             ZoneInfo(self.timezone)

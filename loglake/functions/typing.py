@@ -77,3 +77,46 @@ def column_types(pairs: DataFrame, key: str = "key", value: str = "value") -> Da
 def type_pg_meta(col: Column) -> Column:
     """``pid``-like prefix values: BIGINT where possible; the format keeps other text in ``extra``."""
     return as_long(col)
+
+
+# A type fits all values of the ones before it, as numbers or as their text.
+LATTICE = ("boolean", "bigint", "double", "string")
+
+
+def widest(types: Column) -> Column:
+    """The least type that holds values of all these types; truth values and numbers together are text."""
+    has = lambda name: F.array_contains(types, name)
+    numbers = has("bigint") | has("double")
+    return (
+        F.when(has("string") | (has("boolean") & numbers), "string")
+        .when(has("double"), "double").when(has("bigint"), "bigint").when(has("boolean"), "boolean")
+    )
+
+
+def exact_parts(text: Column) -> Column:
+    """``struct<b, l, d, s>``: the value by its type, and the text besides where the value does not print as it.
+
+    So every value can be read by its own type and, where other batches hold other types, as text.
+    """
+    words = text.isin("true", "false")
+    b = F.when(words, text == "true")
+    l = as_long(text)
+    d = F.when(l.isNull(), as_double(text))
+    printed = F.coalesce(b.cast("string"), l.cast("string"), d.cast("string"))
+    return F.when(text.isNotNull(), F.struct(
+        b.alias("b"), l.alias("l"), d.alias("d"), F.when(printed.isNull() | (printed != text), text).alias("s")))
+
+
+def type_of(parts: Column) -> Column:
+    return F.when(parts["b"].isNotNull(), "boolean").when(parts["l"].isNotNull(), "bigint").when(parts["d"].isNotNull(), "double").otherwise("string")
+
+
+def as_type(parts: Column, kind: str) -> Column:
+    """A value of ``exact_parts`` as one type; the text is asked for only where the type is text."""
+    if kind == "boolean":
+        return parts["b"]
+    if kind == "bigint":
+        return parts["l"]
+    if kind == "double":
+        return F.coalesce(parts["d"], parts["l"].cast("double"))
+    return F.coalesce(parts["s"], parts["b"].cast("string"), parts["l"].cast("string"), parts["d"].cast("string"))

@@ -18,6 +18,7 @@ from loglake.operators.lines import split_rejects
 from loglake.operators.sampling import dynamic_sample, sample_lines
 from loglake.operators.transforms import add_fields, drop_fields, promote_fields, scrub_fields
 from loglake.session import scratch, tune
+from loglake.sources.evolving import evolve
 from loglake.sources.files import backfill
 from loglake.sources.runs import batch_run, folder, note
 from loglake.sources.tables import conform, with_outcome, write_table
@@ -139,6 +140,12 @@ def ingested(
     return with_outcome(table.unionByName(rejects, allowMissingColumns=True)), sort_by
 
 
+def typed_fields(table: DataFrame, cfg: IngestConfig, run: str, number: int) -> DataFrame:
+    """With ``promote_share``, the frequent keys of the map of texts as typed fields."""
+    texts = "data" in table.columns and table.schema["data"].dataType.simpleString() == "map<string,string>"
+    return evolve(table, cfg.dataset, run, number, cfg.promote_share) if cfg.promote_share and texts else table
+
+
 def run_batch(spark: SparkSession, cfg: IngestConfig, ingest_time: Column | None = None) -> None:
     """Read everything once and append it to the dataset, rejects in folders of their own.
 
@@ -149,5 +156,6 @@ def run_batch(spark: SparkSession, cfg: IngestConfig, ingest_time: Column | None
     run = batch_run()
     with scratch(spark, run):
         table, sort_by = ingested(backfill(spark, cfg.paths, changed=cfg.format == "mongo"), cfg, ingest_time)
+        table = typed_fields(table, cfg, run, 0)
         write_table(table, folder(cfg.dataset, run, 0), sort_by, extra_partitions=["_outcome"])
     note(spark, cfg.dataset, run, 0)

@@ -61,12 +61,13 @@ def run_note(spark: SparkSession, dataset: str, run: str):
     return None if known is None else known.filter(F.col("run") == run).first()
 
 
-def committed(spark: SparkSession, dataset: str) -> DataFrame:
+def committed(spark: SparkSession, dataset: str, merge_schema: bool = False) -> DataFrame:
     """The rows of all complete batches. A folder without notes, written by hand, is read as it is."""
     known = notes(spark, dataset)
+    reader = spark.read.option("mergeSchema", str(merge_schema).lower())
     if known is None:
-        return spark.read.parquet(dataset)
-    table = spark.read.option("basePath", dataset).parquet(f"{dataset}/_run=*")
+        return reader.parquet(dataset)
+    table = reader.option("basePath", dataset).parquet(f"{dataset}/_run=*")
     done = known.filter("upto >= 0").select(F.col("run").alias("_run"), F.col("upto").alias("_upto"))
     # Runs are few; their folders are pruned by the join where Spark finds that worth it.
     return table.join(done, "_run").filter("_batch <= _upto").drop("_upto")

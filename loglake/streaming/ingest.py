@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from loglake.config import IngestConfig
 from loglake.operators.grouping import left_over
-from loglake.plans.jobs import ingested, sort_columns
+from loglake.plans.jobs import ingested, sort_columns, typed_fields
 from loglake.session import scratch, tune
 from loglake.sources.files import SIDE_FILES, order_lines
 from loglake.sources.runs import committed, folder, note, others_hold_rows, run_note, stream_run
@@ -179,7 +179,7 @@ def run_stream(spark: SparkSession, cfg: IngestConfig, ingest_time: Column | Non
 
     def batch(ordered: DataFrame, number: int) -> DataFrame:
         memory = {name: Slots(ordered.sparkSession, f"{checkpoint}/{name}", number) for name in ("window-counts", "open-statements")}
-        return ingested(ordered, cfg, ingest_time, memory)[0]
+        return typed_fields(ingested(ordered, cfg, ingest_time, memory)[0], cfg, run, number)
 
     def status(run: str, number: int) -> None:
         memory = Slots(spark, f"{checkpoint}/status", number)

@@ -1,4 +1,5 @@
 import hashlib
+import os
 from datetime import datetime, timezone
 
 import pytest
@@ -264,3 +265,62 @@ def test_promoted_fields_are_columns(spark, tmp_path):
     rows = {r.data["name"]: r for r in read_events(spark, str(tmp_path / "out")).collect()}
     assert (rows["box"].size, rows["box"].data) == (12, {"Size": "3", "name": "box"})
     assert (rows["bag"].size, rows["bag"].data["size"]) == (None, "big")
+
+
+def test_types_widen_over_batches_and_reads_are_pruned(spark, tmp_path):
+    from loglake.sources.evolving import field_types, read_typed
+
+    out = str(tmp_path / "out")
+    for name, lines in (("a", "n=1 t=true k=007\nn=2 t=false k=8\n"), ("b", "n=1.50 t=7 k=x\nn=3 t=1 k=\n"), ("c", "n=5 t=true\n")):
+        (tmp_path / f"{name}.log").write_text(lines)
+        run_batch(spark, IngestConfig("keyval", [str(tmp_path / f"{name}.log")], out, promote_share=0.5))
+    assert field_types(spark, out) == {"n": "double", "t": "string", "k": "string"}
+    rows = read_typed(spark, out, ["n", "t", "k"]).collect()
+    assert sorted((r.n, r.t, r.k) for r in rows if r.k) == [(1.0, "true", "007"), (1.5, "7", "x"), (2.0, "false", "8")]
+    plan = read_typed(spark, out, ["n"])._jdf.queryExecution().executedPlan().toString()
+    assert "fields:struct<n:struct<l:bigint,d:double>>" in plan and "data" not in plan.split("ReadSchema")[1]
+
+
+def test_a_failed_job_shows_nothing(spark, tmp_path):
+    (tmp_path / "in.log").write_text("a=1\n")
+    out = str(tmp_path / "out")
+    run_batch(spark, IngestConfig("keyval", [str(tmp_path / "in.log")], out))
+    lost = tmp_path / "out" / "_run=batch-lost" / "_batch=0" / "_outcome=ok" / "_date=__HIVE_DEFAULT_PARTITION__"
+    lost.mkdir(parents=True)
+    part = next((tmp_path / "out").glob("_run=batch-*/_batch=0/_outcome=ok/*/*.parquet"))
+    (lost / part.name).write_bytes(part.read_bytes())
+    assert read_events(spark, out).count() == 1
+
+
+def test_staged_tables_of_a_job_are_emptied(spark, tmp_path):
+    from loglake.session import shared_dir
+
+    (tmp_path / "in.log").write_text("# Time: 2031-07-19T21:40:08Z\n# Query_time: 3\nselect 6;\n" * 3)
+    before = set(os.listdir(shared_dir(spark)))
+    run_batch(spark, IngestConfig("mysql_slow", [str(tmp_path / "in.log")], str(tmp_path / "out")))
+    new = set(os.listdir(shared_dir(spark))) - before
+    assert len(new) == 1 and read_events(spark, str(tmp_path / "out")).count() == 3
+    for folder in os.listdir(f"{shared_dir(spark)}/{new.copy().pop()}"):
+        assert spark.read.parquet(f"{shared_dir(spark)}/{next(iter(new))}/{folder}").isEmpty()
+
+
+def test_plans_of_statements_and_hosts(spark, tmp_path):
+    """One scan of the log for statements; the as-of join reads its events once."""
+    from loglake.formats.slow_log import mysql_slow_events
+    from loglake.operators.hosts import enrich_host
+    from loglake.sources.files import backfill
+
+    (tmp_path / "in.log").write_text("# Time: 2031-07-19T21:40:08Z\n# User@Host: a[a] @ b []\nselect 6;\n" * 3)
+    events = mysql_slow_events(backfill(spark, str(tmp_path / "in.log")))
+    assert "FileScan text" not in events._jdf.queryExecution().executedPlan().toString()
+    status = spark.createDataFrame([("a", datetime(2031, 7, 1), "h")], "host string, at timestamp, role string")
+    rows = spark.read.text(str(tmp_path / "in.log")).select(F.lit("a").alias("host"), F.lit(datetime(2031, 7, 19)).alias("_time"), "value")
+    joined = enrich_host(rows, status, fields=["role"])
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(key, "-1")
+    try:
+        assert {r.role for r in joined.collect()} == {"h"}
+        plan = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset(key)
+    assert plan.count("FileScan text") == 1 and "ReusedExchange" in plan
