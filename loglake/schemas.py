@@ -33,6 +33,7 @@ def _columns(text: str) -> tuple[tuple[str, str], ...]:
     return tuple(_TIME + typed)
 
 
+# The columns of the three declared tables, which loaded data must fit.
 MYSQL_SLOW = TableSpec(
     "mysql_slow",
     _columns(
