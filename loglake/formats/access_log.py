@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loglake.functions.regexes import PatternError, is_match, line_pattern
 from loglake.functions.text import settled, trim_space
-from loglake.functions.times import parse_time
+from loglake.functions.times import TIME_FIELDS, parse_time
 from loglake.functions.typing import as_double, as_long, present
 from loglake.operators.lines import strip_prefix
 
@@ -61,6 +61,10 @@ def access_log_events(
     for name, layout in clock.items():
         if name in texts:
             stamp = F.coalesce(parse_time(texts[name], layout, tz), late)
+    if not clock and not time_field and not time_format:
+        # Without a clock variable the well-known names count, in their order; such a field stays a field.
+        named = [parse_time(texts[n], None, tz) for n in TIME_FIELDS if n in texts]
+        stamp = F.coalesce(*named, late) if named else late
     fields = [_typed(n, c).alias(n) for n, c in texts.items() if n not in clock]
     return captured.select(
         "file", "block", "pos", "value",

@@ -141,9 +141,12 @@ def ingested(
 
 
 def typed_fields(table: DataFrame, cfg: IngestConfig, run: str, number: int) -> DataFrame:
-    """With ``promote_share``, the frequent keys of the map of texts as typed fields."""
-    texts = "data" in table.columns and table.schema["data"].dataType.simpleString() == "map<string,string>"
-    return evolve(table, cfg.dataset, run, number, cfg.promote_share) if cfg.promote_share and texts else table
+    """With ``promote_share``, the frequent keys of the map of texts as typed fields.
+
+    Of a declared table it is the map of what the table has no column for: the other variables of an access log, say.
+    """
+    texts = [c for c in ("data", "extra") if c in table.columns and table.schema[c].dataType.simpleString() == "map<string,string>"]
+    return evolve(table, cfg.dataset, run, number, cfg.promote_share, texts[0]) if cfg.promote_share and texts else table
 
 
 def run_batch(spark: SparkSession, cfg: IngestConfig, ingest_time: Column | None = None) -> None:

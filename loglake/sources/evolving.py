@@ -49,17 +49,17 @@ def with_fields(events: DataFrame, keys: Sequence[str], data: str = "data") -> D
     return events.withColumn("fields", fields).withColumn(data, rest)
 
 
-def evolve(events: DataFrame, dataset: str, run: str, number: int, share: float) -> DataFrame:
+def evolve(events: DataFrame, dataset: str, run: str, number: int, share: float, data: str = "data") -> DataFrame:
     """The events with their frequent keys as typed fields; notes the types. Reads the events once, staged."""
     kept = staged(events, "untyped")
-    types = staged(key_types(kept), "key-types")
+    types = staged(key_types(kept, data), "key-types")
     keys = frequent_keys(types, kept.count(), share)
     spark = events.sparkSession
     earlier = noted(spark, dataset, run)
     mine = types.filter(F.col("key").isin(keys)).select("key", "type").distinct()
     both = mine if earlier is None else mine.unionByName(earlier.select("key", "type")).distinct()
     both.coalesce(1).write.mode("overwrite").parquet(f"{dataset}/{TYPES}/{run}/{number % 2}")
-    return with_fields(kept, keys)
+    return with_fields(kept, keys, data)
 
 
 def noted(spark: SparkSession, dataset: str, run: str | None = None) -> DataFrame | None:
@@ -88,7 +88,7 @@ def read_typed(
 ) -> DataFrame:
     """Events with their fields as columns of one type each; only the columns of the fields asked for are read.
 
-    A key that some batch holds too rarely to promote is in that batch's map only (column ``data`` of ``read_events``).
+    A key that some batch holds too rarely to promote is in that batch's map only (``data``, or ``extra`` of a declared table, of ``read_events``).
     """
     types = field_types(spark, dataset)
     names = list(types) if names is None else list(names)
@@ -101,7 +101,7 @@ def read_typed(
 
     def column(name: str):
         if name not in stored:
-            return F.element_at("data", F.lit(name)).alias(name)
+            return F.element_at("data" if "data" in table.columns else "extra", F.lit(name)).alias(name)
         return as_type(F.col(f"fields.`{name}`"), types[name]).alias(name)
 
     return table.select("_time", "_date", *[column(n) for n in names])

@@ -324,3 +324,18 @@ def test_plans_of_statements_and_hosts(spark, tmp_path):
     finally:
         spark.conf.unset(key)
     assert plan.count("FileScan text") == 1 and "ReusedExchange" in plan
+
+
+def test_other_variables_of_an_access_log_are_typed(spark, tmp_path):
+    from loglake.sources.evolving import field_types, read_typed
+
+    lines = ["10.0.0.9 2031-07-19T21:40:08Z 200 5 0.25 5.1.0 -;", "10.0.0.8 2031-07-19T21:40:09Z 404 -7 4 5.2 -;"]
+    (tmp_path / "in.log").write_text("\n".join(lines) + "\n")
+    cfg = IngestConfig("access_log", [str(tmp_path / "in.log")], str(tmp_path / "out"), promote_share=0.5,
+                       format_options={"log_format": "$remote_addr $timestamp $status $upstream_status $upstream_time $version $gone;"})
+    run_batch(spark, cfg)
+    types = field_types(spark, str(tmp_path / "out"))
+    assert {k: types[k] for k in ("upstream_status", "upstream_time", "version")} == {"upstream_status": "bigint", "upstream_time": "double", "version": "string"}
+    rows = read_typed(spark, str(tmp_path / "out"), ["upstream_status", "upstream_time", "version"]).collect()
+    assert sorted((r.upstream_status, r.upstream_time, r.version) for r in rows) == [(-7, 4.0, "5.2"), (5, 0.25, "5.1.0")]
+    assert {str(r._time) for r in read_events(spark, str(tmp_path / "out")).collect()} == {"2031-07-19 21:40:08", "2031-07-19 21:40:09"}
