@@ -86,7 +86,8 @@ def test_counts_are_those_of_the_best_segmentation(spark, odd_docs, no_docs):
             state.append((top, min(n for s, n in options if s > top - 1e-9)))
         return state[-1][1]
 
-    rows = [(1, "the cat sat\non the  mat."), (2, "naïve ▁ 漢字 tail "), (3, ""), (4, None), (5, "antidisestablishment " * 50)]
+    rows = [(1, "the cat sat\non the  mat."), (2, "naïve ▁ 漢字 tail "), (3, ""), (4, None), (5, "antidisestablishment " * 50),
+            (6, "pre" * 40 + "▁é漢" + "establish" * 9), (7, "pre" * 40 + "▁é漢" + "ment" * 9), (8, "ab" * 32 + " " + "ab" * 32 + "c")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(df).collect()}
     assert got == {i: best(t) for i, t in rows}
@@ -104,3 +105,7 @@ def test_a_small_trie_counts_the_same():
     finally:
         token_counts.NODES = limit
     assert small == [one.add(w) for w in words]
+    both = token_counts.Trie(pieces)
+    both.put(words[:30])
+    both.put(words[20:])
+    assert [both.counts[w] for w in words] == small
