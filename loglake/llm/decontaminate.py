@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loglake.llm.arrays import LOWER, mix, span_hashes, text_slices, word_spans
+from loglake.llm.names import unused
 from loglake.session import staged
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -236,5 +237,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that contain no benchmark item."""
-    gone = contaminated(docs, benchmark).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    found = unused(docs, "_gone")
+    gone = contaminated(docs, benchmark).select(F.col("doc_id").alias(found)).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col(found), "left_anti")

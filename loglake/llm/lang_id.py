@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loglake.llm.arrays import text_slices
+from loglake.llm.names import unused
 from loglake.llm.sampling import held_out, labelled_sample
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -168,17 +169,19 @@ def predicted(text: Column, model: Model | None) -> Column:
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """The documents with lang_pred, score and rejected."""
-    named = docs.withColumn("_language", predicted(F.col("text"), model))
-    out = named.withColumns({name: F.col(f"_language.{name}") for name in ("lang_pred", "score", "rejected")})
-    return out.drop("_language")
+    """The documents with lang_pred, score and rejected, written over columns of these names."""
+    found = unused(docs, "_language")
+    named = docs.withColumn(found, predicted(F.col("text"), model))
+    out = named.withColumns({name: F.col(f"`{found}`.{name}") for name in ("lang_pred", "score", "rejected")})
+    return out.drop(found)
 
 
 def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
     """The documents whose prediction is not rejected, with their own columns only; all, without a model."""
     if model is None:
         return docs
-    return docs.withColumn("_language", predicted(F.col("text"), model)).filter("not _language.rejected").drop("_language")
+    found = unused(docs, "_language")
+    return docs.withColumn(found, predicted(F.col("text"), model)).filter(~F.col(f"`{found}`.rejected")).drop(found)
 
 
 def language_report(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -35,10 +35,12 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loglake.llm import cuckoo
+from loglake.llm.names import unused
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -85,8 +87,15 @@ def as_numbers(keys) -> np.ndarray:
     return np.frombuffer(b"".join(k[:8] for k in keys), dtype=np.uint64)
 
 
+_NOTE = "version int, shards int, min_chars int, min_docs int"
+
+
 class LineIndex:
-    """The state in a folder that all executors share; versions are folders, old ones stay."""
+    """The state in a folder that all executors share; versions are folders, old ones stay.
+
+    An index made on a folder that holds one goes on from it, with its shards and limits: each change
+    ends with a note of its version, written to two places in turn. What a lost change has left is written over.
+    """
 
     def __init__(self, spark: SparkSession, root: str, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
                  shards: int | None = None) -> None:
@@ -95,6 +104,24 @@ class LineIndex:
         self.shards = shards or max(SHARDS, int(spark.conf.get("spark.sql.shuffle.partitions")))
         self.min_chars, self.min_docs = min_chars, min_docs
         self.version = 0
+        known = self._noted()
+        if known is not None:
+            self.version, self.shards, self.min_chars, self.min_docs = known
+
+    def _noted(self) -> tuple | None:
+        """The newest note: version, shards and limits."""
+        reader = self.spark.read.schema(_NOTE).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+        try:
+            row = reader.parquet(f"{self.root}/notes").orderBy(F.desc("version")).first()
+        except AnalysisException as err:
+            if "PATH_NOT_FOUND" in str(err):
+                return None
+            raise
+        return None if row is None else tuple(row)
+
+    def _note(self) -> None:
+        row = self.spark.createDataFrame([(self.version, self.shards, self.min_chars, self.min_docs)], _NOTE)
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/notes/{self.version % 2}")
 
     def references(self) -> DataFrame:
         if not self.version:
@@ -126,11 +153,11 @@ class LineIndex:
 
     def _apply(self, changes: DataFrame) -> None:
         before, old_filters, first = self.counts(), self.filters(), not self.version
-        changes.write.parquet(f"{self.root}/references-{self.version + 1}")
+        changes.write.mode("overwrite").parquet(f"{self.root}/references-{self.version + 1}")
         self.version += 1
         live = self.references().groupBy("shard", "key", "doc_id").agg(F.sum("change").alias("n")).filter("n > 0")
         exact = live.groupBy("shard", "key").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_doc"))
-        exact.write.parquet(f"{self.root}/counts-{self.version}")
+        exact.write.mode("overwrite").parquet(f"{self.root}/counts-{self.version}")
         now = self.common(self.counts()).select("shard", "key")
         if first:
             moves = now.withColumn("kind", F.lit(1))
@@ -140,12 +167,13 @@ class LineIndex:
                 then.join(now, ["shard", "key"], "left_anti").withColumn("kind", F.lit(-1)))
         touched = moves.groupBy("shard").cogroup(old_filters.groupBy("shard")).applyInPandas(
             change_filter, "shard int, filter binary, full boolean").repartition("shard")
-        touched.write.parquet(f"{self.root}/changed-{self.version}")
+        touched.write.mode("overwrite").parquet(f"{self.root}/changed-{self.version}")
         touched = self.spark.read.parquet(f"{self.root}/changed-{self.version}")
         full = touched.filter("full").select("shard")
         rebuilt = now.join(full, "shard", "left_semi").groupBy("shard").applyInPandas(build_filter, "shard int, filter binary")
-        touched.filter("not full").select("shard", "filter").unionByName(rebuilt).write.parquet(
+        touched.filter("not full").select("shard", "filter").unionByName(rebuilt).write.mode("overwrite").parquet(
             f"{self.root}/filters-{self.version}")
+        self._note()
 
     def common(self, counts: DataFrame) -> DataFrame:
         return counts.filter(F.col("n_docs") >= self.min_docs)
@@ -163,12 +191,13 @@ class LineIndex:
         ``keys`` may be given where the keys of the documents are at hand.
         """
         keys = line_keys(docs, self.min_chars, self.shards) if keys is None else keys
-        gone = self.droppable(keys).withColumnRenamed("doc_id", "_id")
-        joined = docs.join(gone, F.col("doc_id").cast("long") == F.col("_id"), "left")
-        cut = joined.withColumn("_cut", cut_lines(self.min_chars)(F.col("text"), F.col("_gone")))
-        out = cut.withColumns({"text": F.when(F.col("text").isNotNull(), F.col("_cut.text")),
-                               "n_lines": F.col("_cut.n_lines"), "n_dropped": F.col("_cut.n_dropped")})
-        return out.drop("_id", "_gone", "_cut")
+        name, drop, cut = (unused(docs, n) for n in ("_id", "_gone", "_cut"))
+        gone = self.droppable(keys).withColumnsRenamed({"doc_id": name, "_gone": drop})
+        joined = docs.join(gone, F.col("doc_id").cast("long") == F.col(name), "left")
+        joined = joined.withColumn(cut, cut_lines(self.min_chars)(F.col("text"), F.col(drop)))
+        out = joined.withColumns({"text": F.when(F.col("text").isNotNull(), F.col(f"{cut}.text")),
+                                  "n_lines": F.col(f"{cut}.n_lines"), "n_dropped": F.col(f"{cut}.n_dropped")})
+        return out.drop(name, drop, cut)
 
 
 def change_filter(moves: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:

@@ -13,7 +13,8 @@ def odd_docs(spark):
         (8, "under the MIT License.\nApache-License version 2", "en", "s"),
     ]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    return df.withColumns({"score": F.lit("mine"), "kept": F.lit("mine"), "samples": F.lit(1), "lang_pred": F.lit("mine"), "key": F.lit("k")})
+    helpers = {c: F.lit("mine") for c in ("_id", "_gone", "_gone_", "_cut", "_language", "_text", "_key", "_gone_id", "text_hash", "component_id", "node", "rep")}
+    return df.withColumns(helpers).withColumns({"score": F.lit("mine"), "kept": F.lit("mine"), "samples": F.lit(1), "lang_pred": F.lit("mine"), "key": F.lit("k")})
 
 
 @pytest.fixture(scope="session")

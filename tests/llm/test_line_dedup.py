@@ -66,3 +66,17 @@ def test_filter_never_forgets_and_deletes_what_it_was_given():
     cuckoo.delete(table, keys[:1500])
     assert cuckoo.contains(table, keys[1500:]).all() and cuckoo.contains(table, keys[:1500]).mean() < 0.01
     assert cuckoo.changed(cuckoo.to_bytes(cuckoo.built(keys[:10])), keys[10:], keys[:0]) is None
+
+
+def test_an_index_goes_on_in_another_object(spark):
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    root, rows = fresh_path(spark, "t"), rows_with(range(1, 15))
+    line_dedup.LineIndex(spark, root, shards=4).insert(frame(rows[:8]))
+    line_dedup.LineIndex(spark, root).insert(frame(rows[8:]))
+    # A change that was lost on its way: its files lie there, its note does not.
+    frame(rows[:1]).write.parquet(f"{root}/references-3")
+    third = line_dedup.LineIndex(spark, root)
+    assert (third.version, third.shards) == (2, 4)
+    third.delete(frame(rows[10:]).select("doc_id"))
+    again = line_dedup.LineIndex(spark, root)
+    assert again.version == 3 and cleaned(again.clean(frame(rows[:10]))) == brute(rows[:10])
