@@ -5,13 +5,15 @@ A document is the set of its distinct word shingles. Each set gets ``HASHES`` mi
 mixed minima, packed into longs, give a similarity estimate by counting bits, corrected for
 the chance that two different minima share their low bits. The minima are mixed before the
 bits are taken: the low bits of the images themselves differ in all lanes or in none. Pairs
-above the estimate's bound are confirmed on the full sets; so are all pairs of sets of at most
-``SMALL_SET`` shingles, of sizes that can be similar, with a leader or inside a small bucket.
+above the estimate's bound are confirmed on the full sets; so are, in every bucket, all pairs of sets of at most
+``SMALL_SET`` shingles, of sizes that can be similar.
 
-Equal sets are one class before any pairing, so copies make no pairs. Inside a bucket,
-members are first compared with one leader only. What that leaves apart is compared
+Equal sets are one class before any pairing, so copies make no pairs. A class is named by its
+smallest doc_id; where several classes have the same one, as rows share a doc_id and differ in text, by a
+hash of its set. At the end a component takes the smallest doc_id of its classes. Inside a bucket, members are first compared with one leader only. What that leaves apart is compared
 more when their estimate is high, and at last every pair of a bucket that is still in two
-components is compared. In large buckets a pair is left out only if it cannot be similar:
+components is compared; a pair that shares several bands is made in the first of them only.
+In large buckets a pair is left out only if it cannot be similar:
 shingles that no other set has bound what two sets can share. So no candidate link
 between components is lost, while a large group of near copies is mostly joined by its
 leaders.
@@ -21,7 +23,8 @@ bound of the estimate, 4 standard deviations below, with one of 3e-5.
 
 Defined cases: a NULL or wordless text has no shingles and links with nothing; a NULL
 doc_id links with nothing either, its component is NULL and it is kept. Rows of one
-doc_id are rows of their own with the same name. Other columns are not looked at.
+doc_id are rows of their own with the same name. Very long texts are read whole, in slices. An empty table
+gives no row. Other columns are not looked at; ``keep_one`` returns them.
 """
 
 from __future__ import annotations
@@ -43,7 +46,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROWS, BANDS, BITS = 5, 30, 2
 SMALL_BUCKET = 64
-SMALL_SET = 64
+SMALL_SET = 16
+SETS_AT_ONCE = 500
 HASHES = 256
 LANES = 64 // BITS
 LONGS = -(-HASHES // LANES)
@@ -54,7 +58,7 @@ MASKS = _draw.integers(0, 1 << 32, HASHES, dtype=np.uint32)
 FACTORS = _draw.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 BAND_FACTORS = _draw.integers(0, 1 << 63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-SIGNATURE = "doc_id long, n_shingles long, s1 long, s2 long, bits array<long>, bands array<long>"
+SIGNATURE = "doc_id long, text_hash long, n_shingles long, s1 long, s2 long, bits array<long>, bands array<long>"
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -100,7 +104,7 @@ def band_keys(smallest: np.ndarray) -> np.ndarray:
 def signatures(docs: DataFrame, size: int) -> DataFrame:
     """One row per document: size and 128-bit hash of its set, packed low bits, band keys."""
     schema = pa.schema([
-        ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()),
+        ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()),
         ("bits", pa.list_(pa.int64())), ("bands", pa.list_(pa.int64())),
     ])
 
@@ -108,37 +112,46 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
         room = np.empty((HASHES, 128), dtype=np.uint32)
         for batch in batches:
             counts, one, two, bits, bands = [], [], [], [], []
-            for _, hashes in shingle_sets(batch.column(1), size):
+            for _, hashes in shingle_sets(batch.column(2), size):
                 counts.append(len(hashes))
+                first, second = set_hash(hashes)
+                one.append(first), two.append(second)
                 if not len(hashes):
-                    one.append(0), two.append(0), bits.append(None), bands.append(None)
+                    bits.append(None), bands.append(None)
                     continue
-                odd = hashes * np.uint64(0xD6E8FEB86659FD93)
-                one.append(int(np.bitwise_xor.reduce(odd ^ (odd >> np.uint64(32))).view(np.int64)))
-                two.append(int(hashes.sum(dtype=np.uint64).view(np.int64)))
                 smallest = minima(hashes, room)
                 bits.append(packed(smallest))
                 bands.append(band_keys(smallest))
             yield pa.record_batch(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
+                [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
                  pa.array(bits, pa.list_(pa.int64())), pa.array(bands, pa.list_(pa.int64()))], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, SIGNATURE)
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(sign, SIGNATURE)
+
+
+def set_hash(hashes: np.ndarray) -> tuple[int, int]:
+    """128 bits that stand for a set; zeros for the empty one."""
+    if not len(hashes):
+        return 0, 0
+    odd = hashes * np.uint64(0xD6E8FEB86659FD93)
+    return int(np.bitwise_xor.reduce(odd ^ (odd >> np.uint64(32))).view(np.int64)), int(hashes.sum(dtype=np.uint64).view(np.int64))
 
 
 def full_sets(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id and the whole set of shingle hashes."""
+    """(s1, s2, shingles): the whole set of shingle hashes of every row, and its hash."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lengths, values = [0], []
-            for _, hashes in shingle_sets(batch.column(1), size):
+        for batch in (b.slice(k, SETS_AT_ONCE) for b in batches for k in range(0, b.num_rows, SETS_AT_ONCE)):
+            lengths, values, marks = [0], [], []
+            for _, hashes in shingle_sets(batch.column(0), size):
                 values.append(hashes.view(np.int64))
                 lengths.append(lengths[-1] + len(hashes))
+                marks.append(set_hash(hashes))
             flat = np.concatenate(values) if values else np.zeros(0, np.int64)
             sets = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat))
-            yield pa.record_batch([batch.column(0), sets], names=["rep", "shingles"])
+            one, two = ([m[k] for m in marks] for k in (0, 1))
+            yield pa.record_batch([pa.array(one, pa.int64()), pa.array(two, pa.int64()), sets], names=["s1", "s2", "shingles"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(make, "rep long, shingles array<long>")
+    return docs.select("text").mapInArrow(make, "s1 long, s2 long, shingles array<long>")
 
 
 def estimate(a: Column, b: Column) -> Column:
@@ -172,14 +185,19 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def classes(signed: DataFrame) -> DataFrame:
-    """One row per distinct non-empty set, named by its smallest doc_id."""
+    """One row per distinct non-empty set: its smallest doc_id ``d`` and its name ``rep``."""
     held = F.struct("bits", "bands")
-    return (
+    sets = (
         signed.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
         .groupBy("s1", "s2", "n_shingles")
-        .agg(F.min("doc_id").alias("rep"), F.min_by(held, "doc_id").alias("held"))
-        .select("rep", "s1", "s2", "n_shingles", "held.bits", "held.bands")
+        .agg(F.min("doc_id").alias("d"), F.min_by(held, "doc_id").alias("held"))
+        .select("d", "s1", "s2", "n_shingles", "held.bits", F.array_sort("held.bands").alias("bands"))
     )
+    sets = staged(sets, "near-sets-found")
+    # Few doc_ids, if any, stand for several sets.
+    several = sets.groupBy("d").agg(F.count("*").alias("n")).filter("n > 1").select("d", F.lit(True).alias("several"))
+    name = F.when(F.col("several"), F.xxhash64("s1", "s2", "n_shingles")).otherwise(F.col("d"))
+    return sets.join(several, "d", "left").select(name.alias("rep"), "d", "s1", "s2", "n_shingles", "bits", "bands")
 
 
 def linked(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -188,10 +206,11 @@ def linked(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFra
     entries = reps.select("rep", F.explode("bands").alias("key"))
     shared = entries.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     members = staged(entries.join(shared, "key"), "near-members")
-    nodes = members.select(F.col("rep").alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(nodes, "doc_id", "left_semi")
-    sets = staged(full_sets(texts, size).dropDuplicates(["rep"]), "near-sets")
-    signs = staged(reps.join(nodes.withColumnRenamed("doc_id", "rep"), "rep", "left_semi").select("rep", "bits", "n_shingles"), "near-bits")
+    nodes = members.select("rep").distinct()
+    wanted = staged(reps.join(nodes, "rep", "left_semi").select("rep", "d", "s1", "s2"), "near-wanted")
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(wanted.select(F.col("d").alias("doc_id")), "doc_id", "left_semi")
+    sets = staged(full_sets(texts, size).join(wanted, ["s1", "s2"]).dropDuplicates(["rep"]).select("rep", "shingles"), "near-sets")
+    signs = staged(reps.join(nodes, "rep", "left_semi").select("rep", "bits", "n_shingles", "bands"), "near-bits")
     close = bound(percent / 100.0)
     parts = spark.createDataFrame([], "node long, component long")
     open_rows = members.select("key", "rep", F.col("rep").alias("component"))
@@ -210,7 +229,7 @@ def linked(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFra
             many = staged(sized.filter(F.col("n") > SMALL_BUCKET), "near-large")
             if room is None:  # members only leave large buckets, so later rounds need no other bounds
                 room = staged(shared_sizes(sets.join(many.select("rep").distinct(), "rep", "left_semi")), "near-shared")
-            pairs = all_pairs(few, least, percent, least == close).unionByName(all_pairs(many.join(room, "rep"), least, percent)).distinct()
+            pairs = all_pairs(few, least, percent).unionByName(all_pairs(many.join(room, "rep"), least, percent))
         found = confirmed(staged(pairs, "near-pairs"), sets, percent)
         # What is joined already goes on as one link from each node to its component.
         links = parts.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(found)
@@ -237,11 +256,15 @@ def leader_pairs(rows: DataFrame) -> DataFrame:
 
 
 def shared_sizes(sets: DataFrame) -> DataFrame:
-    """(rep, size, shared): size of each set, and how many of its shingles any other of these sets has."""
+    """(rep, size, shared): size of each set, and how many of its shingles any other of these sets has.
+
+    Counted the other way round, by the shingles that only one set has, so nothing is joined by shingle.
+    """
     tokens = sets.select("rep", F.explode("shingles").alias("token"))
-    common = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1").select("token")
-    held = tokens.join(common, "token").groupBy("rep").agg(F.count("*").cast("int").alias("shared"))
-    return sets.select("rep", F.size("shingles").alias("size")).join(held, "rep")
+    alone = tokens.groupBy("token").agg(F.count("*").alias("df"), F.min("rep").alias("rep")).filter("df = 1")
+    own = alone.groupBy("rep").agg(F.count("*").cast("int").alias("own"))
+    sized = sets.select("rep", F.size("shingles").alias("size")).join(own, "rep", "left")
+    return sized.select("rep", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("shared")).filter("shared > 0")
 
 
 def small_pair(a: str, b: str, percent: int) -> Column:
@@ -250,34 +273,42 @@ def small_pair(a: str, b: str, percent: int) -> Column:
     return (few <= SMALL_SET) & (F.least(a, b) * 100 >= few * percent)
 
 
-def all_pairs(rows: DataFrame, least: float, percent: int, small: bool = False) -> DataFrame:
-    """Pairs of a bucket that lie in two components, are estimated to be close, and have room to be.
+def all_pairs(rows: DataFrame, least: float, percent: int) -> DataFrame:
+    """Pairs of a bucket that lie in two components, are estimated to be close or are small, and have room to be close.
 
-    Two sets can share no more than what each has in common with any set at all. With ``small``,
-    small sets need no estimate.
+    Two sets can share no more than what each has in common with any set at all. Of the buckets that
+    two sets share, all of which are open as long as they are apart, the first makes the pair.
     """
     one, two = (
-        rows.select(*(F.col(c).alias(f"{c}_{x}") for c in ("key", "rep", "component", "bits", "n_shingles", "size", "shared"))) for x in "ab"
+        rows.select(*(F.col(c).alias(f"{c}_{x}") for c in ("key", "rep", "component", "bits", "bands", "n_shingles", "size", "shared"))) for x in "ab"
     )
     c = F.col
     room = F.least("shared_a", "shared_b") * (100 + percent) >= (c("size_a") + c("size_b")) * percent
     near = (c("component_a") != c("component_b")) & (c("rep_a") < c("rep_b")) & room
-    likely = estimate(c("bits_a"), c("bits_b")) >= F.lit(least)
-    near = near & (likely | small_pair("n_shingles_a", "n_shingles_b", percent) if small else likely)
-    return one.join(two, (c("key_a") == c("key_b")) & near).select(c("rep_a").alias("a"), c("rep_b").alias("b"))
+    likely = (estimate(c("bits_a"), c("bits_b")) >= F.lit(least)) | small_pair("n_shingles_a", "n_shingles_b", percent)
+    first = F.array_min(F.array_intersect("bands_a", "bands_b")) == c("key_a")
+    return one.join(two, (c("key_a") == c("key_b")) & near & likely & first).select(c("rep_a").alias("a"), c("rep_b").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row of ``docs``."""
+    return marked(docs, size, percent).drop("text_hash")
+
+
+def marked(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``near_duplicates`` with a hash of the row's text."""
     signed = staged(signatures(docs, size), "near-signatures")
     reps = staged(classes(signed), "near-classes")
     parts = linked(reps, docs, size, percent)
-    named = reps.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.select("s1", "s2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-    out = signed.select("doc_id", "n_shingles", "s1", "s2").join(named, ["s1", "s2", "n_shingles"], "left")
+    linked_reps = staged(reps.select("rep", "d").join(parts.withColumnRenamed("node", "rep"), "rep"), "near-parts")
+    smallest = linked_reps.groupBy("component").agg(F.min("d").alias("least"))
+    of_rep = linked_reps.join(smallest, "component").select("rep", "least")
+    named = reps.select("rep", "d", "s1", "s2", "n_shingles").join(of_rep, "rep", "left")
+    named = named.select("s1", "s2", "n_shingles", F.coalesce("least", "d").alias("component_id"))
+    out = signed.select("doc_id", "text_hash", "n_shingles", "s1", "s2").join(named, ["s1", "s2", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select(
-        "doc_id", "n_shingles", component.alias("component_id"),
+        "doc_id", "text_hash", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
 
@@ -285,7 +316,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The documents without the near copies of others: the smallest doc_id of each group stays.
 
-    Rows that repeat the doc_id that stays, and rows without a doc_id, stay as they are.
+    Rows that repeat the doc_id that stays, and rows without a doc_id, stay as they are. A row goes by its
+    doc_id and text, so a row of another text that has the same doc_id is not taken along.
     """
-    gone = near_duplicates(docs, size, percent).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    gone = marked(docs, size, percent).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone_id"), "text_hash").distinct()
+    same = (docs["doc_id"].cast("long") == gone["_gone_id"]) & (F.xxhash64(docs["text"]) == gone["text_hash"])
+    return docs.join(gone, same, "left_anti")

@@ -66,6 +66,37 @@ def test_odd_rows(odd_docs, no_docs):
     assert near_dup.near_duplicates(no_docs).count() == 0
 
 
+def test_rows_of_one_id_are_rows_of_their_own(spark):
+    draw = random.Random(9)
+    text = lambda: " ".join("".join(draw.choice("abcdefgh") for _ in range(5)) for _ in range(60))
+    a, b = text(), text()
+    near = a + " tail"
+    for rows in ([(1, b), (1, a), (2, near)], [(1, a), (1, b), (2, near)], [(2, near), (1, a), (1, b)]):
+        df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        assert result(df, 4) == brute(rows, 4)
+    rows = [(5, a), (6, near), (6, b), (6, b), (None, a)]
+    kept = near_dup.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("5", a), ("6", b), ("6", b), ("None", a)])
+
+
+def test_a_pair_is_made_once_whatever_its_buckets(spark, monkeypatch):
+    draw = random.Random(10)
+    base = ["".join(draw.choice("abcdefgh") for _ in range(5)) for _ in range(100)]
+    rows = []
+    for k in range(120):
+        copy = list(base)
+        for place in draw.sample(range(100), 3 + k % 4):
+            copy[place] = f"own{k}x{place}"
+        rows.append((k, " ".join(copy)))
+    monkeypatch.setattr(near_dup, "SMALL_BUCKET", 10)
+    seen = []
+    real = near_dup.all_pairs
+    monkeypatch.setattr(near_dup, "all_pairs", lambda *a: seen.append(real(*a)) or seen[-1])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(df, 4) == brute(rows, 4) and seen
+    assert all(s.count() == s.distinct().count() for s in seen)
+
+
 def test_estimate_is_close_to_the_truth(spark):
     draw = random.Random(5)
     a = [str(draw.random()) for _ in range(600)]
