@@ -25,7 +25,7 @@ has the same samples wherever and how often it is computed.
 Defined cases: a NULL text is an empty one. A text is read with a blank before it, so the
 empty text has the one segmentation of that blank. Fewer than ``k`` segmentations are all
 returned. A NULL row key is a key like any other. Rows of equal key and text get equal
-samples. Texts are taken whole, however long.
+samples. Texts are taken whole, however long. An empty table gives no row. Other columns stay, but for one named ``samples``.
 """
 
 from __future__ import annotations
@@ -37,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,7 +49,8 @@ from loglake.llm.pieces import CHUNK, MARK, MODEL_PATH, STEP, Pieces, PieceTable
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SLICE_CHARS = 1 << 19
-ROWS_AT_ONCE = 500
+# Room and slices of ``encode``, whose results are large.
+SMALL_SHARE, SMALL_SLICE = 0.5, 1 << 17
 GOLDEN = 0x9E3779B97F4A7C15
 ALL = (1 << 64) - 1
 
@@ -64,8 +66,10 @@ class Lattice:
 
     EDGES, NODES = 3_000_000, 1_000_000
 
-    def __init__(self, pieces: Pieces, table: PieceTable) -> None:
+    def __init__(self, pieces: Pieces, table: PieceTable, share: float = 1.0) -> None:
         self.pieces, self.table = pieces, table
+        # With a smaller share of the room chunks are forgotten earlier; results do not depend on that.
+        self.EDGES, self.NODES = int(share * Lattice.EDGES), int(share * Lattice.NODES)
         self.byte_ids = np.array(pieces.byte_ids, np.int32)
         self.score = np.full(len(pieces.texts), -np.inf)
         for text, number in pieces.ids.items():
@@ -335,13 +339,13 @@ def piece_ids(lattice: Lattice, path: np.ndarray) -> np.ndarray:
     return np.array([i for part in spelled for i in part], np.int32)
 
 
-def sampled(texts: list[str | None], keys: list, k: int, lattice: Lattice, seed: int):
+def sampled(texts: list[str | None], keys: list, k: int, lattice: Lattice, seed: int, slice_chars: int = SLICE_CHARS):
     """For every text, in order: its samples as (ids, log probability, inclusion score)."""
     texts = [t or "" for t in texts]
     row = 0
     while row < len(texts):
         end, size = row, 0
-        while end < len(texts) and (end == row or size + len(texts[end]) <= SLICE_CHARS):
+        while end < len(texts) and (end == row or size + len(texts[end]) <= slice_chars):
             size += len(texts[end])
             end += 1
         seeds = [seed_of(seed, -1 if key is None else zlib.crc32(str(key).encode()), zlib.adler32(str(key).encode())) for key in keys[row:end]]
@@ -369,6 +373,14 @@ def sample_array(rows) -> pa.Array:
     return pa.ListArray.from_arrays(ends(counts), structs)
 
 
+def runs_of_bytes(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
+    """First row and number of rows of runs of about ``limit`` bytes of text; a longer text is a run of its own."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0), np.int64)
+    run = (np.cumsum(sizes) - sizes) // limit
+    first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]])) if len(sizes) else np.zeros(0, np.int64)
+    yield from zip(first.tolist(), np.diff(np.append(first, len(sizes))).tolist(), strict=True)
+
+
 def encode(docs: DataFrame, k: int = 2, seed: int = 1, path: str = MODEL_PATH, key: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
     """The documents, or their ``keep`` columns, with ``samples``: up to k distinct segmentations, best key first."""
     pieces = load(path)
@@ -376,14 +388,14 @@ def encode(docs: DataFrame, k: int = 2, seed: int = 1, path: str = MODEL_PATH, k
     names = [c for c in docs.columns if c != "samples"] if keep is None else keep
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(pieces, table)
+        lattice = Lattice(pieces, table, SMALL_SHARE)
         for batch in batches:
-            for row in range(0, batch.num_rows, ROWS_AT_ONCE):
-                part = batch.slice(row, ROWS_AT_ONCE)
-                samples = sample_array(sampled(part.column(1).to_pylist(), part.column(0).to_pylist(), k, lattice, seed))
+            for row, size in runs_of_bytes(batch.column(1), SMALL_SLICE):
+                part = batch.slice(row, size)
+                samples = sample_array(sampled(part.column(1).to_pylist(), part.column(0).to_pylist(), k, lattice, seed, SMALL_SLICE))
                 yield pa.RecordBatch.from_arrays([*part.columns[2:], samples], names=[*names, "samples"])
 
-    rows = docs.select(F.col(key).alias("_key"), F.col("text").alias("_text"), *names)
+    rows = docs.select(F.col(key).alias("key of the row"), F.col("text").alias("text of the row"), *names)
     schema = T.StructType([*rows.select(*names).schema.fields, T.StructField("samples", T._parse_datatype_string(SAMPLES))])
     return rows.mapInArrow(draw, schema)
 
