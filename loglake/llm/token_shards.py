@@ -2,12 +2,12 @@
 
 Documents are encoded with a public byte-level vocabulary. The ids of a scan partition are
 one stream, each document followed by an end mark, cut into sequences of ``length`` ids; the
-last one is filled with end marks. Sequences are written once, compressed; their number per
+last one is filled with end marks. Sequences are written once, compressed in blocks; their number per
 partition gives every sequence its place in 0 .. n - 1.
 
 A keyed Feistel permutation of the next power of four, walked on while it leaves 0 .. n - 1,
 maps places to global slots: a shuffle in training order that needs no table, and can be
-computed for one sequence alone. Slots are dealt by range; each task writes whole shards,
+computed for one sequence alone. Slots are dealt by range, in the one shuffle there is, by shard; each task holds one shard at a time and writes it whole,
 ``per_shard`` slots of ``length`` 16-bit little-endian ids after one another. So slot s
 stands in shard s // per_shard at byte (s % per_shard) * length * 2, and a training job that
 stopped at slot s reads on from there. A shard is written under another name and then
@@ -16,8 +16,9 @@ renamed, and its bytes follow from the input alone, so a task that runs twice do
 The order of the sequences before the permutation is that of the scan, which is fixed by
 the files and by how the session cuts them; the written sequences are what later steps use.
 
-Defined cases: a NULL or empty text is an end mark. An empty table gives no shard. The last
-shard may be shorter. Ids must fit in 16 bits.
+Defined cases: a NULL or empty text is an end mark. Repeated rows are written each. A very long text runs
+on over as many sequences as it needs. No two sequences have one place, so there are no ties. An empty table gives no shard. The last
+shard may be shorter. Ids must fit in 16 bits. Columns other than the text are not looked at.
 """
 
 from __future__ import annotations
@@ -44,6 +45,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 VOCABULARY_PATH = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END_MARK = 50256
 LENGTH, PER_SHARD = 2048, 1024
+# Sequences compressed together, blocks dealt to shards at once, and the level of compression.
+BLOCK, DEALT_BLOCKS, LEVEL = 16, 128, 6
 ROUNDS = 4
 # Fixed value: how this vocabulary cuts texts before merging bytes.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -82,20 +85,25 @@ def feistel(places: np.ndarray, n: int, key: int) -> np.ndarray:
 
 
 def sequences(docs: DataFrame, make_encoder: Callable, length: int, end_mark: int) -> DataFrame:
-    """(part, local, n_tokens, body): the streams of all partitions, cut and compressed."""
+    """(part, local, n, last, body): the streams of all partitions, cut; ``BLOCK`` sequences compressed together.
+
+    ``local`` numbers the first sequence of a row in its partition; all are full but the last, which has ``last`` ids.
+    """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, pack = make_encoder(), zstandard.ZstdCompressor(level=3).compress
+        encode, pack = make_encoder(), zstandard.ZstdCompressor(level=LEVEL).compress
         part, local = TaskContext.get().partitionId(), 0
         rest = np.zeros(0, "<u2")
 
-        def rows(stream: np.ndarray, real: int) -> pa.RecordBatch:
+        def rows(stream: np.ndarray, last: int) -> pa.RecordBatch:
             nonlocal local
             n = len(stream) // length
-            bodies = [pack(stream[k * length : (k + 1) * length].tobytes()) for k in range(n)]
-            numbers = pa.array(np.arange(local, local + n))
+            firsts = np.arange(0, n, BLOCK)
+            sizes = np.minimum(BLOCK, n - firsts)
+            bodies = [pack(stream[k * length : (k + size) * length].tobytes()) for k, size in zip(firsts, sizes, strict=True)]
+            ends = np.where(firsts + sizes == n, last, length)
+            out = [pa.array([part] * len(firsts), pa.int32()), pa.array(local + firsts), pa.array(sizes, pa.int32()), pa.array(ends, pa.int32()), pa.array(bodies, pa.binary())]
             local += n
-            return pa.record_batch([pa.array([part] * n, pa.int32()), numbers, pa.array([real] * n, pa.int32()), pa.array(bodies, pa.binary())],
-                                   names=["part", "local", "n_tokens", "body"])
+            return pa.record_batch(out, names=["part", "local", "n", "last", "body"])
 
         for batch in batches:
             held, size = [rest], len(rest)
@@ -104,21 +112,18 @@ def sequences(docs: DataFrame, make_encoder: Callable, length: int, end_mark: in
                 ids.append(end_mark)
                 held.append(np.array(ids, np.int64))
                 size += len(ids)
-                if size >= length * 256:
+                if size >= length * 4 * BLOCK:
                     stream = checked(np.concatenate(held))
-                    whole = len(stream) // length * length
+                    whole = len(stream) // (length * BLOCK) * length * BLOCK
                     yield rows(stream[:whole], length)
                     held, size = [stream[whole:]], len(stream) - whole
             rest = checked(np.concatenate(held))
-        whole = len(rest) // length * length
-        if whole:
-            yield rows(rest[:whole], length)
-        if len(rest) > whole:
-            last = np.full(length, end_mark, "<u2")
-            last[: len(rest) - whole] = rest[whole:]
-            yield rows(last, len(rest) - whole)
+        if len(rest):
+            full = np.full(-(-len(rest) // length) * length, end_mark, "<u2")
+            full[: len(rest)] = rest
+            yield rows(full, len(rest) - len(full) + length)
 
-    return docs.select("text").mapInArrow(cut, "part int, local long, n_tokens int, body binary")
+    return docs.select("text").mapInArrow(cut, "part int, local long, n int, last int, body binary")
 
 
 def checked(ids: np.ndarray) -> np.ndarray:
@@ -127,59 +132,89 @@ def checked(ids: np.ndarray) -> np.ndarray:
     return ids.astype("<u2")
 
 
-def placed(cut: DataFrame, key: int) -> tuple[DataFrame, int]:
-    """The sequences with their place and global slot; their number."""
-    counts = sorted(tuple(r) for r in cut.groupBy("part").count().collect())  # a row for each partition
-    starts, n = [], 0
+def starts_of(cut: DataFrame) -> tuple[np.ndarray, int]:
+    """Place of the first sequence of every partition of the scan, and the number of all: one number a partition."""
+    counts = sorted(tuple(r) for r in cut.groupBy("part").agg(F.sum("n")).collect())
+    starts = np.zeros(counts[-1][0] + 1 if counts else 1, np.int64)
+    n = 0
     for part, count in counts:
-        starts.append((part, n))
+        starts[part] = n
         n += count
-    first = cut.sparkSession.createDataFrame(starts, "part int, first long")
+    return starts, n
 
-    @F.arrow_udf("long")
-    def slot(places: pa.Array) -> pa.Array:
-        return pa.array(feistel(places.to_numpy(), n, key))
 
-    numbered = cut.join(first, "part").withColumn("seq_no", F.col("first") + F.col("local"))
-    return numbered.select("seq_no", slot("seq_no").alias("slot"), "n_tokens", "body"), n
+_DEALT = "shard long, slots array<long>, places array<long>, sizes array<int>, body binary"
+_WRITTEN = "seq_no long, slot long, shard long, byte_offset long, n_tokens int, crc32 long"
 
 
 def write_shards(docs: DataFrame, root: str, make_encoder: Callable | None = None, key: int = 1, length: int = LENGTH,
                  per_shard: int = PER_SHARD, end_mark: int = END_MARK) -> DataFrame:
-    """Write all shards below ``root``; seq_no, slot, shard, byte_offset, n_tokens, crc32 of every sequence."""
+    """Write all shards below ``root``; seq_no, slot, shard, byte_offset, n_tokens, crc32 of every sequence.
+
+    The shards are written once, by this call; the result is the written manifest. The layout, without
+    which ``read_slots`` reads nothing, comes last: a run that was lost leaves none.
+    """
     spark = docs.sparkSession
     cut = staged(sequences(docs, make_encoder or bpe_encoder(), length, end_mark), "token-sequences")
-    rows, n = placed(cut, key)
+    starts, n = starts_of(cut)
     shards = max(1, -(-n // per_shard))
     layout = {"n": n, "length": length, "per_shard": per_shard, "key": key, "end_mark": end_mark}
+    stride = 2 * length
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sequences by shard: those of a few blocks that go into one shard are one row."""
+        unpack, pack = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=LEVEL).compress
+        names = [c.split()[0] for c in _DEALT.split(", ")]
+        for batch in batches:
+            for begin in range(0, batch.num_rows, DEALT_BLOCKS):
+                rows = batch.slice(begin, DEALT_BLOCKS).to_pylist()
+                bodies = np.frombuffer(b"".join(unpack(r["body"]) for r in rows), "<u2").reshape(-1, length)
+                places = np.concatenate([starts[r["part"]] + r["local"] + np.arange(r["n"]) for r in rows])
+                sizes = np.full(len(places), length, np.int32)
+                sizes[np.cumsum([r["n"] for r in rows]) - 1] = [r["last"] for r in rows]
+                slots = feistel(places, n, key)
+                order = np.argsort(slots, kind="stable")
+                slots, places, sizes, bodies = slots[order], places[order], sizes[order], bodies[order]
+                at = np.flatnonzero(np.concatenate([[True], slots[1:] // per_shard != slots[:-1] // per_shard])).tolist() + [len(slots)]
+                spans = list(zip(at[:-1], at[1:], strict=True))
+                columns = [
+                    pa.array([int(slots[a]) // per_shard for a, _ in spans], pa.int64()),
+                    *[pa.array([v[a:b] for a, b in spans], pa.list_(kind)) for v, kind in ((slots, pa.int64()), (places, pa.int64()), (sizes, pa.int32()))],
+                    pa.array([pack(bodies[a:b].tobytes()) for a, b in spans], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        held, current = [], None
+        held: list[tuple[int, int, int, bytes]] = []
+        current = None
 
-        def close() -> None:
+        def close() -> Iterator[pa.RecordBatch]:
             if held:
-                save(f"{root}/shard-{current:08d}.bin", b"".join(held))
+                held.sort()
+                save(f"{root}/shard-{current:08d}.bin", b"".join(h[3] for h in held))
+                slots = np.array([h[0] for h in held])
+                yield pa.record_batch(
+                    [pa.array([h[1] for h in held]), pa.array(slots), pa.array(slots // per_shard), pa.array(slots % per_shard * stride),
+                     pa.array([h[2] for h in held], pa.int32()), pa.array([zlib.crc32(h[3]) for h in held], pa.int64())],
+                    names=[c.split()[0] for c in _WRITTEN.split(", ")])
                 held.clear()
 
         for batch in batches:
-            slots, sums = batch.column("slot").to_numpy(), []
-            for slot, body in zip(slots.tolist(), batch.column("body"), strict=True):
-                if slot // per_shard != current:
-                    close()
-                    current = slot // per_shard
-                held.append(unpack(body.as_py()))
-                sums.append(zlib.crc32(held[-1]))
-            yield pa.record_batch(
-                [batch.column("seq_no"), batch.column("slot"), pa.array(slots // per_shard), pa.array(slots % per_shard * length * 2),
-                 batch.column("n_tokens"), pa.array(sums, pa.int64())], names=["seq_no", "slot", "shard", "byte_offset", "n_tokens", "crc32"])
-        close()
-
-    dealt = rows.repartitionByRange(min(shards, int(spark.conf.get("spark.sql.shuffle.partitions"))), F.floor(F.col("slot") / per_shard))
-    written = dealt.sortWithinPartitions("slot").mapInArrow(
-        write, "seq_no long, slot long, shard long, byte_offset long, n_tokens int, crc32 long")
+            for row in batch.to_pylist():
+                if row["shard"] != current:
+                    yield from close()
+                    current = row["shard"]
+                body = unpack(row["body"])
+                held += [(s, p, t, body[k * stride : (k + 1) * stride]) for k, (s, p, t) in enumerate(zip(row["slots"], row["places"], row["sizes"], strict=True))]
+        yield from close()
+
+    # Slots are 0 .. n - 1, so the borders of equal ranges are known without a look at the rows.
+    parts = min(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    of_range = F.floor(F.col("shard") * parts / shards).cast("int")
+    dealt = cut.mapInArrow(deal, _DEALT).repartitionById(parts, of_range).sortWithinPartitions("shard")
+    manifest = staged(dealt.mapInArrow(write, _WRITTEN), "token-manifest")
     save(f"{root}/layout.json", json.dumps(layout).encode())
-    return written
+    return manifest
 
 
 def file_system(path: str) -> tuple[pyarrow.fs.FileSystem, str]:

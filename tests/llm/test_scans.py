@@ -1,7 +1,9 @@
+import os
 import random
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from loglake.llm import licences, token_shards, topk
@@ -119,3 +121,30 @@ def test_shards_hold_every_sequence_once(spark, odd_docs, no_docs, tmp_path):
     part = token_shards.read_slots(spark, root, 20, 37).collect()
     assert sorted(r.slot for r in part) == list(range(20, 37)) and all(back[r.slot] == r.ids for r in part)
     assert token_shards.write_shards(no_docs, fresh_path(spark, "shards")).count() == 0
+
+
+def test_a_lost_run_leaves_no_layout(spark, odd_docs):
+    root = fresh_path(spark, "lost-shards")
+
+    def broken():
+        encode = token_shards.bpe_encoder()()
+
+        def read(text):
+            if text.startswith("one"):
+                raise RuntimeError("lost")
+            return encode(text)
+
+        return read
+
+    with pytest.raises(Exception, match="lost"):
+        token_shards.write_shards(odd_docs, root, make_encoder=lambda: broken())
+    with pytest.raises(FileNotFoundError):
+        token_shards.read_slots(spark, root, 0, 10)
+
+
+def test_shards_are_written_once(spark, odd_docs):
+    root = fresh_path(spark, "shards-once")
+    rows = token_shards.write_shards(odd_docs, root, length=64, per_shard=16)
+    before = {f: os.stat(f"{root}/{f}").st_mtime_ns for f in os.listdir(root)}
+    assert rows.count() == len(rows.collect())
+    assert {f: os.stat(f"{root}/{f}").st_mtime_ns for f in os.listdir(root)} == before
