@@ -42,6 +42,19 @@ def test_pipeline_stages_on_odd_rows(spark, odd_docs):
     assert {r.doc_id for r in docs.collect()} <= {r.doc_id for r in odd_docs.collect()}
 
 
+def test_pipeline_stages_on_empty_tables(spark, no_docs):
+    docs = no_docs.withColumn("n_chars", no_docs["doc_id"])
+    for name, stage in corpus_pipeline.STAGES:
+        docs = staged(stage(spark, docs, SF_DIR), "empty")
+        assert docs.count() == 0, name
+    assert docs.columns == ["doc_id", "samples"]
+
+
+def test_last_stage_on_odd_rows(spark, odd_docs):
+    out = corpus_pipeline.STAGES[-1][1](spark, odd_docs, SF_DIR)
+    assert sorted(str(r.doc_id) for r in out.collect()) == sorted(str(r.doc_id) for r in odd_docs.collect())
+
+
 def test_pipeline_keeps_one_of_each_group_and_no_benchmark(spark):
     out = corpus_pipeline.run(spark, SF_DIR)
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").join(out.select("doc_id"), "doc_id")
