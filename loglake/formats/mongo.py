@@ -41,23 +41,17 @@ DOCUMENTS = {
 }
 
 
-def _from_doc(body: Column, name: str) -> Column:
-    """The text from the first brace after a marker on; NULL if there is none.
+def _place(name: str) -> Column:
+    """The length of the line from the first brace after a marker on; 0 or NULL if there is none.
 
-    A marker inside a string literal is none: where a quote stands before the place found, the
-    place is looked for again with the literals masked.
+    A marker inside a string literal is none, so it is looked for in the line with the literals masked.
     """
     mark, pattern = DOCUMENTS[name]
-    place = rf"(?s)(?:^|\s){pattern}(\{{.*)$"
+    return F.when(F.col("_hidden").contains(mark), F.length(F.regexp_extract("_hidden", rf"(?s)(?:^|\s){pattern}(\{{.*)$", 1)))
 
-    def from_end(size: Column) -> Column:
-        return F.when(size > 0, F.substring(body, F.length(body) - size + 1, size))
 
-    plain = F.length(F.regexp_extract(body, place, 1))
-    quote = F.instr(body, '"')
-    doubtful = (quote > 0) & (quote <= F.length(body) - plain) & (plain > 0)
-    hidden = F.length(F.regexp_extract(masked(body), place, 1))
-    return F.when(body.contains(mark), from_end(F.when(doubtful, hidden).otherwise(plain)))
+def _from_end(text: str, size: str) -> Column:
+    return F.when(F.col(size) > 0, F.substring(F.col(text), F.length(text) - F.col(size) + 1, F.col(size)))
 
 
 def mongo_events(
@@ -83,10 +77,15 @@ def mongo_events(
         return header.field(F.col("_cap"), name)
 
     read = read.withColumn("_body", head("body")).withColumn("_op", operation.captures(F.col("_body")))
-    read = read.withColumns({f"_{d}": _from_doc(F.col("_body"), d) for d in DOCUMENTS})
-    read = read.withColumns({f"_{d}_v": parse_doc(balanced(F.col(f"_{d}"))) for d in DOCUMENTS})
+    # Each step is settled: its results are used several times, and a filter on one of them must not copy the steps before.
+    read = read.withColumn("_hidden", settled(masked(F.col("_body"))))
+    read = read.withColumns({f"_{d}_size": settled(_place(d)) for d in DOCUMENTS})
+    read = read.withColumns({f"_{d}": _from_end("_body", f"_{d}_size") for d in DOCUMENTS})
+    read = read.withColumns({f"_{d}_v": settled(parse_doc(balanced(F.col(f"_{d}"), _from_end("_hidden", f"_{d}_size")))) for d in DOCUMENTS})
     # Counters stand outside of documents and strings: name, colon, digits, without a space.
-    plain = F.regexp_replace(F.regexp_replace("_body", _STRING, '""'), r"locks\(micros\)(?: [rRwW]:\d+)+", "")
+    outside = F.regexp_replace("_body", _STRING, '""')
+    old_locks = F.col("_body").contains("locks(micros)")
+    plain = F.when(old_locks, F.regexp_replace(outside, r"locks\(micros\)(?: [rRwW]:\d+)+", "")).otherwise(outside)
     names = F.regexp_extract_all(plain, F.lit(r"(?:^|\s)([A-Za-z_]\w*):(\d+)(?=\s|$)"), F.lit(1))
     values = F.regexp_extract_all(plain, F.lit(r"(?:^|\s)([A-Za-z_]\w*):(\d+)(?=\s|$)"), F.lit(2))
     micros = F.regexp_extract("_body", r"locks\(micros\)((?: [rRwW]:\d+)+)", 1)
@@ -130,7 +129,7 @@ def mongo_events(
         F.col("_update_v").alias("update"),
         F.col("_changelog_v").alias("changelog"),
         F.col("_locks_v").alias("locks"),
-        F.when(F.size(held) > 0, held).alias("locks_held"),
+        F.when(old_locks, F.when(F.size(held) > 0, held)).alias("locks_held"),
         F.map_from_arrays(names, F.transform(values, lambda v: v.try_cast("double"))).alias("counters"),
         as_double(no_blank(F.regexp_extract("_body", r"\s(\d+)ms$", 1))).alias("duration_ms"),
         F.coalesce(broken, F.lit(False)).alias("partial"),

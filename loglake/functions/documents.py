@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 _TEXT_OR_REST = rf'(?s){_STRING}|[^"]++|"'
-_BRACES = rf'(?s){_STRING}|[{{}}]|[^{{}}"]++|"'
+# How deep braces are read by one pattern; deeper ones are counted.
+_DEPTH = 8
 
 # Wrappers the shell prints around plain values.
 _UNWRAP = (
@@ -17,6 +20,8 @@ _UNWRAP = (
     (r"\bTimestamp(?: |\()([0-9]+)(?:\||, )([0-9]+)\)?", '"$1|$2"'),
     (r"\b(?:undefined|MinKey|MaxKey)\b", "null"),
 )
+# Fixed value: what every text with a wrapper holds.
+_WRAPPED = r"\(|Timestamp |undefined|MinKey|MaxKey"
 # Fixed value: closes the wrapped text, so that nothing can trail after the value.
 _END = r'"\u0001end\u0001"'
 _KEY = r"(?<=[{,])(\s*)([A-Za-z_$][\w$.\-]*)\s*:"
@@ -37,17 +42,40 @@ def parse_whole(text: Column) -> Column:
     return F.get(F.transform(pair, first), F.lit(0))
 
 
+def _let(col: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, however often ``then`` names it."""
+    return F.get(F.transform(F.array(col), then), F.lit(0))
+
+
 def masked(text: Column) -> Column:
     """The text with every letter inside string literals written as ``x``: same length, no marks or braces inside."""
     pieces = F.regexp_extract_all(text, F.lit(_TEXT_OR_REST), F.lit(0))
     quoted = lambda p: p.startswith('"') & (F.length(p) > 1)
     hidden = F.transform(pieces, lambda p: F.when(quoted(p), F.concat(F.lit('"'), F.repeat(F.lit("x"), F.length(p) - 2), F.lit('"'))).otherwise(p))
-    return F.array_join(hidden, "")
+    return F.when(text.contains('"'), F.array_join(hidden, "")).otherwise(text)
+
+
+def _nested(depth: int) -> str:
+    """A pattern of balanced braces, up to so many inside each other."""
+    inner = rf"|{_nested(depth - 1)}" if depth > 1 else ""
+    return rf"\{{(?:[^{{}}]++{inner})*+\}}"
 
 
-def balanced(text: Column) -> Column:
-    """The leading ``{...}`` of a text with its braces balanced; NULL if it never closes."""
-    tokens = F.regexp_extract_all(text, F.lit(_BRACES), F.lit(0))
+def balanced(text: Column, hidden: Column | None = None) -> Column:
+    """The leading ``{...}`` of a text with its braces balanced; NULL if it never closes.
+
+    ``hidden`` is the ``masked`` text, where it is known.
+    """
+    if hidden is None:
+        return _let(masked(text), lambda h: balanced(text, h))
+    size = F.length(F.regexp_extract(hidden, rf"\A{_nested(_DEPTH)}", 0))
+    deep = _let(size, lambda n: F.when(n > 0, n).otherwise(_counted(hidden)))
+    return F.when(text.startswith("{"), _let(deep, lambda n: F.when(n > 0, F.substring(text, F.lit(1), n))))
+
+
+def _counted(hidden: Column) -> Column:
+    """The length of the leading ``{...}`` of a masked text of any depth; 0 if it never closes."""
+    tokens = F.regexp_extract_all(hidden, F.lit(r"[{}]|[^{}]++"), F.lit(0))
     start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("size"), F.lit(False).alias("done"))
 
     def step(state: Column, token: Column) -> Column:
@@ -59,11 +87,7 @@ def balanced(text: Column) -> Column:
         )
         return F.when(state["done"], state).otherwise(stepped)
 
-    def cut(end: Column) -> Column:
-        return F.when(end["done"], F.substring(text, F.lit(1), end["size"]))
-
-    end = F.transform(F.array(F.aggregate(tokens, start, step)), cut)
-    return F.when(text.startswith("{"), F.get(end, F.lit(0)))
+    return F.aggregate(tokens, start, step, lambda end: F.when(end["done"], end["size"]).otherwise(0))
 
 
 def to_json_text(doc: Column) -> Column:
@@ -72,7 +96,7 @@ def to_json_text(doc: Column) -> Column:
         out = chunk
         for pattern, plain in _UNWRAP:
             out = F.regexp_replace(out, pattern, plain)
-        return F.regexp_replace(out, _KEY, '$1"$2":')
+        return F.regexp_replace(F.when(chunk.rlike(_WRAPPED), out).otherwise(chunk), _KEY, '$1"$2":')
 
     pieces = F.regexp_extract_all(doc, F.lit(_TEXT_OR_REST), F.lit(0))
     return F.array_join(F.transform(pieces, lambda p: F.when(p.startswith('"'), p).otherwise(outside(p))), "")
