@@ -99,16 +99,20 @@ def _dynamic_across_batches(spark: SparkSession, sf: str) -> DataFrame:
 @query("group_over_rotation", ENTRY_LINES_SQL)
 def _group_over_rotation(spark: SparkSession, sf: str) -> DataFrame:
     # Eight servers, three files each, cut anywhere: two files in one batch, the third after a restart.
-    entries = table(spark, sf, "orders").select("o_orderkey", (F.col("o_orderkey") % 8).alias("server"), R.slow_log_entry().alias("entry"))
-    lines = entries.select("server", "o_orderkey", F.posexplode(F.split("entry", "\n")).alias("at", "value"))
-    by_server = Window.partitionBy("server")
-    number = F.row_number().over(by_server.orderBy("o_orderkey", "at")) - 1
-    cut = lines.withColumn("cut", F.floor(3 * number / F.count("*").over(by_server)).cast("int"))
+    orders = table(spark, sf, "orders").withColumns({"server": F.col("o_orderkey") % 8, "n": F.size(F.split(R.slow_log_entry(), "\n"))})
+    # Where an entry stands in its log is counted from numbers of lines: orders are shuffled, no texts.
+    so_far = Window.partitionBy("server").orderBy("o_orderkey").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = orders.groupBy("server").agg(F.sum("n").alias("total"))
+    placed = orders.withColumn("first", F.sum("n").over(so_far) - F.col("n")).join(totals, "server")
     path, out, state = fresh_path(spark, "rotated"), fresh_path(spark, "rotated-out"), fresh_path(spark, "rotated-state")
 
     def write(part: int) -> None:
-        files = cut.filter(F.col("cut") == part).repartition("server").sortWithinPartitions("server", "o_orderkey", "at")
-        files.select("server", "cut", "value").write.mode("append").partitionBy("server", "cut").text(path)
+        begin, end = (F.ceil(F.col("total") * p / 3) - F.col("first") for p in (part, part + 1))
+        inside = placed.withColumns({"from": F.greatest(begin, L(0)).cast("int"), "to": F.least(end, F.col("n")).cast("int")}).filter("from < to")
+        held = F.slice(F.split(R.slow_log_entry(), "\n"), F.col("from") + 1, F.col("to") - F.col("from"))
+        files = inside.select("server", L(part).alias("cut"), "o_orderkey", F.array_join(held, "\n").alias("value"))
+        in_order = files.sortWithinPartitions("server", "cut", "o_orderkey")
+        in_order.select("server", "cut", "value").write.mode("append").partitionBy("server", "cut").text(path)
 
     def run() -> None:
         stream = ingest_stream(spark, path)
