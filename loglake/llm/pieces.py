@@ -120,5 +120,5 @@ def chunks(text: str) -> list[str]:
 
 def decode(pieces: Pieces, ids: list[int]) -> str:
     """The text of a segmentation."""
-    raw = b"".join([pieces.texts[k] for k in ids])
+    raw = b"".join(map(pieces.texts.__getitem__, ids))
     return raw[1:].decode("utf-8", "surrogatepass")

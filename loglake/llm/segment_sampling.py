@@ -34,6 +34,7 @@ import math
 import sys
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -87,17 +88,18 @@ class Lattice:
 
     def place(self, rows: list[list[str]]) -> list[np.ndarray]:
         """Numbers of the chunks of every row; chunks not seen yet are added."""
-        fresh = list(dict.fromkeys(c for row in rows for c in row if c not in self.number))
+        distinct = dict.fromkeys(chain.from_iterable(rows))
+        fresh = [c for c in distinct if c not in self.number]
         chars = sum(map(len, fresh)) + len(fresh)
         if self.n_nodes + chars > len(self.last) or self.n_edges + 12 * chars > len(self.tail):
             self._room(max(self.EDGES, 24 * chars), max(self.NODES, 2 * chars))
-            fresh = list(dict.fromkeys(c for row in rows for c in row))
+            fresh = list(distinct)
             chars = sum(map(len, fresh)) + len(fresh)
             if self.n_nodes + chars > len(self.last) or 17 * chars > len(self.tail):
                 self._room(17 * chars, chars)
         if fresh:
             self._add(fresh)
-        return [np.array([self.number[c] for c in row], np.int64) for row in rows]
+        return [np.fromiter(map(self.number.__getitem__, row), np.int64, len(row)) for row in rows]
 
     def _add(self, words: list[str]) -> None:
         sizes = np.array([len(w) for w in words], np.int64)
@@ -140,22 +142,26 @@ class Lattice:
         start = np.searchsorted(tail, low + np.arange(n + 1))
         back = np.zeros(n)
         left = np.repeat(np.cumsum(sizes + 1), sizes + 1) - 1 - np.arange(n)
-        order = np.argsort(left, kind="stable")
-        bounds = np.searchsorted(left[order], np.arange(1, int(left.max(initial=0)) + 2))
+        order, by_left = argsort(left), argsort(left[tail - low])
+        levels = np.arange(1, int(left.max(initial=0)) + 2)
+        bounds = np.searchsorted(left[order], levels)
+        edge_bounds = np.searchsorted(left[tail - low][by_left], levels)
         to = head - low
-        for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
-            nodes = order[begin:end]
-            counts = start[nodes + 1] - start[nodes]
-            at = np.concatenate([[0], np.cumsum(counts)])
-            edges = np.repeat(start[nodes] - at[:-1], counts) + np.arange(at[-1])
-            values = score[edges] + back[to[edges]]
-            top = np.maximum.reduceat(values, at[:-1])
-            back[nodes] = top + np.log(np.add.reduceat(np.exp(values - np.repeat(top, counts)), at[:-1]))
+        # The edges of a level lie side by side, in the order of their nodes.
+        ordered, ordered_to, degrees = score[by_left], to[by_left], np.diff(start, append=len(tail))[order]
+        for begin, end, first, last in zip(bounds[:-1], bounds[1:], edge_bounds[:-1], edge_bounds[1:], strict=True):
+            counts = degrees[begin:end]
+            at = np.cumsum(counts) - counts
+            values = ordered[first:last] + back[ordered_to[first:last]]
+            top = np.maximum.reduceat(values, at)
+            back[order[begin:end]] = top + np.log(np.add.reduceat(np.exp(values - np.repeat(top, counts)), at))
         logs = np.minimum(score + back[to] - back[tail - low], 0.0)
         within = np.exp(logs)
         rank = np.arange(len(tail)) - start[tail - low]
-        for number in range(1, int(rank.max(initial=0)) + 1):
-            at = np.flatnonzero(rank == number)
+        by_rank = argsort(rank)
+        ends = np.cumsum(np.bincount(rank))
+        for begin, end in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            at = by_rank[begin:end]
             within[at] += within[at - 1]
         final = np.flatnonzero(np.append(tail[1:] != tail[:-1], True))
         within[final] = 1.0
@@ -193,6 +199,12 @@ class Lattice:
         return out, at
 
 
+def argsort(numbers: np.ndarray) -> np.ndarray:
+    """Stable order of numbers from 0 on; small ones are sorted by digits, in linear time."""
+    small = numbers.max(initial=0) < 1 << 16
+    return np.argsort(numbers.astype(np.uint16) if small else numbers, kind="stable")
+
+
 def gumbel_below(location, limit, draws):
     """Gumbel variables at ``location``, truncated to lie below ``limit``."""
     with np.errstate(over="ignore", divide="ignore", invalid="ignore"):
