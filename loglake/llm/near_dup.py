@@ -48,6 +48,7 @@ ROWS, BANDS, BITS = 5, 30, 2
 SMALL_BUCKET = 64
 SMALL_SET = 16
 SETS_AT_ONCE = 500
+MARK_BITS = 1 << 25
 HASHES = 256
 LANES = 64 // BITS
 LONGS = -(-HASHES // LANES)
@@ -208,7 +209,7 @@ def linked(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFra
     members = staged(entries.join(shared, "key"), "near-members")
     nodes = members.select("rep").distinct()
     wanted = staged(reps.join(nodes, "rep", "left_semi").select("rep", "d", "s1", "s2"), "near-wanted")
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(wanted.select(F.col("d").alias("doc_id")), "doc_id", "left_semi")
+    texts = texts_of(docs, wanted.select(F.col("d").alias("doc_id")))
     sets = staged(full_sets(texts, size).join(wanted, ["s1", "s2"]).dropDuplicates(["rep"]).select("rep", "shingles"), "near-sets")
     signs = staged(reps.join(nodes, "rep", "left_semi").select("rep", "bits", "n_shingles", "bands"), "near-bits")
     close = bound(percent / 100.0)
@@ -240,6 +241,23 @@ def linked(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFra
     return parts
 
 
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text) of the documents with one of the ``ids``.
+
+    A table of bits, of at most ``MARK_BITS`` whatever the number of ids, tells most other documents before the
+    join, so that their texts are not shuffled; what shares a bit by chance falls out in the join.
+    """
+    mark = lambda: F.pmod(F.xxhash64("doc_id"), F.lit(MARK_BITS))
+    marks = ids.select(mark().alias("_mark")).groupBy(F.shiftright("_mark", 15).alias("_bucket"))
+    marks = staged(marks.agg(F.bitmap_construct_agg(F.col("_mark").bitwiseAND(F.lit((1 << 15) - 1))).alias("_bits")), "near-marks")
+    place = F.col("_mark").bitwiseAND(F.lit((1 << 15) - 1))
+    byte = F.conv(F.hex(F.substring("_bits", F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.getbit(byte, place.bitwiseAND(F.lit(7)).cast("int")) == 1
+    told = docs.select(F.col("doc_id").cast("long"), "text").withColumn("_mark", mark()).withColumn("_bucket", F.shiftright("_mark", 15))
+    likely = told.join(marks, "_bucket").filter(bit).select("doc_id", "text")
+    return likely.join(ids, "doc_id", "left_semi")
+
+
 def still_open(members: DataFrame, parts: DataFrame) -> DataFrame:
     """Members of the buckets that hold more than one component."""
     named = members.select("key", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
