@@ -40,12 +40,13 @@ from pyspark.sql import functions as F
 
 from loglake.llm.arrays import LOWER, SPACE, mix, shingles, span_hashes, text_slices, word_spans
 from loglake.llm.graph import components
-from loglake.session import staged
+from loglake.session import staged, with_setting
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROWS, BANDS, BITS = 5, 30, 2
 SMALL_BUCKET = 64
+BLOCK = 512
 SMALL_SET = 16
 SETS_AT_ONCE = 500
 MARK_BITS = 1 << 25
@@ -208,10 +209,11 @@ def linked(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFra
     shared = entries.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     members = staged(entries.join(shared, "key"), "near-members")
     nodes = members.select("rep").distinct()
-    wanted = staged(reps.join(nodes, "rep", "left_semi").select("rep", "d", "s1", "s2"), "near-wanted")
+    wanted = staged(reps.join(nodes, "rep", "left_semi"), "near-wanted")
     texts = texts_of(docs, wanted.select(F.col("d").alias("doc_id")))
-    sets = staged(full_sets(texts, size).join(wanted, ["s1", "s2"]).dropDuplicates(["rep"]).select("rep", "shingles"), "near-sets")
-    signs = staged(reps.join(nodes, "rep", "left_semi").select("rep", "bits", "n_shingles", "bands"), "near-bits")
+    named = full_sets(texts, size).join(wanted.select("rep", "s1", "s2"), ["s1", "s2"])
+    sets = staged(named.dropDuplicates(["s1", "s2", "rep"]).select("rep", "shingles"), "near-sets")
+    signs = wanted.select("rep", "bits", "n_shingles", "bands")
     close = bound(percent / 100.0)
     parts = spark.createDataFrame([], "node long, component long")
     open_rows = members.select("key", "rep", F.col("rep").alias("component"))
@@ -223,6 +225,7 @@ def linked(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFra
         if least is None:
             pairs = leader_pairs(open_rows).join(one, "a").join(two, "b")
             pairs = pairs.filter((estimate(F.col("ba"), F.col("bb")) >= close) | small_pair("na", "nb", percent)).select("a", "b")
+            pairs = staged(pairs, "near-pairs")
         else:
             sizes = open_rows.groupBy("key").agg(F.count("*").alias("n"))
             sized = open_rows.join(sizes, "key").join(signs, "rep")
@@ -230,8 +233,11 @@ def linked(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFra
             many = staged(sized.filter(F.col("n") > SMALL_BUCKET), "near-large")
             if room is None:  # members only leave large buckets, so later rounds need no other bounds
                 room = staged(shared_sizes(sets.join(many.select("rep").distinct(), "rep", "left_semi")), "near-shared")
-            pairs = all_pairs(few, least, percent).unionByName(all_pairs(many.join(room, "rep"), least, percent))
-        found = confirmed(staged(pairs, "near-pairs"), sets, percent)
+            pairs = all_pairs(few, least, percent).unionByName(all_pairs(many.join(room, "rep"), least, percent, blocks=True))
+            # Blocks are even. Spark would split both sides of a partition that is larger than others, and read each part many times.
+            with with_setting(spark, "spark.sql.adaptive.skewJoin.enabled", "false"):
+                pairs = staged(pairs, "near-pairs")
+        found = confirmed(pairs, sets, percent)
         # What is joined already goes on as one link from each node to its component.
         links = parts.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(found)
         parts = components(links)
@@ -245,17 +251,19 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """(doc_id, text) of the documents with one of the ``ids``.
 
     A table of bits, of at most ``MARK_BITS`` whatever the number of ids, tells most other documents before the
-    join, so that their texts are not shuffled; what shares a bit by chance falls out in the join.
+    join, so that their texts are not shuffled; what shares a bit by chance falls out in the join. The table is
+    bounded, so it is broadcast whatever the session's limit: a join by shuffle would move all texts to it.
+    The join with the ids is no semi-join, which Spark would push below the bits.
     """
     mark = lambda: F.pmod(F.xxhash64("doc_id"), F.lit(MARK_BITS))
     marks = ids.select(mark().alias("_mark")).groupBy(F.shiftright("_mark", 15).alias("_bucket"))
-    marks = staged(marks.agg(F.bitmap_construct_agg(F.col("_mark").bitwiseAND(F.lit((1 << 15) - 1))).alias("_bits")), "near-marks")
+    marks = marks.agg(F.bitmap_construct_agg(F.col("_mark").bitwiseAND(F.lit((1 << 15) - 1))).alias("_bits"))
     place = F.col("_mark").bitwiseAND(F.lit((1 << 15) - 1))
     byte = F.conv(F.hex(F.substring("_bits", F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     bit = F.getbit(byte, place.bitwiseAND(F.lit(7)).cast("int")) == 1
     told = docs.select(F.col("doc_id").cast("long"), "text").withColumn("_mark", mark()).withColumn("_bucket", F.shiftright("_mark", 15))
-    likely = told.join(marks, "_bucket").filter(bit).select("doc_id", "text")
-    return likely.join(ids, "doc_id", "left_semi")
+    likely = told.join(F.broadcast(marks), "_bucket").filter(bit).select("doc_id", "text")
+    return likely.join(ids.distinct(), "doc_id")
 
 
 def still_open(members: DataFrame, parts: DataFrame) -> DataFrame:
@@ -291,21 +299,34 @@ def small_pair(a: str, b: str, percent: int) -> Column:
     return (few <= SMALL_SET) & (F.least(a, b) * 100 >= few * percent)
 
 
-def all_pairs(rows: DataFrame, least: float, percent: int) -> DataFrame:
+def all_pairs(rows: DataFrame, least: float, percent: int, blocks: bool = False) -> DataFrame:
     """Pairs of a bucket that lie in two components, are estimated to be close or are small, and have room to be close.
 
     Two sets can share no more than what each has in common with any set at all. Of the buckets that
-    two sets share, all of which are open as long as they are apart, the first makes the pair.
+    two sets share, all of which are open as long as they are apart, the first makes the pair. With ``blocks``
+    a bucket of ``n`` rows is dealt out as pairs of blocks of about ``BLOCK`` rows, each of which can be a task of its own.
     """
-    one, two = (
-        rows.select(*(F.col(c).alias(f"{c}_{x}") for c in ("key", "rep", "component", "bits", "bands", "n_shingles", "size", "shared"))) for x in "ab"
-    )
-    c = F.col
+    c, on = F.col, ["key"]
+    if blocks:
+        rows = rows.withColumn("last", F.ceil(c("n") / BLOCK) - 1)
+        rows, on = rows.withColumn("block", F.pmod(F.xxhash64("rep"), c("last") + 1)), ["key", "low", "high"]
+        one = rows.withColumns({"low": c("block"), "high": F.explode(F.sequence("block", "last"))})
+        two = rows.withColumns({"low": F.explode(F.sequence(F.lit(0).cast("long"), "block")), "high": c("block")})
+    else:
+        one = two = rows
+    names = (*on, "rep", "component", "bits", "bands", "n_shingles", "size", "shared")
+    one, two = (side.select(*(c(name).alias(f"{name}_{x}") for name in names)) for side, x in ((one, "a"), (two, "b")))
+    met = c("rep_a") < c("rep_b")
+    if blocks:
+        met = met | (c("low_a") < c("high_a"))
+    for name in on:
+        met = met & (c(f"{name}_a") == c(f"{name}_b"))
     room = F.least("shared_a", "shared_b") * (100 + percent) >= (c("size_a") + c("size_b")) * percent
-    near = (c("component_a") != c("component_b")) & (c("rep_a") < c("rep_b")) & room
+    near = (c("component_a") != c("component_b")) & room
     likely = (estimate(c("bits_a"), c("bits_b")) >= F.lit(least)) | small_pair("n_shingles_a", "n_shingles_b", percent)
     first = F.array_min(F.array_intersect("bands_a", "bands_b")) == c("key_a")
-    return one.join(two, (c("key_a") == c("key_b")) & near & likely & first).select(c("rep_a").alias("a"), c("rep_b").alias("b"))
+    pairs = one.join(two, met & near & likely & first)
+    return pairs.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

@@ -6,6 +6,7 @@ import numpy as np
 
 from loglake.llm import near_dup
 from loglake.llm.graph import components
+from loglake.session import with_setting
 
 WORDS = re.compile("[^\x20\x09-\x0D]+")
 
@@ -139,3 +140,25 @@ def test_components_of_long_chains_and_hubs(spark):
     assert {got[k] for k in range(100, 161)} == {100} and {got[k] for k in range(200, 260)} == {7}
     assert got[300] == 7 and got[9] == got[8] == 8 and 5 not in got
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_bits_come_before_the_shuffle_of_texts(spark):
+    docs = spark.createDataFrame([(k, f"text {k}") for k in range(300)] + [(7, "again")], "doc_id long, text string")
+    ids = spark.createDataFrame([(7,), (7,), (120,)], "doc_id long")
+    with with_setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        found = near_dup.texts_of(docs, ids)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, found.collect())) == [(7, "again"), (7, "text 7"), (120, "text 120")]
+    # The plan is printed from the top: texts are shuffled above the join with the bits.
+    assert plan.index("hashpartitioning(doc_id") < plan.index("BroadcastHashJoin [_bucket")
+
+
+def test_pairs_of_blocks_are_the_pairs_of_the_bucket(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "BLOCK", 3)
+    bits = [0] * near_dup.LONGS
+    rows = [(1, k, k % 4, bits, [1, 2], 20, 20, 20, 20) for k in range(20)] + [(2, k, k, bits, [1, 2], 20, 20, 20, 5) for k in range(18, 23)]
+    schema = "key long, rep long, component long, bits array<long>, bands array<long>, n_shingles long, size int, shared int, n long"
+    table = spark.createDataFrame(rows, schema)
+    plain, dealt = (sorted(map(tuple, near_dup.all_pairs(table, 0.8, 80, blocks=b).collect())) for b in (False, True))
+    assert plain == dealt
+    assert plain == [(a, b) for a in range(20) for b in range(a + 1, 20) if a % 4 != b % 4]
