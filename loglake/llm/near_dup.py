@@ -233,7 +233,7 @@ def linked(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFra
             many = staged(sized.filter(F.col("n") > SMALL_BUCKET), "near-large")
             if room is None:  # members only leave large buckets, so later rounds need no other bounds
                 room = staged(shared_sizes(sets.join(many.select("rep").distinct(), "rep", "left_semi")), "near-shared")
-            pairs = all_pairs(few, least, percent).unionByName(all_pairs(many.join(room, "rep"), least, percent, blocks=True))
+            pairs = all_pairs(few, least, percent).unionByName(all_pairs(many.join(room, "rep"), least, percent, True))
             # Blocks are even. Spark would split both sides of a partition that is larger than others, and read each part many times.
             with with_setting(spark, "spark.sql.adaptive.skewJoin.enabled", "false"):
                 pairs = staged(pairs, "near-pairs")
