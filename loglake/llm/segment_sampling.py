@@ -51,11 +51,24 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SLICE_CHARS = 1 << 19
 # Room and slices of ``encode``, whose results are large.
-SMALL_SHARE, SMALL_SLICE = 0.5, 1 << 17
+SMALL_SHARE, SMALL_SLICE = 1 / 6, 1 << 17
 GOLDEN = 0x9E3779B97F4A7C15
 ALL = (1 << 64) - 1
 
 
+class Numbers(dict):
+    """Numbers keys in the order in which they are first looked up; ``fresh`` lists those that got a number since it was cleared."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        number = self[key] = len(self)
+        self.fresh.append(key)
+        return number
+
+
 class Lattice:
     """Edges of distinct chunks by start node, with the odds of each edge at its node.
 
@@ -65,7 +78,7 @@ class Lattice:
     Chunks are kept between slices until the room is used up.
     """
 
-    EDGES, NODES = 3_000_000, 1_000_000
+    EDGES, NODES = 6_000_000, 3_000_000
 
     def __init__(self, pieces: Pieces, table: PieceTable, share: float = 1.0) -> None:
         self.pieces, self.table = pieces, table
@@ -78,35 +91,42 @@ class Lattice:
         self._room(self.EDGES, self.NODES)
 
     def _room(self, edges: int, nodes: int) -> None:
-        self.number: dict[str, int] = {}
         self.first = np.zeros(nodes + 1, np.int64)
-        self.n_edges = self.n_nodes = 0
+        self.n_words = self.n_edges = self.n_nodes = 0
         self.tail, self.head, self.mark = (np.zeros(edges, np.int32) for _ in range(3))
         self.log_odds, self.upto = np.zeros(edges), np.zeros(edges)
         self.start = np.zeros(nodes + 1, np.int64)
         self.last = np.zeros(nodes, dtype=bool)
+        self.number = Numbers()
 
     def place(self, rows: list[list[str]]) -> list[np.ndarray]:
         """Numbers of the chunks of every row; chunks not seen yet are added."""
-        distinct = dict.fromkeys(chain.from_iterable(rows))
-        fresh = [c for c in distinct if c not in self.number]
-        chars = sum(map(len, fresh)) + len(fresh)
-        if self.n_nodes + chars > len(self.last) or self.n_edges + 12 * chars > len(self.tail):
-            self._room(max(self.EDGES, 24 * chars), max(self.NODES, 2 * chars))
-            fresh = list(distinct)
-            chars = sum(map(len, fresh)) + len(fresh)
-            if self.n_nodes + chars > len(self.last) or 17 * chars > len(self.tail):
-                self._room(17 * chars, chars)
-        if fresh:
-            self._add(fresh)
-        return [np.fromiter(map(self.number.__getitem__, row), np.int64, len(row)) for row in rows]
-
-    def _add(self, words: list[str]) -> None:
+        numbers = self._numbers(rows)
+        if self.number.fresh:
+            sizes, *edges = self._edges(self.number.fresh)
+            nodes = int((sizes + 1).sum())
+            if self.n_nodes + nodes > len(self.last) or self.n_edges + len(edges[0]) > len(self.tail):
+                self.number = Numbers()
+                numbers = self._numbers(rows)
+                words = self.number
+                sizes, *edges = self._edges(words.fresh)
+                self._room(max(self.EDGES, len(edges[0])), max(self.NODES, int((sizes + 1).sum())))
+                self.number = words
+            self._add(sizes, *edges)
+            self.number.fresh.clear()
+        ends = np.cumsum([0, *map(len, rows)]).tolist()
+        return [numbers[low:high] for low, high in zip(ends[:-1], ends[1:], strict=True)]
+
+    def _numbers(self, rows: list[list[str]]) -> np.ndarray:
+        return np.fromiter(map(self.number.__getitem__, chain.from_iterable(rows)), np.int64, sum(map(len, rows)))
+
+    def _edges(self, words: list[str]) -> tuple[np.ndarray, ...]:
+        """Lengths of chunks in a row, and tail (from 0), length and mark of their edges in the order of the tails."""
         sizes = np.array([len(w) for w in words], np.int64)
         codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
         before = np.concatenate([[0], np.cumsum(sizes)])
         word = np.repeat(np.arange(len(words)), sizes)
-        node = self.n_nodes + np.arange(len(codes)) + word
+        node = np.arange(len(codes)) + word
         left = before[word + 1] - np.arange(len(codes))
         hashed = code_hash(codes)
         live, sums = np.arange(len(codes)), np.zeros(len(codes), np.uint64)
@@ -125,16 +145,18 @@ class Lattice:
             live, sums = live[on], sums[on]
         tail, length, mark = (np.concatenate(x) for x in (tails, lengths, marks))
         order = np.argsort(tail, kind="stable")
-        tail, length, mark = node[tail[order]], length[order], mark[order]
+        return sizes, node[tail[order]], length[order], mark[order]
+
+    def _add(self, sizes: np.ndarray, tail: np.ndarray, length: np.ndarray, mark: np.ndarray) -> None:
+        tail = self.n_nodes + tail
         score = self.score[np.maximum(mark, 0)]
         for k in np.flatnonzero(mark < 0).tolist():
             score[k] = self.pieces.spelled(chr(-1 - int(mark[k])))[1]
+        ends = self.n_nodes + np.cumsum(sizes + 1)
         self._sum(tail, tail + length, mark, score, sizes)
-        base = len(self.number)
-        ends = self.first[base] + np.cumsum(sizes + 1)
-        self.first[base + 1 : base + 1 + len(words)] = ends
+        self.first[self.n_words + 1 : self.n_words + 1 + len(sizes)] = ends
         self.last[ends - 1] = True
-        self.number.update(zip(words, range(base, base + len(words)), strict=True))
+        self.n_words += len(sizes)
 
     def _sum(self, tail, head, mark, score, sizes) -> None:
         """Backward sums from the ends of the chunks on, and the odds of each edge."""
