@@ -83,24 +83,43 @@ def softmax(logits: np.ndarray) -> np.ndarray:
     return shifted / shifted.sum(axis=1, keepdims=True)
 
 
-def descend(x: np.ndarray, y: np.ndarray, n_labels: int, epochs: int, rate: float, seed: int):
-    """Embeddings, softmax weights and bias after stochastic gradient descent."""
+class Shares:
+    """Rows of shares of all buckets, kept as the buckets that are not zero and laid out when asked for."""
+
+    def __init__(self, packed: list) -> None:
+        self.packed = packed
+
+    def __len__(self) -> int:
+        return len(self.packed)
+
+    def __getitem__(self, rows: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(rows), BUCKETS), np.float32)
+        for k, row in enumerate(rows.tolist()):
+            raw = self.packed[row].as_buffer()
+            n = len(raw) // 6
+            out[k, np.frombuffer(raw, np.uint16, n)] = np.frombuffer(raw, np.float32, n, 2 * n)
+        return out
+
+
+def descend(x: Shares, learned: np.ndarray, y: np.ndarray, n_labels: int, epochs: int, rate: float, seed: int):
+    """Embeddings, softmax weights and bias after stochastic gradient descent over the ``learned`` rows."""
     draw = np.random.default_rng(seed)
     embed = draw.normal(0, 1.0, (BUCKETS, WIDTH)).astype(np.float32)
     weights = np.zeros((WIDTH, n_labels), np.float32)
     bias = np.zeros(n_labels, np.float32)
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
-        for rows in np.array_split(draw.permutation(len(x)), max(1, len(x) // 16)):
-            hidden = x[rows] @ embed
+        for rows in np.array_split(learned[draw.permutation(len(learned))], max(1, len(learned) // 16)):
+            some = x[rows]
+            hidden = some @ embed
             error = softmax(hidden @ weights + bias)
             error[np.arange(len(rows)), y[rows]] -= 1
             error /= len(rows)
             back = error @ weights.T
             weights -= step * (hidden.T @ error)
             bias -= step * error.sum(axis=0)
-            used = np.flatnonzero(x[rows].any(axis=0))
-            embed[used] -= 40 * step * (x[rows][:, used].T @ back)
+            used = np.flatnonzero(some.any(axis=0))
+            embed[used] -= 40 * step * (some[:, used].T @ back)
     return embed, weights, bias
 
 
@@ -129,20 +148,19 @@ def fit(docs: DataFrame, sample_rows: int = 2400, loss: float = 0.002, epochs: i
                     out.append(at.astype(np.uint16).tobytes() + row[at].astype(np.float32).tobytes())
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["doc_id", "lang", "x"])
 
-    rows = sample.mapInArrow(features, "doc_id long, lang string, x binary").toPandas()
-    if not len(rows):
+    rows = sample.mapInArrow(features, "doc_id long, lang string, x binary").toArrow()
+    if not rows.num_rows:
         return None
-    rows = rows.sort_values(["doc_id", "lang"], ignore_index=True)
-    languages = sorted(set(rows["lang"]))
-    x = np.zeros((len(rows), BUCKETS), np.float32)
-    for k, packed in enumerate(rows["x"]):
-        n = len(packed) // 6
-        x[k, np.frombuffer(packed, np.uint16, n)] = np.frombuffer(packed, np.float32, n, 2 * n)
-    y = rows["lang"].map({name: k for k, name in enumerate(languages)}).to_numpy()
+    rows = rows.sort_by([("doc_id", "ascending"), ("lang", "ascending")])
+    labels = rows.column("lang").to_pylist()
+    languages = sorted(set(labels))
+    number = {name: k for k, name in enumerate(languages)}
+    # On the driver the rows stay packed: laid out, the sample takes 32 KB a row.
+    x, y = Shares([row for chunk in rows.column("x").chunks for row in chunk]), np.array([number[name] for name in labels])
     kept_back = np.arange(len(x)) % 5 == 4
-    embed, weights, bias = descend(x[~kept_back], y[~kept_back], len(languages), epochs, 0.5, seed)
-    check, truth = (x[kept_back], y[kept_back]) if kept_back.any() else (x, y)
-    temperature, threshold = calibrate(check @ embed @ weights + bias, truth, loss)
+    learned, checked = np.flatnonzero(~kept_back), np.flatnonzero(kept_back if kept_back.any() else ~kept_back)
+    embed, weights, bias = descend(x, learned, y, len(languages), epochs, 0.5, seed)
+    temperature, threshold = calibrate(x[checked] @ embed @ weights + bias, y[checked], loss)
     return Model(languages, (embed @ weights).astype(np.float32), bias, temperature, threshold)
 
 
