@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loglake.functions.text import settled, trim_space, unbracket, unquote
-from loglake.functions.times import ISO_LOCAL, TimeFormat, first_time
+from loglake.functions.times import ISO_LOCAL, TimeFormat, first_time, plain_time
 from loglake.functions.typing import as_double, as_long
 from loglake.operators.lines import strip_prefix
 
@@ -40,7 +40,7 @@ def arango_requests(
     begin = word(2) == "DEBUG"
     complete = F.when(begin, F.size("_f") == 6).otherwise(F.size("_f") == 10)
     end = ~begin
-    stamp = first_time(word(0), _STAMPS, tz)
+    stamp = F.coalesce(plain_time(word(0), tz), first_time(word(0), _STAMPS, tz))
     reason = (
         F.when(F.size("_w") < 5, "words")
         .when(word(3) != TOPIC, "topic")
@@ -92,12 +92,12 @@ def pair_requests(events: DataFrame, keys: Sequence[str] = ("file", "id"), bucke
         F.max(F.when(~begin, F.struct(*at, "responseCode", "totalTime"))).alias("_ended"),
     )
     last = F.max("_use").over(Window.partitionBy(*keys, "_bucket"))
-    used = used.withColumn("_open", (F.col("_use") == 0) | (F.col("_use") == last))
-    by_id = Window.partitionBy(*keys).orderBy("_bucket", "_use").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    across = used.filter("_open").withColumn("_use", F.sum(F.col("n_begin")).over(by_id)).groupBy(*keys, "_use").agg(
+    is_open = (F.col("_use") == 0) | (F.col("_use") == last)
+    # A complete use is a group of its own, so that one pass serves both and no id gathers its complete uses.
+    used = used.withColumn("_alone", F.when(~is_open, F.struct("_bucket", "_use")))
+    by_id = Window.partitionBy(*keys, "_alone").orderBy("_bucket", "_use").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = used.withColumn("_use", F.sum(F.col("n_begin")).over(by_id)).groupBy(*keys, "_alone", "_use").agg(
         *[F.sum(c).alias(c) for c in ("n_begin", "n_end")], F.min("begin_time").alias("begin_time"), F.max("end_time").alias("end_time"),
         F.max("_newest").alias("_newest"), F.max("_ended").alias("_ended"))
-    out = [*keys, "n_begin", "n_end", "begin_time", "end_time", "_newest", "_ended"]
-    both = used.filter("NOT _open").select(out).unionByName(across.select(out))
     told = [F.col("_newest.method"), F.col("_newest.fullURL"), F.col("_ended.responseCode"), F.col("_ended.totalTime")]
-    return both.select(*out[:-2], *told)
+    return both.select(*keys, "n_begin", "n_end", "begin_time", "end_time", *told)
