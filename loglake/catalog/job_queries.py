@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loglake.catalog import render as R
-from loglake.catalog.base import events_table, query, stamp_text, table, text, written
+from loglake.catalog.base import dealt, events_table, query, stamp_text, table, text, written
 from loglake.catalog.event_queries import DYNAMIC_SQL
 from loglake.catalog.ingest_queries import ENTRY_LINES_SQL, _entry_order
 from loglake.config import IngestConfig
@@ -183,10 +183,11 @@ def _host_status_job(spark: SparkSession, sf: str) -> DataFrame:
 )
 def _mongo_job(spark: SparkSession, sf: str) -> DataFrame:
     """Four servers' files through the job: the set's name goes along each file, locks are stored by name."""
-    lines = events_table(spark, sf).select((F.col("event_id") % 4).alias("server"), "event_id", R.mongo_line().alias("value"))
+    events = events_table(spark, sf).select((F.col("event_id") % 4).alias("server"), "event_id", "ts", "user_id", "event_type")
     path, out = fresh_path(spark, "mongo-files"), fresh_path(spark, "mongo-table")
-    in_order = lines.repartition("server").sortWithinPartitions("server", "event_id")
-    in_order.select("server", "value").write.partitionBy("server").text(path)
+    # The rows are sorted, not the lines made from them.
+    in_order = events.repartition("server").sortWithinPartitions("server", "event_id")
+    in_order.select("server", R.mongo_line().alias("value")).write.partitionBy("server").text(path)
     run_batch(spark, IngestConfig("mongo", [path], out), ingest_time=L("2024-12-31 23:59:59").cast("timestamp"))
     counter = lambda name: F.element_at("counters", L(name)).cast("bigint")
     changed = F.regexp_extract("changelog_changeid", r"id-(\d+)", 1).cast("bigint")
@@ -209,7 +210,7 @@ def _mongo_quoted_markers(spark: SparkSession, sf: str) -> DataFrame:
     body = F.concat(L(' [conn1] query shop.items query: { user: '), text("event_id"),
                     L(', note: "see command: find { locks:{ r: 1 } update: { a: 2 }" } nscanned:'), text("event_id"), L(" 3ms"))
     stamp = F.when(F.col("event_id") % 2 == 0, old).otherwise(new)
-    path = written(spark, sf, "mongo-quoted", lambda: events.select(F.concat(stamp, body).alias("value")))
+    path = written(spark, sf, "mongo-quoted", lambda: dealt(events).select(F.concat(stamp, body).alias("value")))
     out = fresh_path(spark, "mongo-quoted-table")
     run_batch(spark, IngestConfig("mongo", [path], out))
     dated = F.when((F.col("_time") <= F.current_timestamp()) & (F.year("_time") > 2024), 1).otherwise(0)

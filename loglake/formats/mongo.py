@@ -83,11 +83,13 @@ def mongo_events(
     read = read.withColumns({f"_{d}": _from_end("_body", f"_{d}_size") for d in DOCUMENTS})
     read = read.withColumns({f"_{d}_v": settled(parse_doc(balanced(F.col(f"_{d}"), _from_end("_hidden", f"_{d}_size")))) for d in DOCUMENTS})
     # Counters stand outside of documents and strings: name, colon, digits, without a space.
-    outside = F.regexp_replace("_body", _STRING, '""')
+    outside = F.when(F.col("_body").contains('"'), F.regexp_replace("_body", _STRING, '""')).otherwise(F.col("_body"))
     old_locks = F.col("_body").contains("locks(micros)")
     plain = F.when(old_locks, F.regexp_replace(outside, r"locks\(micros\)(?: [rRwW]:\d+)+", "")).otherwise(outside)
-    names = F.regexp_extract_all(plain, F.lit(r"(?:^|\s)([A-Za-z_]\w*):(\d+)(?=\s|$)"), F.lit(1))
-    values = F.regexp_extract_all(plain, F.lit(r"(?:^|\s)([A-Za-z_]\w*):(\d+)(?=\s|$)"), F.lit(2))
+    counters = F.transform(
+        F.regexp_extract_all(plain, F.lit(r"(?:^|\s)([A-Za-z_]\w*:\d+)(?=\s|$)"), F.lit(1)),
+        lambda c: F.struct(F.substring_index(c, ":", 1).alias("key"), F.substring_index(c, ":", -1).try_cast("double").alias("value")),
+    )
     micros = F.regexp_extract("_body", r"locks\(micros\)((?: [rRwW]:\d+)+)", 1)
     held = F.map_from_arrays(
         F.regexp_extract_all(micros, F.lit(r"([rRwW]):(\d+)"), F.lit(1)),
@@ -130,7 +132,7 @@ def mongo_events(
         F.col("_changelog_v").alias("changelog"),
         F.col("_locks_v").alias("locks"),
         F.when(old_locks, F.when(F.size(held) > 0, held)).alias("locks_held"),
-        F.map_from_arrays(names, F.transform(values, lambda v: v.try_cast("double"))).alias("counters"),
+        F.map_from_entries(counters).alias("counters"),
         as_double(no_blank(F.regexp_extract("_body", r"\s(\d+)ms$", 1))).alias("duration_ms"),
         F.coalesce(broken, F.lit(False)).alias("partial"),
         is_match(F.col("_cap")).alias("_header"),
@@ -234,7 +236,9 @@ def lock_counts(df: DataFrame) -> DataFrame:
     held = F.transform(
         F.coalesce(F.map_entries("locks_held"), F.array().cast("array<struct<key:string,value:bigint>>")),
         lambda c: F.struct(F.concat(_mode(c["key"]), F.lit("_lock_held_us")).alias("key"), c["value"].alias("value")))
-    named = F.filter(F.concat(counted, held), lambda e: e["key"].isNotNull() & e["value"].isNotNull())
+    named = F.when(  # most lines have no locks
+        F.col("locks").isNotNull() | F.col("locks_held").isNotNull(),
+        F.filter(F.concat(counted, held), lambda e: e["key"].isNotNull() & e["value"].isNotNull()))
     return df.withColumn("_counts", named).withColumn("lock_counts", F.when(F.size("_counts") > 0, last_wins(F.col("_counts")))).drop("_counts")
 
 
